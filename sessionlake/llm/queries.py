@@ -5,13 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm import linededup, simhash
+from sessionlake.llm import decontam, linededup, packing, simhash, vptree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that overlap: doc_id, item_id, matched, compared, similarity."""
+    return decontam.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=20, similarity=0.8)
+
+
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as written to Zstandard WARC archives and read back."""
+    return warc.archived(_table(spark, sf_dir, "pages"), least_bytes=100)[1]
+
+
+def op3_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in windows of at most 1024 tokens."""
+    return packing.packed(_table(spark, sf_dir, "documents"), window=1024, end_id=0)
+
+
+def op4_vp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every vector whose id is divisible by 50, among all others; factor 1: exact."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5, factor=1.0)
+
+
 def op5_simhash_pivot_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the smallest doc_id reachable over links of at most 3 bits."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
@@ -26,8 +47,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH lines AS (
-  SELECT doc_id, pos, line, lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS unicode_lower,
-         translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
 ), hot AS (
@@ -40,5 +60,41 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) A
 FROM marked GROUP BY doc_id
 """
 
-QUERIES = {"op5_simhash_pivot_components": op5_simhash_pivot_components, "op6_line_dedup": op6_line_dedup}
-ORACLE_SQL = {"op6_line_dedup": OP6_SQL.replace("lower(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')) AS unicode_lower,\n         ", "")}
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+)
+SELECT page_id, url, CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CAST(NULL AS VARCHAR) AS problem
+FROM f
+"""
+
+OP4_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+QUERIES = {
+    "op1_spaced_seed_decontamination": op1_spaced_seed_decontamination,
+    "op2_warc_round_trip": op2_warc_round_trip,
+    "op3_window_packing": op3_window_packing,
+    "op4_vp_tree_search": op4_vp_tree_search,
+    "op5_simhash_pivot_components": op5_simhash_pivot_components,
+    "op6_line_dedup": op6_line_dedup,
+}
+ORACLE_SQL = {
+    "op2_warc_round_trip": OP2_SQL,
+    "op4_vp_tree_search": OP4_SQL,
+    "op6_line_dedup": OP6_SQL,
+}
