@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm import decontam, linededup, packing, simhash, suffixes, vptree, warc
+from sessionlake.llm import decontam, htmltext, langid, linededup, packing, quality, simhash, suffixes, vptree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,12 +45,27 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language, learnt from the folds that are not held out."""
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes, removed bytes and runs, and the digest of what stays; passages of 400 bytes."""
     kept = suffixes.drop_repeated_passages(_table(spark, sf_dir, "documents"), length=400)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's posteriors of being good and of being toxic, and whether it is rejected."""
+    return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "p_quality", "p_toxic", "rejected")
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return htmltext.extracted(_table(spark, sf_dir, "pages"))
+
+
 OP6_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -98,7 +113,10 @@ QUERIES = {
     "op4_vp_tree_search": op4_vp_tree_search,
     "op5_simhash_pivot_components": op5_simhash_pivot_components,
     "op6_line_dedup": op6_line_dedup,
+    "op7_language_id": op7_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_quality_bayes": op9_quality_bayes,
+    "op10_html_extraction": op10_html_extraction,
 }
 ORACLE_SQL = {
     "op2_warc_round_trip": OP2_SQL,

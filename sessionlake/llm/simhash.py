@@ -29,6 +29,10 @@ PIVOTS = [(i * 0x9E3779B97F4A7C15 ^ (i << 29) * 0xBF58476D1CE4E5B9) & (2**64 - 1
 BLOCK = 2048
 
 
+def _mixed(k: int) -> int:
+    return ((k + 1) * 0x94D049BB133111EB ^ (k + 77) * 0x9E3779B97F4A7C15 << 13) & (2**64 - 1)
+
+
 def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
@@ -39,8 +43,9 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, text_hash, fingerprint long) of every distinct (id, text).
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, minima: int = 0) -> DataFrame:
+    """(doc_id, text_hash, fingerprint long) of every distinct (id, text); with `minima` also that many least shingle
+    hashes m0, m1, ..., each under another permutation.
 
     Null and empty texts have no shingle and fingerprint 0; shorter texts than a shingle are one shingle.
     """
@@ -48,13 +53,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each = rows.select("doc_id", "text_hash", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - shingle, F.lit(0)))).alias("i"))
     hashed = each.select("doc_id", "text_hash", (F.size("words") > 0).alias("any"), F.xxhash64(F.concat_ws(" ", *(F.get("words", F.col("i") + k) for k in range(shingle)))).alias("h"))
     lanes = [F.sum(F.when(F.col("any"), F.shiftrightunsigned("h", j).bitwiseAND(F.lit(0x0000000100000001)))).alias(f"s{j}") for j in range(32)]
-    counted = hashed.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), *lanes)
+    counted = hashed.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), *lanes, *(F.min(F.col("h").bitwiseXOR(F.lit(_signed(_mixed(k))))).alias(f"m{k}") for k in range(minima)))
 
     def bit(j: int) -> Column:
         count = F.shiftrightunsigned(f"s{j % 32}", 32) if j >= 32 else F.col(f"s{j}").bitwiseAND(F.lit(0xFFFFFFFF))
         return F.when(2 * count > F.col("n"), F.lit(_signed(1 << j))).otherwise(F.lit(0))
 
-    return counted.select("doc_id", "text_hash", reduce(lambda a, b: a.bitwiseOR(b), (bit(j) for j in range(64))).cast("long").alias("fingerprint"))
+    return counted.select("doc_id", "text_hash", reduce(lambda a, b: a.bitwiseOR(b), (bit(j) for j in range(64))).cast("long").alias("fingerprint"), *(f"m{k}" for k in range(minima)))
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -106,14 +111,20 @@ def _forest(distance: int):
     return links
 
 
-def links(distinct: DataFrame, distance: int = 3, block: int = BLOCK) -> DataFrame:
-    """(a, b) links between the distinct fingerprints in column fp that give the same components as all links."""
+def links(distinct: DataFrame, distance: int = 3, block: int = BLOCK, keys: DataFrame | None = None) -> DataFrame:
+    """(a, b) links between the distinct fingerprints in column fp that give the same components as all links.
+
+    keys (fp, combo, bits): those with an equal (combo, bits) meet, in place of those that share two bands.
+    """
     bands = distance + 2
     cuts = [64 * k // bands for k in range(bands + 1)]
     masks = [sum(1 << b for x in pair for b in range(cuts[x], cuts[x + 1])) for pair in combinations(range(bands), 2)]
     packed = [reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(p)))).cast("long"), 8 * k) for k, p in enumerate(half))) for half in (PIVOTS[:8], PIVOTS[8:])]
     tabled = distinct.select("fp", packed[0].alias("pivots_a"), packed[1].alias("pivots_b"))
-    keyed = tabled.select("*", F.explode(F.array(*(F.struct(F.lit(c).alias("combo"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for c, m in enumerate(masks)))).alias("k")).select("fp", "pivots_a", "pivots_b", "k.combo", "k.bits")
+    if keys is not None:
+        keyed = keys.join(tabled, "fp")
+    else:
+        keyed = tabled.select("*", F.explode(F.array(*(F.struct(F.lit(c).alias("combo"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for c, m in enumerate(masks)))).alias("k")).select("fp", "pivots_a", "pivots_b", "k.combo", "k.bits")
     sizes = keyed.groupBy("combo", "bits").agg(F.count("*").alias("members")).where("members > 1")
     met = keyed.join(sizes, ["combo", "bits"]).withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
@@ -122,16 +133,24 @@ def links(distinct: DataFrame, distance: int = 3, block: int = BLOCK) -> DataFra
     return dealt.repartition("combo", "bits", "block_i", "block_j").mapInPandas(_forest(distance), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, pairs: int = 0) -> DataFrame:
     """(doc_id, text_hash, fingerprint, component_id) of every distinct (id, text).
 
+    Without `pairs` all links are found, which suits a few bits. For larger distances fingerprints meet if their texts
+    share two least shingle hashes in one of `pairs` pairs of permutations: texts of Jaccard similarity s miss each
+    other with probability (1 - s * s) ** pairs.
+
     component_id is the smallest id reachable over links of at most `distance` bits, itself included. Rows with a
     null id have a fingerprint and a component, whose id others give (null if none). Repeated equal rows count
     once; an id with several texts has a row for each. An empty table gives no rows; other columns are not read.
     """
-    prints = stored(fingerprints(docs, id_col, text_col, shingle))
+    prints = stored(fingerprints(docs, id_col, text_col, shingle, 2 * pairs))
     distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")).withColumnRenamed("fingerprint", "fp"))
-    nodes = connected_components(links(distinct, distance))
+    keys = None
+    if pairs:
+        met = F.array(*(F.struct(F.lit(k).alias("combo"), F.xxhash64(f"m{2 * k}", f"m{2 * k + 1}").alias("bits")) for k in range(pairs)))
+        keys = prints.select(F.col("fingerprint").alias("fp"), F.explode(met).alias("k")).select("fp", "k.combo", "k.bits").distinct()
+    nodes = connected_components(links(distinct, distance, keys=keys))
     linked = distinct.join(nodes, distinct["fp"] == nodes["node"])
     least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
     moved = linked.select("fp", "component").join(least, "component").select("fp", "least_id")
