@@ -64,13 +64,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         hit = seeded.join(F.broadcast(few), "h")
         # agreement of the item's tokens with those of the document on the diagonal of the hit
         agree = F.transform(F.col("item"), lambda t, x: F.when(F.get("words", F.col("i") - F.col("j") + x) == t, 1).otherwise(0))
-        laid = hit.select("doc_id", "item_id", "j", "n", agree.alias("agree"))
+        # each explode keeps what it wraps out of the join: its condition would otherwise carry whole texts per position
+        laid = hit.select("doc_id", "item_id", "j", "n", F.explode(F.array(agree)).alias("agree"))
         width = F.least(F.col("n"), F.lit(window))
         # windows that hold the seed's first token and lie in the item
         first, last = F.greatest(F.col("j") - width + 1, F.lit(0)), F.least(F.col("j"), F.col("n") - width)
         total = F.aggregate(F.slice("agree", 1, F.col("n")), F.lit(0), lambda a, x: a + x)
         best = F.array_max(F.transform(F.sequence(first, last), lambda s: F.aggregate(F.slice("agree", s + 1, width), F.lit(0), lambda a, x: a + x)))
-        return laid.where(best >= F.ceil(width * similarity)).select("doc_id", "item_id", total.alias("matched"), F.col("n").alias("compared"))
+        holds = F.explode(F.when(best >= F.ceil(width * similarity), F.array(F.struct(total.alias("matched"), F.col("n").alias("compared")))))
+        return laid.select("doc_id", "item_id", holds.alias("o")).select("doc_id", "item_id", "o.matched", "o.compared")
 
     found = reduce(DataFrame.union, (one(k) for k in range(max(1, blocks))))
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched", "compared")).alias("best"))
