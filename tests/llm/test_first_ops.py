@@ -213,3 +213,12 @@ def test_line_dedup(spark):
         kept = [x for x in lines if i is None or hot.get(key(x), i) == i]
         assert (got[i].n_lines, got[i].n_dropped, got[i].kept_text) == (len(lines), len(lines) - len(kept), "\n".join(kept))
     assert linededup.drop_repeated_lines(t.limit(0)).count() == 0
+
+
+def test_ids_are_those_of_the_tokenizers_file():
+    import public_tokenizers
+
+    fast = packing.Coder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = packing.Coder(public_tokenizers.path("byte_bpe_50k.json"))
+    for x in ["a\n\n b  c\n d ", "  lead", "tail  ", "\n\n\nx\t  y", "é ü\n .. ?!", "it's  'quoted'\n 12 3", " ", "", "a<|endoftext|>b", "日本語 текст"]:
+        assert fast(x) == plain(x)
