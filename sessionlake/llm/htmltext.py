@@ -161,7 +161,9 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     recur = stored(recur.join(broadcast_if_small(sizes), "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "tree"))
     templated = open_.select("row", "host", "pos", F.explode("block.own").alias("tree")).join(broadcast_if_small(recur), ["host", "tree"], "left_semi").select("row", "pos").distinct()
     gone = templated.groupBy("row").agg(F.collect_set("pos").alias("gone"))
-    met = done.join(gone, "row", "left")
+    met = done.where("rest is not null").join(gone, "row", "left")
     left = F.filter("rest", lambda b, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    text = F.coalesce("text", F.array_join(F.transform(left, lambda b: b["text"]), " "), F.lit(""))
-    return met.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+    text = F.coalesce(F.array_join(F.transform(left, lambda b: b["text"]), " "), F.lit(""))
+    # pages without such subtrees have their text already and are not shuffled
+    out = met.select("page_id", "url", text.alias("text")).union(done.where("rest is null").select("page_id", "url", F.coalesce("text", F.lit("")).alias("text")))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
