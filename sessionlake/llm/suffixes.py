@@ -6,18 +6,19 @@
 3. The texts of what is left meet by key. Each group's suffixes are sorted in two stages: those smaller than their
    successors directly, the others induced from them by one scan over the buckets of first bytes. Neighbours in that
    order that share `length` bytes mark repeated windows.
-A key with more than `most` different segments isn't sorted in one task: its windows are hashed and counted by
-Spark with partial sums, so no task holds the group.
+A key with more than `most` different segments isn't sorted in one task: cells of its windows are hashed and counted
+by Spark with partial sums, so no task holds the group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import broadcast_if_small, stored
@@ -159,6 +160,70 @@ def _sorted_groups(length: int):
     return work
 
 
+def _counted(crowd: DataFrame, length: int, sizes: tuple[int, ...] = (64, 16, 4, 1)) -> DataFrame:
+    """(key, seg, a, b) of the repeated windows of segments whose key is too common to be sorted in one task.
+
+    Windows are dealt into cells by their distance from the key's k-gram, so equal windows are in equal cells. A cell's
+    windows repeat if its bytes do; none does if the bytes that all of them hold don't. What is left is divided
+    further, to single windows at last. Spark counts the hashes of the bytes, with partial sums.
+    """
+    gram, done = min(GRAM, length), []
+
+    def cells(size: int):
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rolling = Rolling(4096 + 2 * length, BASES[0])
+            columns = ["key", "seg", "a", "b", "w1", "w2", "c1", "c2"]
+            for t in batches:
+                out = []
+                for key, seg, n, piece, own in zip(t["key"].tolist(), t["seg"].tolist(), t["n"].tolist(), t["piece"], t["parts"], strict=True):
+                    text = bytes(piece)
+                    at = np.flatnonzero(rolling(np.frombuffer(text, dtype=np.uint8), gram).view(np.int64) == key)
+                    for part in own if own is not None else [{"a": 0, "b": n}]:
+                        a, end = part["a"], part["b"]
+                        while a < end:
+                            origin = int(at[np.searchsorted(at, a)])  # the first place of the key in the window
+                            cell = a - (a - origin) % size
+                            b = min(end, cell + size, origin + 1)
+                            mark = f"{key} {origin - cell} {size} ".encode()
+                            w = xxhash.xxh3_128_intdigest(mark + f"{a - cell} {b - a} ".encode() + text[a : b - 1 + length])
+                            c = xxhash.xxh3_128_intdigest(mark + text[cell + size - 1 : cell + length])
+                            out.append((key, seg, a, b, *((x & (2**64 - 1)) - 2**63 for x in (w, w >> 64, c, c >> 64))))
+                            a = b
+                    if len(out) > 20_000:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+                if out:
+                    yield pd.DataFrame(out, columns=columns)
+
+        return work
+
+    left = crowd.withColumn("parts", F.lit(None).cast("array<struct<a:int,b:int>>"))
+    for size in sizes:
+        found = stored(left.mapInPandas(cells(size), "key long, seg long, a int, b int, w1 long, w2 long, c1 long, c2 long"))
+        equal = stored(found.groupBy("w1", "w2", "c1", "c2").agg(F.count("*").alias("all"), F.min(F.struct("key", "seg", "a", "b")).alias("one")))
+        same = broadcast_if_small(equal.where("all > 1").select("w1", "w2"))
+        done.append(found.join(same, ["w1", "w2"], "left_semi").groupBy("key", "seg").agg(F.collect_list(F.struct("a", "b")).alias("r")).select("key", "seg", F.col("r.a").alias("a"), F.col("r.b").alias("b")))
+        if size > 1:  # one of each kind of equal cells goes on where another kind holds the same bytes
+            common = stored(equal.groupBy("c1", "c2").agg(F.count("*").alias("kinds")).where("kinds > 1").select("c1", "c2"))
+            parts = equal.join(broadcast_if_small(common), ["c1", "c2"], "left_semi").groupBy("one.key", "one.seg").agg(F.collect_list(F.struct("one.a", "one.b")).alias("parts"))
+            left = crowd.join(parts, ["key", "seg"])
+    cells_of = reduce(DataFrame.union, done).groupBy("key", "seg").agg(F.sort_array(F.flatten(F.collect_list(F.arrays_zip("a", "b")))).alias("r"))
+    return cells_of.select("key", "seg", _joined("r", "int").alias("r")).select("key", "seg", F.col("r.a").alias("a"), F.col("r.b").alias("b"))
+
+
+def _joined(spans: str, kind: str) -> Column:
+    """Spans (a, b past the last) in order of a, those that touch or overlap as one; null: none."""
+    none = F.array().cast(f"array<struct<a:{kind},b:{kind}>>")
+    last = lambda acc: F.get(acc, F.size(acc) - 1)
+
+    def step(acc: Column, x: Column) -> Column:
+        longer = F.struct(last(acc)["a"].alias("a"), F.greatest(last(acc)["b"], x["b"]).alias("b"))
+        touches = (F.size(acc) > 0) & (x["a"] <= last(acc)["b"])
+        return F.when(touches, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(acc, F.array(x)))
+
+    return F.aggregate(F.coalesce(F.col(spans), none), none, step)
+
+
 def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = 400, most: int = 256) -> tuple[DataFrame, DataFrame]:
     """((h1, h2) of texts that occur more than once, (h1, h2, spans array<struct<a, b>>) of the others).
 
@@ -196,17 +261,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
 
     found = pieces.where(F.col("members") <= most).select("key", "seg", "piece").repartition("key").sortWithinPartitions("key").mapInPandas(_sorted_groups(length), "key long, seg long, a array<int>, b array<int>")
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rolling = [Rolling(4096 + length, b) for b in BASES]
-        for t in batches:
-            for key, seg, piece in zip(t["key"].tolist(), t["seg"].tolist(), t["piece"], strict=True):
-                data = np.frombuffer(bytes(piece), dtype=np.uint8)
-                w1, w2 = (r(data, length).view(np.int64) for r in rolling)
-                yield pd.DataFrame({"key": key, "seg": seg, "at": np.arange(len(w1), dtype=np.int32), "w1": w1, "w2": w2})
-
-    crowded = pieces.where(F.col("members") > most).select("key", "seg", "piece").mapInPandas(windows, "key long, seg long, at int, w1 long, w2 long")
-    again = crowded.groupBy("w1", "w2").agg(F.count("*").alias("all")).where("all > 1").select("w1", "w2")
-    counted = crowded.join(again, ["w1", "w2"]).select("key", "seg", F.array("at").alias("a"), F.array(F.col("at") + 1).alias("b"))
+    counted = _counted(stored(pieces.where(F.col("members") > most).select("key", "seg", "n", "piece")), length)
     whole = different.where("copies > 1").select("key", "seg", F.array(F.lit(0)).alias("a"), F.array("n").alias("b"))
     repeated = stored(found.union(counted).union(whole))
     spans = shared.join(repeated, ["key", "seg"]).select("h1", "h2", "s", F.explode(F.arrays_zip("a", "b")).alias("r"))
@@ -231,13 +286,8 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     few = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("n")).first()["n"] <= 500_000
     met = met.join(F.broadcast(spanned) if few else spanned, (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")), "left")
     n = F.octet_length("bytes").cast("long")
-    # maximal runs: spans in order, those that touch joined
     none = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    joined = F.aggregate(
-        F.coalesce("spans", none), none,
-        lambda acc, x: F.when((F.size(acc) > 0) & (x["a"] <= F.get(acc, F.size(acc) - 1)["b"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.get(acc, F.size(acc) - 1)["a"].alias("a"), F.greatest(F.get(acc, F.size(acc) - 1)["b"], x["b"]).alias("b"))))).otherwise(F.concat(acc, F.array(x))),
-    )
-    gone = F.when(F.col("copied"), F.array(F.struct(F.lit(0).cast("long").alias("a"), n.alias("b")))).when(F.col("spans").isNull(), none).otherwise(joined)
+    gone = F.when(F.col("copied"), F.array(F.struct(F.lit(0).cast("long").alias("a"), n.alias("b")))).when(F.col("spans").isNull(), none).otherwise(_joined("spans", "bigint"))
     gone = met.select("doc_id", "bytes", gone.alias("gone"))
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("gone", lambda x: x["b"]))
     ends = F.concat(F.transform("gone", lambda x: x["a"]), F.array(n))
