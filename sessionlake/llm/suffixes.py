@@ -172,12 +172,13 @@ def _counted(crowd: DataFrame, length: int, sizes: tuple[int, ...] = (64, 16, 4,
     def cells(size: int):
         def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rolling = Rolling(4096 + 2 * length, BASES[0])
-            columns = ["key", "seg", "a", "b", "w1", "w2", "c1", "c2"]
+            columns = ["key", "seg", "r", "w1", "w2", "c1", "c2"]
             for t in batches:
                 out = []
                 for key, seg, n, piece, own in zip(t["key"].tolist(), t["seg"].tolist(), t["n"].tolist(), t["piece"], t["parts"], strict=True):
                     text = bytes(piece)
                     at = np.flatnonzero(rolling(np.frombuffer(text, dtype=np.uint8), gram).view(np.int64) == key)
+                    kinds: dict[tuple, list[dict]] = {}  # a text that repeats itself has few of them
                     for part in own if own is not None else [{"a": 0, "b": n}]:
                         a, end = part["a"], part["b"]
                         while a < end:
@@ -187,8 +188,9 @@ def _counted(crowd: DataFrame, length: int, sizes: tuple[int, ...] = (64, 16, 4,
                             mark = f"{key} {origin - cell} {size} ".encode()
                             w = xxhash.xxh3_128_intdigest(mark + f"{a - cell} {b - a} ".encode() + text[a : b - 1 + length])
                             c = xxhash.xxh3_128_intdigest(mark + text[cell + size - 1 : cell + length])
-                            out.append((key, seg, a, b, *((x & (2**64 - 1)) - 2**63 for x in (w, w >> 64, c, c >> 64))))
+                            kinds.setdefault((w, c), []).append({"a": a, "b": b})
                             a = b
+                    out += [(key, seg, r, *((x & (2**64 - 1)) - 2**63 for x in (w, w >> 64, c, c >> 64))) for (w, c), r in kinds.items()]
                     if len(out) > 20_000:
                         yield pd.DataFrame(out, columns=columns)
                         out = []
@@ -199,15 +201,16 @@ def _counted(crowd: DataFrame, length: int, sizes: tuple[int, ...] = (64, 16, 4,
 
     left = crowd.withColumn("parts", F.lit(None).cast("array<struct<a:int,b:int>>"))
     for size in sizes:
-        found = stored(left.mapInPandas(cells(size), "key long, seg long, a int, b int, w1 long, w2 long, c1 long, c2 long"))
-        equal = stored(found.groupBy("w1", "w2", "c1", "c2").agg(F.count("*").alias("all"), F.min(F.struct("key", "seg", "a", "b")).alias("one")))
+        found = stored(left.mapInPandas(cells(size), "key long, seg long, r array<struct<a:int,b:int>>, w1 long, w2 long, c1 long, c2 long"))
+        first = F.struct("key", "seg", F.col("r")[0]["a"].alias("a"), F.col("r")[0]["b"].alias("b"))
+        equal = stored(found.groupBy("w1", "w2", "c1", "c2").agg(F.sum(F.size("r")).alias("all"), F.min(first).alias("one")))
         same = broadcast_if_small(equal.where("all > 1").select("w1", "w2"))
-        done.append(found.join(same, ["w1", "w2"], "left_semi").groupBy("key", "seg").agg(F.collect_list(F.struct("a", "b")).alias("r")).select("key", "seg", F.col("r.a").alias("a"), F.col("r.b").alias("b")))
+        done.append(found.join(same, ["w1", "w2"], "left_semi").select("key", "seg", "r"))
         if size > 1:  # one of each kind of equal cells goes on where another kind holds the same bytes
             common = stored(equal.groupBy("c1", "c2").agg(F.count("*").alias("kinds")).where("kinds > 1").select("c1", "c2"))
             parts = equal.join(broadcast_if_small(common), ["c1", "c2"], "left_semi").groupBy("one.key", "one.seg").agg(F.collect_list(F.struct("one.a", "one.b")).alias("parts"))
             left = crowd.join(parts, ["key", "seg"])
-    cells_of = reduce(DataFrame.union, done).groupBy("key", "seg").agg(F.sort_array(F.flatten(F.collect_list(F.arrays_zip("a", "b")))).alias("r"))
+    cells_of = reduce(DataFrame.union, done).groupBy("key", "seg").agg(F.sort_array(F.flatten(F.collect_list("r"))).alias("r"))
     return cells_of.select("key", "seg", _joined("r", "int").alias("r")).select("key", "seg", F.col("r.a").alias("a"), F.col("r.b").alias("b"))
 
 
