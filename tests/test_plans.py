@@ -5,11 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessionlake.functions import text as texts
-from sessionlake.operators import evidence, sessions
+from sessionlake.operators import audits, evidence, sessions
+from sessionlake.plans import audits as audit_plans
 from sessionlake.plans import queries as plans
 
 DATA = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents conversations labels".split()
+QUERIES, ORACLE_SQL = {**plans.QUERIES, **audit_plans.QUERIES}, {**plans.ORACLE_SQL, **audit_plans.ORACLE_SQL}
+TABLES = "region nation customer supplier part orders lineitem events documents conversations labels pages".split()
 
 
 @pytest.fixture(scope="module")
@@ -25,10 +27,10 @@ def canonical(rows, columns):
     return sorted(repr([round(r[k], 9) if isinstance(r[k], float) else r[k] for k in order]) for r in rows)
 
 
-@pytest.mark.parametrize("name", plans.QUERIES)
+@pytest.mark.parametrize("name", ORACLE_SQL)
 def test_query_equals_its_sql(spark, duck, name):
-    got = plans.QUERIES[name](spark, DATA)
-    want = duck.execute(plans.ORACLE_SQL[name])
+    got = QUERIES[name](spark, DATA)
+    want = duck.execute(ORACLE_SQL[name])
     columns = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(columns)
     assert canonical(got.collect(), got.columns) == canonical(want.fetchall(), columns)
@@ -58,3 +60,24 @@ def test_queue_keeps_the_first_of_a_key(spark):
     assert [(r.report_id, r.weight) for r in evidence.review_queue(t, 5).collect()] == [("b", 3.0), ("a", 2.0)]
     with pytest.raises(ValueError):
         evidence.review_queue(t, 0)
+
+
+def test_coverage_of_declared_sources(spark):
+    rows = spark.createDataFrame([("a", 3), ("a", 4), ("b", 1), (None, 2)], "source string, bytes long")
+    declared = spark.createDataFrame([("a", 2, 7), ("b", 2, 1), ("c", 0, 0), (None, 1, 2)], "source string, records long, bytes long")
+    assert {r.source: r.status for r in audits.coverage(rows, declared).collect()} == {"a": "READY", "b": "PARTIAL_SOURCE", "c": "READY", None: "READY"}
+
+
+def test_paths_and_gaps(spark):
+    t = spark.createDataFrame([("a/b/c",), ("../x",), ("/x",), ("",), (None,), ("a\\b",), ("x",)], "p string")
+    got = [(r.safe, r.up) for r in t.select(audits.safe_relative_path(F.col("p")).alias("safe"), audits.ancestors(F.col("p")).alias("up")).collect()]
+    assert got == [(True, ["a", "a/b"]), (False, [".."]), (False, [""]), (False, []), (False, None), (False, []), (True, [])]
+    lines = spark.createDataFrame([("f", 2, 6), ("f", 2, 6), ("f", 5, 6)], "path string, line int, total int")
+    assert sorted((r.first, r.last) for r in audits.missing_ranges(lines).collect()) == [(1, 1), (3, 4), (6, 6)]
+
+
+def test_audits_of_empty_tables(spark):
+    none = spark.createDataFrame([], "path string, line int, text string, total int, status string, tokens long, seconds double")
+    assert audits.merged_reads(none).count() == audits.missing_ranges(none).count() == 0
+    r = audits.rollout_metrics(none).first()
+    assert (r.trials, r.pass_rate, r.tokens, r.mean_seconds) == (0, 0.0, 0, None)
