@@ -21,12 +21,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import SPACES, ascii_lower, connected_components, stored
+from sessionlake.llm.common import SPACES, ascii_lower, broadcast_if_small, connected_components, stored
 
 #: Reference fingerprints: any fixed set does; these come from a multiplicative sequence.
 PIVOTS = [(i * 0x9E3779B97F4A7C15 ^ (i << 29) * 0xBF58476D1CE4E5B9) & (2**64 - 1) for i in range(1, 17)]
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 2048
+#: Shingle hashes of a block of verified documents: 16 MB.
+SHINGLES = 2_000_000
 
 
 def _mixed(k: int) -> int:
@@ -156,3 +158,104 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     moved = linked.select("fp", "component").join(least, "component").select("fp", "least_id")
     of_print = distinct.join(moved, "fp", "left").select(F.col("fp").alias("fingerprint"), F.coalesce(F.least("least_id", "first_id"), "first_id").alias("component_id"))
     return prints.join(of_print, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id")
+
+
+def shingle_set(words: str, shingle: int) -> Column:
+    """The sorted distinct hashes of the word shingles in an array column of words; no words: an empty array."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - shingle, F.lit(0)))
+    each = F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", *(F.get(words, i + k) for k in range(shingle)))))
+    return F.when(F.size(words) > 0, F.sort_array(F.array_distinct(each))).otherwise(F.array().cast("array<bigint>"))
+
+
+def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, minima: int) -> DataFrame:
+    """(doc_id, text_hash, node, n, fp, m0, ...) of every distinct (id, text): as fingerprints(), each different shingle
+    counted once. node is a hash of the set, n its size."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), words_of(F.col(text_col)).alias("words"))
+    sets = rows.select("doc_id", "text_hash", shingle_set("words", shingle).alias("set"))
+    hashed = sets.select("doc_id", "text_hash", F.xxhash64("set").alias("node"), F.size("set").alias("n"), F.explode_outer("set").alias("h"))
+    lanes = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(0x0000000100000001))).alias(f"s{j}") for j in range(32)]
+    least = [F.min(F.col("h").bitwiseXOR(F.lit(_signed(_mixed(k))))).alias(f"m{k}") for k in range(minima)]
+    counted = hashed.groupBy("doc_id", "text_hash", "node", "n").agg(F.count("*").alias("rows"), *lanes, *least)
+
+    def bit(j: int) -> Column:
+        count = F.shiftrightunsigned(f"s{j % 32}", 32) if j >= 32 else F.col(f"s{j}").bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.when(2 * count > F.col("rows"), F.lit(_signed(1 << j))).otherwise(F.lit(0))
+
+    return counted.select("doc_id", "text_hash", "node", "n", reduce(lambda a, b: a.bitwiseOR(b), (bit(j) for j in range(64))).cast("long").alias("fp"), *(f"m{k}" for k in range(minima)))
+
+
+def _verified(distance: int, similarity: float):
+    """Of one bucket's members with their shingle sets: links of at least that Jaccard similarity, as a forest."""
+
+    def links(t: pd.DataFrame) -> pd.DataFrame:
+        t = t.drop_duplicates("node").reset_index(drop=True)
+        node, fp, side, n = t["node"].to_numpy(), t["fp"].to_numpy(), t["side"].to_numpy(), t["n"].to_numpy()
+        _, codes = np.unique(np.concatenate([np.asarray(s, dtype=np.int64) for s in t["set"]]), return_inverse=True)
+        ends = np.cumsum(n)
+        label, mark, out = np.arange(len(t)), np.zeros(codes.max(initial=0) + 1, dtype=bool), []
+        for i in range(len(t) - 1):
+            j = np.arange(i + 1, len(t))
+            # a bucket dealt out in blocks compares each pair of blocks, and each block with itself, once
+            j = j[((side[j] != side[i]) | (side[i] == 2)) & (label[j] != label[i])]
+            j = j[_popcount(fp[j] ^ fp[i]) <= distance]
+            j = j[np.minimum(n[j], n[i]) >= similarity * np.maximum(n[j], n[i]) - 1e-9]
+            own = codes[ends[i] - n[i] : ends[i]]
+            mark[own] = True
+            while len(j):
+                some = j[:64]
+                shared = np.array([np.count_nonzero(mark[codes[ends[k] - n[k] : ends[k]]]) for k in some])
+                for k in some[shared >= similarity * (n[some] + n[i] - shared) - 1e-9]:
+                    if label[k] != label[i]:
+                        label[label == label[k]] = label[i]
+                        out.append((node[i], node[k]))
+                j = j[64:]
+                j = j[label[j] != label[i]]
+            mark[own] = False
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return links
+
+
+def verified_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, distance: int = 28, pairs: int = 10, similarity: float = 0.8, shingles: int = SHINGLES) -> DataFrame:
+    """(doc_id, text_hash, fingerprint, component_id) as near_duplicates(), over links of exact similarity.
+
+    A link is a Jaccard similarity of at least `similarity` of the sets of word shingles. Fingerprints and shared minima
+    only find candidates: components over them tell which documents may meet. The sets, hashes only, are made of these
+    documents alone and are sent once for each block of a component, or for each shared pair of minima where a component
+    has more blocks than there are pairs; no task holds more than two blocks of `shingles` hashes and a document each.
+    Texts without words are copies of each other.
+    """
+    prints = stored(set_fingerprints(docs, id_col, text_col, shingle, 2 * pairs))
+    minima = [F.min(f"m{k}").alias(f"m{k}") for k in range(2 * pairs)]
+    nodes = stored(prints.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("from"), F.min("n").alias("n"), F.min("fp").alias("fp"), *minima))
+    met = F.array(*(F.struct(F.lit(k).alias("combo"), F.xxhash64(f"m{2 * k}", f"m{2 * k + 1}").alias("bits")) for k in range(pairs)))
+    keys = nodes.where("n > 0").select("node", "fp", "n", F.explode(met).alias("k")).select("node", "fp", "n", "k.combo", "k.bits")
+    candidates = connected_components(links(nodes.where("n > 0").select("fp").distinct(), distance, keys=keys.select("fp", "combo", "bits").distinct()))
+    member = nodes.where("n > 0").select("node", "fp", "n").join(candidates.withColumnRenamed("node", "fp"), "fp", "left")
+    member = stored(member.select("node", "fp", "n", F.coalesce("component", "fp").alias("component")))
+
+    def blocks_of(group: list[str], t: DataFrame) -> DataFrame:
+        held = t.groupBy(*group).agg(F.count("*").alias("members"), F.sum("n").alias("held")).where("members > 1")
+        return held.select(*group, F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("held") / shingles)).cast("int").alias("blocks"))
+
+    sized = stored(blocks_of(["component"], member))
+    whole = member.join(sized.where(F.col("blocks") <= pairs), "component").select(F.lit(-1).alias("combo"), F.col("component").alias("bits"), "node", "fp", "n", "blocks")
+    crowded = keys.join(member.join(sized.where(F.col("blocks") > pairs), "component").select("node"), "node", "left_semi")
+    parts = crowded.join(blocks_of(["combo", "bits"], crowded), ["combo", "bits"]).select("combo", "bits", "node", "fp", "n", "blocks")
+    every = stored(whole.union(parts))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = every.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("combo", "bits", "node", "fp", "n", F.least("own", "other").alias("block_i"), F.greatest("own", "other").alias("block_j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
+    wanted = stored(nodes.join(every.select("node").distinct(), "node").select("node", F.col("from.doc_id").alias("of_id"), F.col("from.text_hash").alias("of_hash")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    held = rows.join(broadcast_if_small(wanted), rows["doc_id"].eqNullSafe(F.col("of_id")) & (rows["text_hash"] == F.col("of_hash"))).select("node", words_of(F.col("text")).alias("words"))
+    held = held.select("node", shingle_set("words", shingle).alias("set"))
+    full = held.join(broadcast_if_small(dealt), "node").select("combo", "bits", "block_i", "block_j", "node", "fp", "n", "side", "set")
+    linked = full.groupBy("combo", "bits", "block_i", "block_j").applyInPandas(_verified(distance, similarity), "a long, b long")
+
+    found = connected_components(linked)
+    moved = nodes.select("node", "first_id").join(found, "node")
+    least = moved.groupBy("component").agg(F.min("first_id").alias("least_id"))
+    moved = moved.join(least, "component").select("node", "least_id")
+    of_node = nodes.select("node", "first_id").join(moved, "node", "left").select("node", F.coalesce("least_id", "first_id").alias("component_id"))
+    return prints.join(of_node, "node").select("doc_id", "text_hash", F.col("fp").alias("fingerprint"), "component_id")
