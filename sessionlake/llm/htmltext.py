@@ -1,9 +1,10 @@
 """Main text of pages: site templates and page furniture removed.
 
-Each page is parsed once into its blocks of text, each with the hashes of the element subtrees that hold it. Spark
-counts on how many pages of a host each subtree occurs and drops blocks of subtrees that recur there. Elements whose
-name or class tells furniture (menus, adverts, forms and the like) go on any page, so small hosts are cleaned too; the
-paragraphs of an article are never taken for a template, however often a page was copied.
+Each page is parsed into its blocks of text, each with the hashes of the element subtrees that hold it, those of
+articles too. Spark counts on how many different pages of a host each subtree occurs, by hashes alone, and the subtrees
+that recur there go when the pages are parsed again; texts are never shuffled. Copies of a page are one page, so what
+was copied is no template. Outside articles, elements whose name or class tells furniture (menus, adverts, forms and the
+like) go on any page, so small hosts are cleaned too; inside, such names only lower the count at which they go.
 """
 
 from __future__ import annotations
@@ -12,52 +13,64 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import broadcast_if_small, stored
+from sessionlake.llm.common import small, stored
 
 # Fixed values of HTML: elements without end tags, elements that are blocks, those whose content is not shown.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "caption", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 UNSEEN = {"script", "style", "title", "template", "noscript", "iframe", "object", "svg", "canvas", "audio", "video"}
-#: Elements of page furniture, and words of class, id and role that tell it.
+#: Elements of page furniture, and whole names of class, id and role that tell it.
 FURNITURE = {"nav", "header", "footer", "aside", "form", "button", "select", "textarea", "menu", "dialog"}
 FURNITURE_WORDS = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "contentinfo", "cookie", "cookies", "footer", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "related", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget"}
-#: What an article's own text is made of; never counted as a template inside one.
-PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "td", "th", "dd", "dt", "figcaption", "caption"}
+#: Not the page's own text wherever they are: controls, and what readers wrote, which recurs nowhere.
+CONTROLS = {"button", "select", "textarea"}
+COMMENTS = {"comment", "comments"}
+#: Template keys that are sent to every task at most: 32 MB.
+TEMPLATES = 4_000_000
+#: Elements that hold a page or its text as a whole: no templates.
+WHOLE = {"html", "head", "body", "main", "article"}
 #: A start tag of the first closes an open element of the second kind.
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
 class _Element:
-    __slots__ = ("dropped", "hash", "in_article", "name")
+    __slots__ = ("dropped", "furniture", "hash", "holds", "in_article", "low", "name")
 
-    def __init__(self, name, shape, in_article, dropped):
-        self.name, self.in_article, self.dropped = name, in_article, dropped
+    def __init__(self, name, shape, in_article=False, dropped=False, furniture=False, low=False):
+        self.name, self.in_article, self.dropped, self.furniture, self.low = name, in_article, dropped, furniture, low
+        self.holds = False
         self.hash = xxhash.xxh3_64(shape)
 
 
 class Blocks(HTMLParser):
-    """The shown blocks of a page as (text, in article, hashes of the subtrees that may be templates)."""
+    """The shown blocks of a page as [text, in article, elements around it, whether it goes on in the word before]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[_Element] = [_Element("", b"", False, False)]
+        self.stack: list[_Element] = [_Element("", b"")]
         self.pieces: list[str] = []
-        self.blocks: list[tuple[str, bool, list[_Element]]] = []
+        self.blocks: list[tuple[str, bool, list[_Element], bool]] = []
+        self.glued = False
 
-    def _end_block(self) -> None:
-        text = " ".join("".join(self.pieces).split())
+    def _end_block(self, inline: bool = False) -> None:
+        raw = "".join(self.pieces)
+        text = " ".join(raw.split())
         self.pieces.clear()
         if text:
-            prose = next((k for k, e in enumerate(self.stack) if e.in_article and e.name in PROSE), len(self.stack))
-            own = [e for e in self.stack[1:prose] if e.name not in ("html", "head", "body", "main", "article")]
-            self.blocks.append((text, self.stack[-1].in_article, own))
-            for e in self.stack:
-                e.hash.update(text.encode("utf-8", "surrogatepass") + b"\0")
+            self.blocks.append((text, self.stack[-1].in_article, self.stack[1:], self.glued and not raw[0].isspace()))
+            data = text.encode("utf-8", "surrogatepass") + b"\0"
+            for e in self.stack[1:]:
+                if e.name not in WHOLE:
+                    e.hash.update(data)
+            self.glued = inline and not raw[-1].isspace()
+        elif raw or not inline:
+            self.glued = False
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -73,12 +86,20 @@ class Blocks(HTMLParser):
         if tag in VOID:
             return
         up = self.stack[-1]
-        names = {w for k, v in attrs if k in ("class", "id", "role") and v for w in re.split(r"[^a-z0-9]+", v.lower())}
-        in_article = up.in_article or tag in ("article", "main")
-        furnished = tag in FURNITURE or (tag not in ("html", "body", "article", "main") and bool(names & FURNITURE_WORDS))
+        names = {w for k, v in attrs if k in ("class", "id", "role") and v for w in v.lower().split()}
+        comments = bool(names & COMMENTS) and tag not in ("html", "body", "main")
+        main = tag in ("article", "main") and not comments
+        in_article = up.in_article or main
+        named = comments or tag in FURNITURE or (tag not in ("html", "body", "article", "main") and bool(names & FURNITURE_WORDS))
+        sure = comments or tag in CONTROLS
+        if named and tag not in BLOCKS:
+            self._end_block(inline=True)
+        if main and not up.in_article:
+            # what holds the article is no furniture
+            for e in self.stack:
+                e.holds = True
         shape = f"{tag} {' '.join(sorted(names))}".encode("utf-8", "surrogatepass")
-        comments = tag == "article" and bool(names & {"comment", "comments"})
-        self.stack.append(_Element(tag, shape, in_article, up.dropped or tag in UNSEEN or furnished or comments))
+        self.stack.append(_Element(tag, shape, in_article, up.dropped or tag in UNSEEN, named and (sure or not in_article), up.low or (named and in_article)))
 
     def _break(self, tag: str) -> None:
         if tag == "br":
@@ -102,6 +123,8 @@ class Blocks(HTMLParser):
         for k in range(len(self.stack) - 1, 0, -1):
             e = self.stack[k]
             if e.name == tag:
+                if tag not in BLOCKS and any(x.furniture or x.low for x in self.stack[k:]):
+                    self._end_block(inline=True)
                 del self.stack[k:]
                 return
             if tag not in BLOCKS and e.name in BLOCKS:
@@ -117,53 +140,91 @@ class Blocks(HTMLParser):
             self.pieces.append(data)
 
 
-def blocks_of(html: str) -> list[tuple[str, bool, list[int]]]:
-    """(text, in article, subtree hashes) of the blocks of a page, in order."""
+def blocks_of(html: str, host: str = "", every: bool = True) -> list[tuple[str, bool, list[int], bool]]:
+    """(text, selected, keys of the subtrees of this host, goes on in the word before) of a page's blocks, in order.
+
+    Selected are those of article and main elements where there are any, else all but furniture. A key is odd where
+    a name inside an article tells furniture. Without `every` blocks that are not selected have no keys.
+    """
     parser = Blocks()
     parser.feed(html)
     parser.close()
     parser._end_block()
-    return [(text, inside, [e.hash.intdigest() - (1 << 63) for e in own]) for text, inside, own in parser.blocks]
+    salt = xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass"))
+    key = lambda e: (e.hash.intdigest() ^ salt) - (1 << 63) & ~1 | e.low
+    shown = [not any(e.furniture and not e.holds for e in around) for _, _, around, _ in parser.blocks]
+    inside = any(ok and b[1] for ok, b in zip(shown, parser.blocks, strict=True))
+    keys: dict[_Element, int] = {}
+    out = []
+    for ok, (text, in_article, around, glued) in zip(shown, parser.blocks, strict=True):
+        chosen = ok and (in_article or not inside)
+        own = [keys[e] if e in keys else keys.setdefault(e, key(e)) for e in around if e.name not in WHOLE] if chosen or every else []
+        out.append((text, chosen, own, glued))
+    return out
+
+
+def _joined(blocks: list[tuple[str, bool]]) -> str:
+    return "".join(("" if glued or not k else " ") + text for k, (text, glued) in enumerate(blocks))
+
+
+def _trees(html: pd.Series, host: pd.Series) -> pd.DataFrame:
+    """The hash of each page's selected text and the keys of all its subtrees."""
+    pages, trees = [], []
+    for page, name in zip(html, host, strict=True):
+        found = blocks_of(page, name) if isinstance(page, str) else []
+        pages.append(xxhash.xxh3_64_intdigest("\0".join(b[0] for b in found if b[1]).encode("utf-8", "surrogatepass")) - (1 << 63))
+        trees.append(sorted({k for b in found for k in b[2]}))
+    return pd.DataFrame({"page": pages, "trees": trees})
+
+
+def _selected(html: pd.Series, host: pd.Series) -> pd.Series:
+    found = (blocks_of(page, name, every=False) if isinstance(page, str) else [] for page, name in zip(html, host, strict=True))
+    return pd.Series([[{"text": x, "own": own, "glued": glued} for x, chosen, own, glued in page if chosen] for page in found])
+
+
+def _cleaned(templates):
+    """Of pages and hosts: the selected text without the subtrees of a broadcast sorted array."""
 
+    def text(html: pd.Series, host: pd.Series) -> pd.Series:
+        known = templates.value
+        out = []
+        for page, name in zip(html, host, strict=True):
+            found = [b for b in blocks_of(page, name, every=False) if b[1]] if isinstance(page, str) else []
+            keys = np.array(sorted({k for b in found for k in b[2]}), dtype=np.int64)
+            at = np.searchsorted(known, keys)
+            gone = set(keys[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == keys)].tolist()) if len(known) else set()
+            out.append(_joined([(x, glued and k > 0 and gone.isdisjoint(found[k - 1][2])) for k, (x, _, own, glued) in enumerate(found) if gone.isdisjoint(own)]))
+        return pd.Series(out, dtype=object)
 
-def _parsed(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """The text of pages that hold no subtree that may be a template, the blocks of the others."""
-    for s in pages:
-        texts, rest = [], []
-        for html in s:
-            found = blocks_of(html) if isinstance(html, str) else []
-            if any(inside for _, inside, _ in found):
-                found = [b for b in found if b[1]]
-            whole = all(not own for _, _, own in found)
-            texts.append(" ".join(x for x, _, _ in found) if whole else None)
-            rest.append(None if whole else [{"text": x, "own": own} for x, _, own in found])
-        yield pd.DataFrame({"text": texts, "rest": rest})
+    return text
 
 
-def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
+def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 5, least_named: int = 2, most_templates: int = TEMPLATES) -> DataFrame:
     """(page_id, url, text, n_chars): a row for each row of pages.
 
-    A subtree is a template if it recurs on at least `least_pages` pages of its host (by rows) and on a share of at
-    least `least_share` of them. Where a page has article or main elements, its text is theirs; else that of the body.
-    Null and empty html has empty text. Rows with a null url share one host. Repeated rows are extracted each and count
-    as pages. An empty table gives no rows; other columns are not read.
+    A subtree is a template if it recurs on at least `least_pages` different pages of its host, `least_named` where a
+    name tells furniture inside an article; pages whose selected texts are equal are one page. Where a page has article
+    or main elements, its text is theirs; else that of the body. Null and empty html has empty text. Rows with a null
+    url share one host. Repeated rows are extracted each. An empty table gives no rows; other columns are not read.
     """
 
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    parsed = rows.select("row", "page_id", "url", F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1).alias("host"), "html")
-    blocks = F.pandas_udf(_parsed, "text string, rest array<struct<text:string,own:array<bigint>>>")
-    done = stored(parsed.select("row", "page_id", "url", "host", blocks("html").alias("p")).select("row", "page_id", "url", "host", "p.text", "p.rest"))
-    # only blocks that a recurring subtree may hold are looked up
-    open_ = done.where("rest is not null").select("row", "host", F.posexplode("rest").alias("pos", "block"))
-    trees = open_.select("row", "host", F.explode("block.own").alias("tree")).distinct()
-    sizes = done.groupBy("host").agg(F.count("*").alias("pages"))
-    recur = trees.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-    recur = stored(recur.join(broadcast_if_small(sizes), "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "tree"))
-    templated = open_.select("row", "host", "pos", F.explode("block.own").alias("tree")).join(broadcast_if_small(recur), ["host", "tree"], "left_semi").select("row", "pos").distinct()
-    gone = templated.groupBy("row").agg(F.collect_set("pos").alias("gone"))
-    met = done.where("rest is not null").join(gone, "row", "left")
-    left = F.filter("rest", lambda b, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    text = F.coalesce(F.array_join(F.transform(left, lambda b: b["text"]), " "), F.lit(""))
-    # pages without such subtrees have their text already and are not shuffled
-    out = met.select("page_id", "url", text.alias("text")).union(done.where("rest is null").select("page_id", "url", F.coalesce("text", F.lit("")).alias("text")))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    rows = rows.withColumn("host", F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    trees = F.pandas_udf(_trees, "page bigint, trees array<bigint>")
+    # a page counts once for a tree; the hot trees of a hot host are dealt out by page before they are counted
+    each = rows.select(trees("html", "host").alias("p")).select("p.page", F.explode("p.trees").alias("tree")).distinct()
+    least = F.when(F.col("tree").bitwiseAND(F.lit(1)) == 1, least_named).otherwise(least_pages)
+    recur = stored(each.groupBy("tree").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("tree"))
+    if small(recur, most_templates):
+        known = np.sort(recur.toPandas()["tree"].to_numpy(dtype=np.int64))
+        text = F.pandas_udf(_cleaned(pages.sparkSession.sparkContext.broadcast(known)), "string")
+        out = rows.select("page_id", "url", text("html", "host").alias("text"))
+    else:
+        blocks = F.pandas_udf(_selected, "array<struct<text:string,own:array<bigint>,glued:boolean>>")
+        done = stored(rows.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", blocks("html", "host").alias("rest")))
+        found = done.select("row", F.posexplode("rest").alias("pos", "block")).select("row", "pos", F.explode("block.own").alias("tree")).join(recur, "tree", "left_semi")
+        gone = found.groupBy("row").agg(F.collect_set("pos").alias("gone"))
+        met = done.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+        spaced = F.transform("rest", lambda b, i: F.when(F.array_contains("gone", i), "").otherwise(F.concat(F.when(b["glued"] & (i > 0) & ~F.array_contains("gone", i - 1), "").otherwise(" "), b["text"])))
+        out = met.select("page_id", "url", F.ltrim(F.array_join(spaced, "")).alias("text"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
