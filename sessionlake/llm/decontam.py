@@ -4,8 +4,9 @@ Text becomes lower-cased runs of letters and digits. A mask is a fixed span of t
 ignored; the kept tokens of every span of the benchmark and of every document are hashed and joined. Around a hit the
 item is laid over the document: the overlap holds if enough of its tokens agree, so substituted words are tolerated.
 
-Only the benchmark's seeds are broadcast, in blocks of at most `block_rows` rows, one pass over the documents each;
-the documents are never shuffled. What leaves a task is one row for each document and item, combined before the shuffle.
+Only the benchmark's seeds, rows of numbers, are broadcast, in blocks of at most `block_rows` rows, one pass over the
+documents each. Hits are combined to distinct diagonals of a document and an item, numbers again, before the tokens of
+the documents that were hit and of the items are brought in, by a broadcast where these are few.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import BROADCAST_ROWS, stored
+from sessionlake.llm.common import BROADCAST_ROWS, broadcast_if_small, stored
 
-#: Kept positions of each mask: any fixed sets do. Different gaps, so that one substitution cannot hit all of them.
-MASKS = ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 5, 9))
+#: Kept positions of each mask. Different gaps, so that one substitution cannot hit all of them: of the 4,845 sets of
+#: four substitutions in 20 tokens the first three leave 6 without a seed, and all four none.
+MASKS = ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 5, 9), (0, 1, 2, 3, 4, 5))
 
 
 def tokens(text: Column) -> Column:
@@ -38,6 +40,11 @@ def _seed(words: str, at: Column, mask: int) -> Column:
     return F.when(at + MASKS[mask][-1] < F.size(words), F.xxhash64(F.lit(mask), *kept))
 
 
+def _run(words: str, at: Column, length: int) -> Column:
+    """The hash of so many tokens in a row; null where they pass the end."""
+    return F.when(at + length <= F.size(words), F.xxhash64(F.lit(-length), *(F.get(words, at + p) for p in range(length))))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 20, similarity: float = 0.8, block_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, item_id, matched, compared, similarity): a row for each document and item that overlap.
 
@@ -45,36 +52,54 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     of the document, of which a share of at least `similarity` agree, found around a seed hit. The row tells of the
     alignment with most agreeing tokens over the whole item: `matched` of `compared` (the item's tokens).
 
-    Null and empty texts have no tokens and overlap nothing; items of fewer tokens than a mask spans (9 or 10) are told
-    from chance by nothing and are not matched. Rows with a null id are kept under null. Repeated rows count once.
-    Empty tables give no rows; no other column is read.
+    Items of `window` tokens and more give the seeds of the masks at each position. A shorter item, of which e tokens may
+    differ, gives e + 1 runs side by side, of which one is whole in any overlap; without any such e, the whole item.
+    Windows and similarities for which the masks are not enough are searched by runs as well, at each position.
+
+    Null and empty texts have no tokens and overlap nothing. Rows with a null id are kept under null. Repeated rows
+    count once. Empty tables give no rows; no other column is read.
     """
-    items = benchmark.select(F.col(item_col).alias("item_id"), _words(F.col(item_text)).alias("item")).distinct()
-    at = items.select("item_id", "item", F.posexplode("item").alias("j", "_w")).drop("_w")
-    pairs = F.filter(F.array(*(F.struct(_seed("item", F.col("j"), m).alias("h")) for m in range(len(MASKS)))), lambda s: s["h"].isNotNull())
-    seeds = stored(at.select("item_id", "item", "j", F.explode(pairs).alias("s")).select(F.col("s.h").alias("h"), "item_id", "j", F.size("item").alias("n"), "item"))
+    items = benchmark.select(F.col(item_col).alias("item_id"), _words(F.col(item_text)).alias("item")).where(F.size("item") > 0).distinct()
+    items = stored(items.select(F.xxhash64("item_id", "item").alias("key"), "item_id", "item", F.size("item").alias("n")))
+    width = F.least(F.col("n"), F.lit(window))
+    need = F.ceil(width * similarity).cast("int")
+    run = (width / (width - need + 1)).cast("int")
+    masked = window >= 20 and similarity >= 0.8
+    # e + 1 runs side by side if the item is one window, else runs from each position on
+    sized = items.select("key", "item", "n", run.alias("run"), ((F.col("n") >= window) if masked else F.lit(False)).alias("long"), F.when(F.col("n") <= window, run).otherwise(1).alias("step"))
+    runs = sorted(r.run for r in sized.where("not long").select("run").distinct().collect())
+    any_long = bool(sized.where("long").limit(1).count())
+    masks = [(m, _seed) for m in range(len(MASKS)) if any_long] + [(r, _run) for r in runs]
+
+    def fits(size: int, of: object, j: Column) -> Column:
+        return F.col("long") if of is _seed else ~F.col("long") & (F.col("run") == size) & (j % F.col("step") == 0)
+
+    pairs = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.array(*(F.struct(F.when(fits(k, of, j), of("item", j, k)).alias("h"), j.alias("j")) for k, of in masks)))), lambda s: s["h"].isNotNull())
+    seeds = sized.select("key", "n", F.explode(pairs).alias("s")).select(F.col("s.h").alias("h"), "key", F.col("s.j").alias("j"), "n") if masks else sized.selectExpr("key AS h", "key", "n AS j", "n")
+    seeds = stored(seeds)
     blocks = -(-seeds.count() // block_rows)
 
-    words = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words"))
-    placed = words.select("doc_id", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)))).alias("i"))
-    seeded = placed.select("doc_id", "words", "i", F.explode(F.array(*(_seed("words", F.col("i"), m) for m in range(len(MASKS))))).alias("h")).where("h is not null")
+    words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), _words(F.col(text_col)).alias("words"))
+    placed = words.select("doc_id", "text_hash", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)))).alias("i"))
+    hashes = F.array(*(of("words", F.col("i"), k) for k, of in masks)) if masks else F.array().cast("array<bigint>")
+    seeded = placed.select("doc_id", "text_hash", "i", F.explode(hashes).alias("h")).where("h is not null")
 
     def one(k: int) -> DataFrame:
         few = seeds if blocks <= 1 else seeds.where(F.pmod(F.xxhash64("h"), F.lit(blocks)) == k)
-        hit = seeded.join(F.broadcast(few), "h")
-        # agreement of the item's tokens with those of the document on the diagonal of the hit
-        agree = F.transform(F.col("item"), lambda t, x: F.when(F.get("words", F.col("i") - F.col("j") + x) == t, 1).otherwise(0))
-        # each explode keeps what it wraps out of the join: its condition would otherwise carry whole texts per position
-        laid = hit.select("doc_id", "item_id", "j", "n", F.explode(F.array(agree)).alias("agree"))
-        width = F.least(F.col("n"), F.lit(window))
-        # windows that hold the seed's first token and lie in the item
-        first, last = F.greatest(F.col("j") - width + 1, F.lit(0)), F.least(F.col("j"), F.col("n") - width)
-        total = F.aggregate(F.slice("agree", 1, F.col("n")), F.lit(0), lambda a, x: a + x)
-        best = F.array_max(F.transform(F.sequence(first, last), lambda s: F.aggregate(F.slice("agree", s + 1, width), F.lit(0), lambda a, x: a + x)))
-        holds = F.explode(F.when(best >= F.ceil(width * similarity), F.array(F.struct(total.alias("matched"), F.col("n").alias("compared")))))
-        return laid.select("doc_id", "item_id", holds.alias("o")).select("doc_id", "item_id", "o.matched", "o.compared")
-
-    found = reduce(DataFrame.union, (one(k) for k in range(max(1, blocks))))
+        return seeded.join(F.broadcast(few), "h").select("doc_id", "text_hash", "key", "n", (F.col("i") - F.col("j")).alias("at")).distinct()
+
+    hit = stored(reduce(DataFrame.union, (one(k) for k in range(max(1, blocks)))).distinct())
+    rows = docs.select(F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col)).alias("__hash"), F.col(text_col).alias("__text"))
+    met = rows.join(broadcast_if_small(hit), F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash")))
+    # only the tokens on the diagonal go on; each explode keeps what it wraps from being computed anew at each position
+    tokens_of = met.select("doc_id", "key", "n", "at", F.explode(F.array(_words(F.col("__text")))).alias("words"))
+    cut = tokens_of.select("doc_id", "key", "at", F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda x: F.get("words", F.col("at") + x)).alias("cut"))
+    held = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    laid = cut.join(F.broadcast(items) if held <= block_rows else items, "key")
+    agree = laid.select("doc_id", "item_id", "n", F.explode(F.array(F.zip_with("item", "cut", lambda t, w: F.when(t == w, 1).otherwise(0)))).alias("agree"))
+    total = F.aggregate("agree", F.lit(0), lambda a, x: a + x)
+    best = F.array_max(F.transform(F.sequence(F.lit(0), F.col("n") - width), lambda s: F.aggregate(F.slice("agree", s + 1, width), F.lit(0), lambda a, x: a + x)))
+    found = agree.where(best >= need).select("doc_id", "item_id", total.alias("matched"), F.col("n").alias("compared"))
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched", "compared")).alias("best"))
     return best.select("doc_id", "item_id", F.col("best.matched").cast("long").alias("matched"), F.col("best.compared").cast("long").alias("compared"), (F.col("best.matched") / F.col("best.compared")).alias("similarity"))
 
