@@ -4,24 +4,49 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows of a few numbers each: about 16 MB at most when broadcast.
-BROADCAST_ROWS = 500_000
+#: What is broadcast at most: so many rows, and so many bytes of values in them.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 24 << 20
 #: ASCII white space as in the contracts' [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names in spark.checkpoint.dir; a temporary one only where none is set."""
+    """A new folder below the one that the cluster names in spark.checkpoint.dir; a temporary one only where none is set, in local mode."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="sessionlake-")
         sc.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/sessionlake-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/sessionlake-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored in this scope is deleted at its end: use it around an operator whose result is written elsewhere."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
 
 
 def stored(df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
@@ -31,16 +56,36 @@ def stored(df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most so many rows; counts no further than that. For tables of fixed-size rows."""
-    return df.limit(rows + 1).count() <= rows
+def _width(field: T.StructField) -> Column:
+    """About how many bytes a value has: numbers 8, strings their own, arrays 8 for each number in them."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(field.dataType, T.ArrayType):
+        inner = field.dataType.elementType
+        if isinstance(inner, T.StringType):
+            return F.aggregate(F.coalesce(c, F.array().cast(field.dataType)), F.lit(16), lambda n, x: n + F.coalesce(F.octet_length(x), F.lit(0)) + 16)
+        return F.greatest(F.size(c), F.lit(0)) * 8 * (len(inner.fields) if isinstance(inner, T.StructType) else 1) + 16
+    return F.lit(8)
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most so many rows and bytes of values; looks at no more rows than that."""
+    r = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(reduce(Column.__add__, map(_width, df.schema.fields)).cast("long")), F.lit(0)).alias("size")).first()
+    return r["n"] <= rows and r["size"] <= most_bytes
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if its counted rows are within the bound, else df as it is, for a shuffled join."""
+    """df with a broadcast hint if its rows and bytes are within the bounds, else df as it is, for a shuffled join."""
     return F.broadcast(df) if small(df, rows) else df
 
 
+def sampled(column: Column, quota: int, total: int) -> Column:
+    """Whether a row is among about `quota` of `total`, by a 64-bit hash of column: exact for totals of any size."""
+    bound = (min(quota, total) << 64) // max(1, total) - (1 << 63)
+    return F.xxhash64(F.lit(quota), column) < F.lit(bound) if bound < 1 << 63 else F.lit(True)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else kept; lower() does the same, and faster, where all bytes are ASCII."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

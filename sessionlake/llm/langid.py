@@ -8,7 +8,7 @@ averaged; others of the sample, which no shard sees, set the temperature. Predic
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.llm import ftrl
-from sessionlake.llm.common import stored
+from sessionlake.llm.common import sampled, stored
 
 BUCKETS = 1 << 15
 #: Any odd constants do.
@@ -91,18 +91,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     Learns from the text and non-null lang of documents that are not held_out(); predictions read the text alone.
     lang_pred is `und` with score 0 if the text is null or has no letter, or if there is nothing to learn from. Repeated
     rows are predicted each, null ids are held out. An empty table gives no rows; no other column is read.
-    `train_docs` bounds the documents that the regression is fitted on, in expectation; their choice is by hash.
+    `train_docs` bounds the documents that the regression is fitted on, in expectation; their choice is by hash, in
+    equal parts of each language. Texts are read whole, in memory of a few times the longest one's size.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(id_col).alias("held_out"))
     known = rows.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counted = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs, total = sorted(counted), sum(counted.values())
-
+    langs = sorted(counted)
     if not langs:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     idf = idf_of(known.select("text"))
     number = {x: i for i, x in enumerate(langs)}
-    share = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1_000_000)) < int(min(1.0, train_docs / total) * 1_000_000)
+    # each language has an equal part of the sample, a rare one all its documents
+    quota = -(-train_docs // len(langs))
+    share = reduce(lambda c, x: c.when(F.col("lang") == x, sampled(F.col("doc_id"), quota, counted[x])), langs, F.when(F.lit(False), F.lit(False)))
     shard = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(shards + 1)).cast("int")
     sample = stored(known.where(share).select("text", "lang", shard.alias("shard")))
 
