@@ -1,16 +1,17 @@
 """Main text of pages: site templates and page furniture removed.
 
-Each page is parsed into its blocks of text, each with the hashes of the element subtrees that hold it, those of
-articles too. Spark counts on how many different pages of a host each subtree occurs, by hashes alone, and the subtrees
-that recur there go when the pages are parsed again; texts are never shuffled. Copies of a page are one page, so what
-was copied is no template. Outside articles, elements whose name or class tells furniture (menus, adverts, forms and the
-like) go on any page, so small hosts are cleaned too; inside, such names only lower the count at which they go.
+Each page is parsed into its blocks of text and the element subtrees that hold them, those of articles too. A subtree's
+hash is made of its own names, its texts and the hashes of the subtrees in it, once when it ends, so a page costs its
+length however deep it is. Spark counts on how many different pages of a host each subtree occurs, by hashes alone, and
+the subtrees that recur there go when the pages are parsed again; texts are never shuffled. Copies of a page are one
+page, so what was copied is no template. Outside articles, elements whose name or class tells furniture (menus, adverts,
+forms and the like) go on any page, so small hosts are cleaned too; inside, elements that are menus, asides and footers
+go, and other such names only lower the count at which they go.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -29,7 +30,9 @@ UNSEEN = {"script", "style", "title", "template", "noscript", "iframe", "object"
 FURNITURE = {"nav", "header", "footer", "aside", "form", "button", "select", "textarea", "menu", "dialog"}
 FURNITURE_WORDS = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "contentinfo", "cookie", "cookies", "footer", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "related", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget"}
 #: Not the page's own text wherever they are: controls, and what readers wrote, which recurs nowhere.
-CONTROLS = {"button", "select", "textarea"}
+CONTROLS = {"button", "select", "textarea", "label", "legend"}
+#: Elements that are no text of an article they stand in.
+BESIDE = {"nav", "aside", "footer", "menu", "dialog"}
 COMMENTS = {"comment", "comments"}
 #: Template keys that are sent to every task at most: 32 MB.
 TEMPLATES = 4_000_000
@@ -40,48 +43,63 @@ CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td
 
 
 class _Element:
-    __slots__ = ("dropped", "furniture", "hash", "holds", "in_article", "low", "name")
+    __slots__ = ("dropped", "furniture", "gone", "hash", "holds", "in_article", "key", "low", "name", "parent", "texts")
 
-    def __init__(self, name, shape, in_article=False, dropped=False, furniture=False, low=False):
-        self.name, self.in_article, self.dropped, self.furniture, self.low = name, in_article, dropped, furniture, low
-        self.holds = False
-        self.hash = xxhash.xxh3_64(shape)
+    def __init__(self, name, parent, shape, in_article=False, dropped=False, furniture=False, low=False):
+        self.name, self.parent, self.in_article, self.dropped, self.furniture, self.low = name, parent, in_article, dropped, furniture, low
+        self.holds = self.texts = self.gone = False
+        self.hash, self.key = xxhash.xxh3_64(shape), 0
 
 
 class Blocks(HTMLParser):
-    """The shown blocks of a page as [text, in article, elements around it, whether it goes on in the word before]."""
+    """The shown blocks of a page as (text, the element around it, whether it goes on in the word before), and all elements, outer ones first."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[_Element] = [_Element("", b"")]
+        self.root = _Element("", None, b"")
+        self.stack, self.elements, self.open = [self.root], [self.root], Counter()
         self.pieces: list[str] = []
-        self.blocks: list[tuple[str, bool, list[_Element], bool]] = []
+        self.blocks: list[tuple[str, _Element, bool]] = []
         self.glued = False
 
+    def parse_marked_section(self, i, report=0):
+        """As a comment, whatever it is: `<![` up to the next `>`."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def _end_block(self, inline: bool = False) -> None:
         raw = "".join(self.pieces)
         text = " ".join(raw.split())
         self.pieces.clear()
         if text:
-            self.blocks.append((text, self.stack[-1].in_article, self.stack[1:], self.glued and not raw[0].isspace()))
-            data = text.encode("utf-8", "surrogatepass") + b"\0"
-            for e in self.stack[1:]:
-                if e.name not in WHOLE:
-                    e.hash.update(data)
+            around = self.stack[-1]
+            self.blocks.append((text, around, self.glued and not raw[0].isspace()))
+            around.hash.update(text.encode("utf-8", "surrogatepass") + b"\0")
+            around.texts = True
             self.glued = inline and not raw[-1].isspace()
         elif raw or not inline:
             self.glued = False
 
+    def _pop(self, k: int) -> None:
+        """Closes the elements of the stack from k on; those with text go into the hashes around them."""
+        for e in reversed(self.stack[k:]):
+            self.open[e.name] -= 1
+            e.key = e.hash.intdigest()
+            if e.texts:
+                e.parent.hash.update(e.key.to_bytes(8, "little"))
+                e.parent.texts = True
+        del self.stack[k:]
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
-            if tag != "br" or not self.stack[-1].dropped:
-                self._break(tag)
-            open_p = next((e for e in reversed(self.stack) if e.name in ("p", "article", "div", "section", "td", "li")), None)
-            if tag != "br" and open_p is not None and open_p.name == "p":
-                self._close("p")
+            if tag == "br":
+                self.pieces.append(" " if not self.stack[-1].dropped else "")  # a line's end inside a block is white space
+            else:
+                self._end_block()
+                if self.open["p"] and next(e for e in reversed(self.stack) if e.name in ("p", "article", "div", "section", "td", "li")).name == "p":
+                    self._close("p")
             for name in CLOSES.get(tag, ()):
-                inner = next((e.name for e in reversed(self.stack) if e.name in (name, "ul", "ol", "dl", "table", "select")), None)
-                if inner == name:
+                if self.open[name] and next(e.name for e in reversed(self.stack) if e.name in (name, "ul", "ol", "dl", "table", "select")) == name:
                     self._close(name)
         if tag in VOID:
             return
@@ -90,34 +108,33 @@ class Blocks(HTMLParser):
         comments = bool(names & COMMENTS) and tag not in ("html", "body", "main")
         main = tag in ("article", "main") and not comments
         in_article = up.in_article or main
-        named = comments or tag in FURNITURE or (tag not in ("html", "body", "article", "main") and bool(names & FURNITURE_WORDS))
-        sure = comments or tag in CONTROLS
+        named = comments or tag in FURNITURE or tag in CONTROLS or (tag not in ("html", "body", "article", "main") and bool(names & FURNITURE_WORDS))
+        sure = comments or tag in CONTROLS or tag in BESIDE
         if named and tag not in BLOCKS:
             self._end_block(inline=True)
         if main and not up.in_article:
             # what holds the article is no furniture
-            for e in self.stack:
+            for e in reversed(self.stack):
+                if e.holds:
+                    break
                 e.holds = True
         shape = f"{tag} {' '.join(sorted(names))}".encode("utf-8", "surrogatepass")
-        self.stack.append(_Element(tag, shape, in_article, up.dropped or tag in UNSEEN, named and (sure or not in_article), up.low or (named and in_article)))
-
-    def _break(self, tag: str) -> None:
-        if tag == "br":
-            self.pieces.append(" ")  # a line's end inside a block is white space
-        else:
-            self._end_block()
+        e = _Element(tag, up, shape, in_article, up.dropped or tag in UNSEEN, named and (sure or not in_article), up.low or (named and in_article))
+        self.stack.append(e)
+        self.elements.append(e)
+        self.open[tag] += 1
 
     def _close(self, tag: str) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k].name == tag:
                 self._end_block()
-                del self.stack[k:]
+                self._pop(k)
                 return
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self._end_block() if tag != "br" else self.pieces.append(" ")
-        if tag in VOID:
+        if tag in VOID or not self.open[tag]:
             return
         # an inline end tag does not close the block around it
         for k in range(len(self.stack) - 1, 0, -1):
@@ -125,7 +142,7 @@ class Blocks(HTMLParser):
             if e.name == tag:
                 if tag not in BLOCKS and any(x.furniture or x.low for x in self.stack[k:]):
                     self._end_block(inline=True)
-                del self.stack[k:]
+                self._pop(k)
                 return
             if tag not in BLOCKS and e.name in BLOCKS:
                 return
@@ -140,74 +157,91 @@ class Blocks(HTMLParser):
             self.pieces.append(data)
 
 
-def blocks_of(html: str, host: str = "", every: bool = True) -> list[tuple[str, bool, list[int], bool]]:
-    """(text, selected, keys of the subtrees of this host, goes on in the word before) of a page's blocks, in order.
+def parsed(html: str, host: str = "") -> tuple[list[tuple[str, _Element, bool]], list[_Element]]:
+    """(selected blocks, elements with text that can be templates) of a page; `gone` is set on elements of furniture and all in them.
 
-    Selected are those of article and main elements where there are any, else all but furniture. A key is odd where
-    a name inside an article tells furniture. Without `every` blocks that are not selected have no keys.
+    Selected are the blocks of article and main elements where there are any, else all; but furniture. The key of an
+    element is that of its subtree on this host, odd where a name inside an article tells furniture.
     """
     parser = Blocks()
     parser.feed(html)
     parser.close()
     parser._end_block()
+    parser._pop(1)
     salt = xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass"))
-    key = lambda e: (e.hash.intdigest() ^ salt) - (1 << 63) & ~1 | e.low
-    shown = [not any(e.furniture and not e.holds for e in around) for _, _, around, _ in parser.blocks]
-    inside = any(ok and b[1] for ok, b in zip(shown, parser.blocks, strict=True))
-    keys: dict[_Element, int] = {}
-    out = []
-    for ok, (text, in_article, around, glued) in zip(shown, parser.blocks, strict=True):
-        chosen = ok and (in_article or not inside)
-        own = [keys[e] if e in keys else keys.setdefault(e, key(e)) for e in around if e.name not in WHOLE] if chosen or every else []
-        out.append((text, chosen, own, glued))
-    return out
-
-
-def _joined(blocks: list[tuple[str, bool]]) -> str:
-    return "".join(("" if glued or not k else " ") + text for k, (text, glued) in enumerate(blocks))
+    for e in parser.elements[1:]:
+        e.key = (e.key ^ salt) - (1 << 63) & ~1 | e.low
+        e.gone = e.parent.gone or (e.furniture and not e.holds)
+    shown = [b for b in parser.blocks if not b[1].gone]
+    inside = any(e.in_article for _, e, _ in shown)
+    return [b for b in shown if b[1].in_article or not inside], [e for e in parser.elements[1:] if e.texts and e.name not in WHOLE]
 
 
 def _trees(html: pd.Series, host: pd.Series) -> pd.DataFrame:
     """The hash of each page's selected text and the keys of all its subtrees."""
     pages, trees = [], []
     for page, name in zip(html, host, strict=True):
-        found = blocks_of(page, name) if isinstance(page, str) else []
-        pages.append(xxhash.xxh3_64_intdigest("\0".join(b[0] for b in found if b[1]).encode("utf-8", "surrogatepass")) - (1 << 63))
-        trees.append(sorted({k for b in found for k in b[2]}))
+        blocks, elements = parsed(page, name) if isinstance(page, str) else ([], [])
+        pages.append(xxhash.xxh3_64_intdigest("\0".join(b[0] for b in blocks).encode("utf-8", "surrogatepass")) - (1 << 63))
+        trees.append(sorted({e.key for e in elements}))
     return pd.DataFrame({"page": pages, "trees": trees})
 
 
-def _selected(html: pd.Series, host: pd.Series) -> pd.Series:
-    found = (blocks_of(page, name, every=False) if isinstance(page, str) else [] for page, name in zip(html, host, strict=True))
-    return pd.Series([[{"text": x, "own": own, "glued": glued} for x, chosen, own, glued in page if chosen] for page in found])
+def _text(html: str, host: str, among) -> str:
+    """The selected text without the subtrees whose keys are templates: `among` gives those of a sorted array of keys."""
+    blocks, elements = parsed(html, host)
+    templates = among(np.array(sorted({e.key for e in elements}), dtype=np.int64))
+    if templates:
+        for e in elements:
+            e.gone = e.gone or e.key in templates
+    out, before, known = [], True, {}
+    for text, around, glued in blocks:
+        if around not in known:
+            up = []
+            while around is not None and around not in known:
+                up.append(around)
+                around = around.parent
+            gone = around is not None and known[around]
+            for e in reversed(up):
+                known[e] = gone = gone or e.gone
+            around = up[0]
+        if not known[around]:
+            out.append(("" if not out or (glued and not before) else " ") + text)
+        before = known[around]
+    return "".join(out)
 
 
 def _cleaned(templates):
-    """Of pages and hosts: the selected text without the subtrees of a broadcast sorted array."""
+    """Of pages and hosts: their text without the subtrees of a broadcast sorted array."""
 
     def text(html: pd.Series, host: pd.Series) -> pd.Series:
         known = templates.value
-        out = []
-        for page, name in zip(html, host, strict=True):
-            found = [b for b in blocks_of(page, name, every=False) if b[1]] if isinstance(page, str) else []
-            keys = np.array(sorted({k for b in found for k in b[2]}), dtype=np.int64)
-            at = np.searchsorted(known, keys)
-            gone = set(keys[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == keys)].tolist()) if len(known) else set()
-            out.append(_joined([(x, glued and k > 0 and gone.isdisjoint(found[k - 1][2])) for k, (x, _, own, glued) in enumerate(found) if gone.isdisjoint(own)]))
-        return pd.Series(out, dtype=object)
+
+        def among(keys: np.ndarray) -> set[int]:
+            if not len(known):
+                return set()
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            return set(keys[known[at] == keys].tolist())
+
+        return pd.Series([_text(page, name, among) if isinstance(page, str) else "" for page, name in zip(html, host, strict=True)], dtype=object)
 
     return text
 
 
+def _cleaned_each(html: pd.Series, host: pd.Series, gone: pd.Series) -> pd.Series:
+    """As _cleaned(), of pages that bring the keys of their own templates."""
+    return pd.Series([_text(page, name, lambda _, g=g: {*g} if g is not None else set()) if isinstance(page, str) else "" for page, name, g in zip(html, host, gone, strict=True)], dtype=object)
+
+
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 5, least_named: int = 2, most_templates: int = TEMPLATES) -> DataFrame:
     """(page_id, url, text, n_chars): a row for each row of pages.
 
     A subtree is a template if it recurs on at least `least_pages` different pages of its host, `least_named` where a
     name tells furniture inside an article; pages whose selected texts are equal are one page. Where a page has article
     or main elements, its text is theirs; else that of the body. Null and empty html has empty text. Rows with a null
-    url share one host. Repeated rows are extracted each. An empty table gives no rows; other columns are not read.
+    url share one host. Repeated rows are extracted each. An empty table gives no rows; other columns are not read. Any
+    string is a page: what HTML does not know is a comment or text. A page costs its length, whatever its nesting.
     """
-
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     rows = rows.withColumn("host", F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     trees = F.pandas_udf(_trees, "page bigint, trees array<bigint>")
@@ -215,16 +249,13 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     each = rows.select(trees("html", "host").alias("p")).select("p.page", F.explode("p.trees").alias("tree")).distinct()
     least = F.when(F.col("tree").bitwiseAND(F.lit(1)) == 1, least_named).otherwise(least_pages)
     recur = stored(each.groupBy("tree").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("tree"))
-    if small(recur, most_templates):
+    if small(recur, most_templates, 8 * most_templates):
         known = np.sort(recur.toPandas()["tree"].to_numpy(dtype=np.int64))
         text = F.pandas_udf(_cleaned(pages.sparkSession.sparkContext.broadcast(known)), "string")
         out = rows.select("page_id", "url", text("html", "host").alias("text"))
     else:
-        blocks = F.pandas_udf(_selected, "array<struct<text:string,own:array<bigint>,glued:boolean>>")
-        done = stored(rows.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", blocks("html", "host").alias("rest")))
-        found = done.select("row", F.posexplode("rest").alias("pos", "block")).select("row", "pos", F.explode("block.own").alias("tree")).join(recur, "tree", "left_semi")
-        gone = found.groupBy("row").agg(F.collect_set("pos").alias("gone"))
-        met = done.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
-        spaced = F.transform("rest", lambda b, i: F.when(F.array_contains("gone", i), "").otherwise(F.concat(F.when(b["glued"] & (i > 0) & ~F.array_contains("gone", i - 1), "").otherwise(" "), b["text"])))
-        out = met.select("page_id", "url", F.ltrim(F.array_join(spaced, "")).alias("text"))
+        met = rows.select("html", "host").distinct().select(F.xxhash64("html", "host").alias("of"), F.explode(trees("html", "host")["trees"]).alias("tree")).join(recur, "tree", "left_semi")
+        gone = met.groupBy("of").agg(F.collect_set("tree").alias("gone"))
+        text = F.pandas_udf(_cleaned_each, "string")
+        out = rows.join(gone, F.xxhash64("html", "host") == F.col("of"), "left").select("page_id", "url", text("html", "host", "gone").alias("text"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
