@@ -4,10 +4,12 @@
    equal windows share their key wherever they are. Neighbouring windows with one key are one segment.
 2. Segments whose key occurs once are unique. Equal segments are told by their hash and go on as one of them.
 3. The texts of what is left meet by key. Each group's suffixes are sorted in two stages: those smaller than their
-   successors directly, the others induced from them by one scan over the buckets of first bytes. Neighbours in that
-   order that share `length` bytes mark repeated windows.
-A key with more than `most` different segments isn't sorted in one task: cells of its windows are hashed and counted
-by Spark with partial sums, so no task holds the group.
+   successors directly, the others induced from them by one scan over the buckets of first bytes. Then the common
+   prefixes of neighbours in that order are computed; `length` bytes and more mark repeated windows.
+A key with more than `most` different segments is divided before that, so no task holds it: its windows are cut into
+cells by their distance from the key's k-gram, and cells meet again only where the bytes that all windows of a cell hold
+are the same. Cells that are equal as a whole are told by hash, as equal segments are. Cells that many others may share
+windows with are cut smaller, at last to single windows.
 """
 
 from __future__ import annotations
@@ -77,6 +79,49 @@ def segments(data: bytes, length: int, rolling: Rolling) -> Iterator[tuple[int,
                 yield base + a, b - a, int(v.view(np.int64)), xxhash.xxh3_64_intdigest(view[base + a : base + b - 1 + length]) - (1 << 63), twice
 
 
+def words_at(c: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on as a big-endian number, zeros past the end."""
+    out, padded = np.zeros(len(c), dtype=np.uint64), np.concatenate([c, np.zeros(8, dtype=c.dtype)])
+    for k in range(8):
+        out = out << np.uint64(8) | padded[k : k + len(c)]
+    return out
+
+
+def _word(words: np.ndarray, at: np.ndarray, depth: int, length: int) -> np.ndarray:
+    """The words at a depth of suffixes, cut to so many bytes of each suffix."""
+    x = np.where(at + depth < len(words), words[np.minimum(at + depth, len(words) - 1)], np.uint64(0))
+    return x if depth + 8 <= length else x & ~np.uint64((1 << 8 * (depth + 8 - length)) - 1)
+
+
+def sorted_directly(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Suffixes in order of their first `length` bytes: by eight bytes, then what ties by the next eight."""
+    at = at[np.argsort(words[at], kind="stable")] if length >= 8 else at[np.argsort(_word(words, at, 0, length), kind="stable")]
+    first = _word(words, at, 0, length)
+    tied, depth = first[1:] == first[:-1], 8
+    while depth < length and tied.any():
+        rows = np.flatnonzero(np.append(tied, False) | np.insert(tied, 0, False))
+        run = np.cumsum(np.insert(~tied, 0, False))[rows]
+        x = _word(words, at[rows], depth, length)
+        order = np.lexsort((x, run))
+        at[rows], x = at[rows][order], x[order]
+        tied = np.zeros(len(at) - 1, dtype=bool)
+        tied[rows[:-1][(x[1:] == x[:-1]) & (run[1:] == run[:-1])]] = True
+        depth += 8
+    return at
+
+
+def common_prefixes(words: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """How many bytes each suffix of an order shares with the next, `most` at most."""
+    out, live = np.zeros(max(0, len(order) - 1), dtype=np.int64), np.arange(max(0, len(order) - 1))
+    for depth in range(0, most, 8):
+        x = _word(words, order[live], depth, most) ^ _word(words, order[live + 1], depth, most)
+        out[live] = depth + sum((x < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(8))
+        live = live[x == 0]
+        if not len(live):
+            break
+    return np.minimum(out, most)
+
+
 def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
     """Of each text, which of its windows of `length` bytes start anywhere else among the texts, as booleans.
 
@@ -93,38 +138,34 @@ def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
     smaller = (c[:-1] < c[1:])[differs[np.searchsorted(differs, np.arange(len(c) - 1))]]
     direct_at = np.flatnonzero(smaller)
     # windows, and what follows the last of a text up to the next directly sorted suffix
-    lasts = firsts + windows - 1
-    stops = direct_at[np.searchsorted(direct_at, lasts)]
-    steps = np.zeros(len(c) + 1, dtype=np.int64)
-    np.add.at(steps, firsts, 1)
-    np.add.at(steps, stops + 1, -1)
-    needed = np.cumsum(steps)[: len(c) - 1] > 0
-    direct = np.flatnonzero(needed & smaller).tolist()
+    stops = direct_at[np.searchsorted(direct_at, firsts + windows - 1)]
+
+    def covered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        steps = np.zeros(len(c) + 1, dtype=np.int64)
+        np.add.at(steps, a, 1)
+        np.add.at(steps, b, -1)
+        return np.cumsum(steps)[: len(c)] > 0
+
+    needed, starts = covered(firsts, stops + 1)[: len(c) - 1], covered(firsts, firsts + windows)
+    words = words_at(c)
+    direct = sorted_directly(words, np.flatnonzero(needed & smaller), length)
+    cuts = np.searchsorted(c[direct], np.arange(257))
     induced = (needed & ~smaller).tobytes()
-    starts = np.zeros(len(c), dtype=bool)
-    np.add.at(steps := np.zeros(len(c) + 1, dtype=np.int64), firsts, 1)
-    np.add.at(steps, firsts + windows, -1)
-    starts[:] = np.cumsum(steps)[: len(c)] > 0
-    is_start = starts.tobytes()
-
-    direct.sort(key=lambda i: data[i : i + length])
-    sorted_direct: dict[int, list[int]] = {}
-    for i in direct:
-        sorted_direct.setdefault(data[i], []).append(i)
-    buckets: dict[int, list[int]] = {x: [] for x in set(c.tolist())}
-    marked = np.zeros(len(c), dtype=bool)
-    before, text_before = -1, b""
-    for x in sorted(buckets):
+
+    buckets: list[list[int]] = [[] for _ in range(256)]
+    order: list[int] = []
+    for x in range(256):
         bucket = buckets[x]
-        for part in (bucket, sorted_direct.get(x, ())):  # the first grows while it is scanned
+        for part in (bucket, direct[cuts[x] : cuts[x + 1]].tolist()):  # the first grows while it is scanned
             for i in part:
                 if i and induced[i - 1]:
                     buckets[data[i - 1]].append(i - 1)
-                if is_start[i]:
-                    text = data[i : i + length]
-                    if text == text_before:
-                        marked[i] = marked[before] = True
-                    before, text_before = i, text
+            order += part
+    suffixes = np.array(order, dtype=np.int64)
+    suffixes = suffixes[starts[suffixes]]
+    same = np.flatnonzero(common_prefixes(words, suffixes, length) >= length)
+    marked = np.zeros(len(c), dtype=bool)
+    marked[suffixes[same]] = marked[suffixes[same + 1]] = True
     return [marked[a : a + n] for a, n in zip(firsts.tolist(), windows.tolist(), strict=True)]
 
 
@@ -134,40 +175,44 @@ def runs(marks: np.ndarray) -> tuple[list[int], list[int]]:
     return np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist()
 
 
+SPANS = "array<struct<a:int,b:int>>"
+
+
 def _sorted_groups(length: int):
-    """Of rows sorted by key: the repeated windows of each segment."""
+    """Of rows sorted by group (g1, g2): the repeated windows of each piece, as spans of windows of its segment."""
 
-    def of_group(key: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple]:
-        for (seg, _), marks in zip(rows, repeated_windows([t for _, t in rows], length), strict=True):
+    def of_group(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple]:
+        for (key, seg, base, _), marks in zip(rows, repeated_windows([x[-1] for x in rows], length), strict=True):
             if marks.any():
-                yield key, seg, *runs(marks)
+                yield key, seg, [{"a": base + a, "b": base + b} for a, b in zip(*runs(marks), strict=True)]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, rows, out = None, [], []
         for t in batches:
-            for key, seg, text in zip(t["key"].tolist(), t["seg"].tolist(), t["piece"], strict=True):
-                if key != at and rows:
-                    out += of_group(at, rows)
+            for g1, g2, key, seg, base, piece in zip(*(t[c].tolist() for c in ("g1", "g2", "key", "seg", "base")), t["piece"], strict=True):
+                if (g1, g2) != at and rows:
+                    out += of_group(rows)
                     rows = []
-                at = key
-                rows.append((seg, bytes(text)))
+                at = g1, g2
+                rows.append((key, seg, base, bytes(piece)))
             if out:
-                yield pd.DataFrame(out, columns=["key", "seg", "a", "b"])
+                yield pd.DataFrame(out, columns=["key", "seg", "r"])
                 out = []
-        if rows and (out := list(of_group(at, rows))):
-            yield pd.DataFrame(out, columns=["key", "seg", "a", "b"])
+        if rows and (out := list(of_group(rows))):
+            yield pd.DataFrame(out, columns=["key", "seg", "r"])
 
     return work
 
 
-def _counted(crowd: DataFrame, length: int, sizes: tuple[int, ...] = (64, 16, 4, 1)) -> DataFrame:
-    """(key, seg, a, b) of the repeated windows of segments whose key is too common to be sorted in one task.
+def _divided(crowd: DataFrame, length: int, most: int, sizes: tuple[int, ...] = (64, 16, 4, 1)) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Of segments whose key is too common to be sorted in one task: ([(key, seg, r)] of what repeats as a whole, [(g1,
+    g2, key, seg, base, piece)] of what is left to be sorted, at most `most` pieces in a group).
 
-    Windows are dealt into cells by their distance from the key's k-gram, so equal windows are in equal cells. A cell's
-    windows repeat if its bytes do; none does if the bytes that all of them hold don't. What is left is divided
-    further, to single windows at last. Spark counts the hashes of the bytes, with partial sums.
+    Windows are dealt into cells by their distance from the key's k-gram, so equal windows are in cells of one place
+    whose common bytes are equal. Of equal cells, which Spark counts by 128-bit hashes with partial sums, all repeat and
+    one goes on.
     """
-    gram, done = min(GRAM, length), []
+    gram, done, groups = min(GRAM, length), [], []
 
     def cells(size: int):
         def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -199,19 +244,26 @@ def _counted(crowd: DataFrame, length: int, sizes: tuple[int, ...] = (64, 16, 4,
 
         return work
 
-    left = crowd.withColumn("parts", F.lit(None).cast("array<struct<a:int,b:int>>"))
+    left = crowd.withColumn("parts", F.lit(None).cast(SPANS))
     for size in sizes:
-        found = stored(left.mapInPandas(cells(size), "key long, seg long, r array<struct<a:int,b:int>>, w1 long, w2 long, c1 long, c2 long"))
+        found = stored(left.mapInPandas(cells(size), f"key long, seg long, r {SPANS}, w1 long, w2 long, c1 long, c2 long"))
         first = F.struct("key", "seg", F.col("r")[0]["a"].alias("a"), F.col("r")[0]["b"].alias("b"))
         equal = stored(found.groupBy("w1", "w2", "c1", "c2").agg(F.sum(F.size("r")).alias("all"), F.min(first).alias("one")))
-        same = broadcast_if_small(equal.where("all > 1").select("w1", "w2"))
-        done.append(found.join(same, ["w1", "w2"], "left_semi").select("key", "seg", "r"))
-        if size > 1:  # one of each kind of equal cells goes on where another kind holds the same bytes
-            common = stored(equal.groupBy("c1", "c2").agg(F.count("*").alias("kinds")).where("kinds > 1").select("c1", "c2"))
-            parts = equal.join(broadcast_if_small(common), ["c1", "c2"], "left_semi").groupBy("one.key", "one.seg").agg(F.collect_list(F.struct("one.a", "one.b")).alias("parts"))
-            left = crowd.join(parts, ["key", "seg"])
-    cells_of = reduce(DataFrame.union, done).groupBy("key", "seg").agg(F.sort_array(F.flatten(F.collect_list("r"))).alias("r"))
-    return cells_of.select("key", "seg", _joined("r", "int").alias("r")).select("key", "seg", F.col("r.a").alias("a"), F.col("r.b").alias("b"))
+        same = equal.where("all > 1").select("w1", "w2")
+        done.append(found.join(broadcast_if_small(same), ["w1", "w2"], "left_semi").select("key", "seg", "r"))
+        if size == 1:
+            break
+        common = stored(equal.groupBy("c1", "c2").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+        others = equal.join(broadcast_if_small(common), ["c1", "c2"]).select("c1", "c2", "kinds", "one.*")
+
+        def parts(which: str, item: Column, others: DataFrame = others) -> DataFrame:
+            return crowd.join(others.where(which).groupBy("key", "seg").agg(F.collect_list(item).alias("parts")), ["key", "seg"])  # of one segment
+
+        ready = parts(f"kinds <= {most}", F.struct("c1", "c2", "a", "b")).select("key", "seg", "piece", F.explode("parts").alias("p"))
+        cut = F.expr(f"substring(piece, p.a + 1, p.b - p.a - 1 + {length})")
+        groups.append(ready.select(F.col("p.c1").alias("g1"), F.col("p.c2").alias("g2"), "key", "seg", F.col("p.a").alias("base"), cut.alias("piece")))
+        left = parts(f"kinds > {most}", F.struct("a", "b"))
+    return done, groups
 
 
 def _joined(spans: str, kind: str) -> Column:
@@ -252,22 +304,24 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
 
     marks = stored(texts.mapInPandas(mark, "h1 long, h2 long, s long, n int, key long, seg long, twice boolean"))
     keys = stored(marks.groupBy("key").agg(F.count("*").alias("all"), F.max("twice").alias("any_twice")).where("all > 1 or any_twice").select("key"))
-    shared = stored(marks.join(broadcast_if_small(keys, 1_000_000), "key", "left_semi"))
+    shared = stored(marks.join(broadcast_if_small(keys), "key", "left_semi"))
     different = shared.groupBy("key", "seg").agg(F.count("*").alias("copies"), F.max("twice").alias("twice"), F.min(F.struct("h1", "h2", "s", "n")).alias("one"))
     different = stored(different.select("key", "seg", "copies", "twice", "one.*"))
     groups = different.groupBy("key").agg(F.count("*").alias("members"), F.max("twice").alias("any_twice")).where("members > 1 or any_twice")
-    unsure = stored(different.join(broadcast_if_small(stored(groups), 1_000_000), "key").select("key", "seg", "h1", "h2", "s", "n", "members"))
+    unsure = stored(different.join(broadcast_if_small(stored(groups)), "key").select("key", "seg", "h1", "h2", "s", "n", "members"))
     per_text = unsure.groupBy("h1", "h2").agg(F.collect_list(F.struct("key", "seg", "s", "n", "members")).alias("pieces")).select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), "pieces")
-    side = F.broadcast(per_text) if unsure.limit(500_001).count() <= 500_000 else per_text
-    met = texts.join(side, (F.col("h1") == F.col("p1")) & (F.col("h2") == F.col("p2"))).select("text", F.explode("pieces").alias("p"))
+    met = texts.join(broadcast_if_small(stored(per_text)), (F.col("h1") == F.col("p1")) & (F.col("h2") == F.col("p2"))).select("text", F.explode("pieces").alias("p"))
     pieces = stored(met.select("p.key", "p.seg", "p.n", "p.members", F.expr(f"substring(text, int(p.s) + 1, p.n - 1 + {length})").alias("piece")))
 
-    found = pieces.where(F.col("members") <= most).select("key", "seg", "piece").repartition("key").sortWithinPartitions("key").mapInPandas(_sorted_groups(length), "key long, seg long, a array<int>, b array<int>")
-
-    counted = _counted(stored(pieces.where(F.col("members") > most).select("key", "seg", "n", "piece")), length)
-    whole = different.where("copies > 1").select("key", "seg", F.array(F.lit(0)).alias("a"), F.array("n").alias("b"))
-    repeated = stored(found.union(counted).union(whole))
-    spans = shared.join(repeated, ["key", "seg"]).select("h1", "h2", "s", F.explode(F.arrays_zip("a", "b")).alias("r"))
+    done, groups = _divided(stored(pieces.where(F.col("members") > most).select("key", "seg", "n", "piece")), length, most)
+    few = pieces.where(F.col("members") <= most).select(F.col("key").alias("g1"), F.lit(0).cast("long").alias("g2"), "key", "seg", F.lit(0).alias("base"), "piece")
+    every = reduce(DataFrame.union, groups, few).repartition("g1", "g2").sortWithinPartitions("g1", "g2")
+    found = every.mapInPandas(_sorted_groups(length), f"key long, seg long, r {SPANS}")
+    parts = reduce(DataFrame.union, done, found).groupBy("key", "seg").agg(F.sort_array(F.flatten(F.collect_list("r"))).alias("r"))
+    parts = parts.select("key", "seg", _joined("r", "int").alias("r"))
+    whole = different.where("copies > 1").select("key", "seg", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("r"))
+    repeated = stored(parts.union(whole))
+    spans = shared.join(repeated, ["key", "seg"]).select("h1", "h2", "s", F.explode("r").alias("r"))
     spans = spans.select("h1", "h2", F.struct((F.col("s") + F.col("r.a")).alias("a"), (F.col("s") + F.col("r.b") - 1 + length).alias("b")).alias("span"))
     return copied.select("h1", "h2"), stored(spans.groupBy("h1", "h2").agg(F.sort_array(F.collect_set("span")).alias("spans")))
 

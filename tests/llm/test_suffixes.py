@@ -57,3 +57,30 @@ def test_long_texts_are_cut_into_slabs(monkeypatch):
     rolling = suffixes.Rolling(64 + 40, suffixes.BASES[0])
     found = list(suffixes.segments(data, 40, rolling))
     assert sorted(i for s, n, *_ in found for i in range(s, s + n)) == list(range(961))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_direct_sorting_and_common_prefixes(seed):
+    rng = random.Random(seed)
+    data = bytes(rng.choice(b"ab" if seed % 2 else b"abcdefgh") for _ in range(300)) + b"a" * 60 + b"abcdefghi" * 9
+    words = suffixes.words_at(np.frombuffer(data, dtype=np.uint8))
+    padded = data + bytes(40)
+    for length in (5, 8, 21, 40):
+        order = suffixes.sorted_directly(words, np.arange(len(data)), length)
+        keys = [padded[i : i + length] for i in order]
+        assert keys == sorted(padded[i : i + length] for i in range(len(data)))
+        shared = [next((k for k in range(length) if a[k] != b[k]), length) for a, b in zip(keys, keys[1:], strict=False)]
+        assert suffixes.common_prefixes(words, order, length).tolist() == shared
+
+
+def test_passages_of_crowds_are_sorted_in_groups(spark):
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abcdefghij é") for _ in range(n))
+    hot, near = text(150), text(95)
+    ends = [text(20) for _ in range(9)]
+    # one passage in 900 documents with different ends, one just too short to repeat but for some of its ends
+    texts = [text(30) + hot[rng.randrange(40) :] + rng.choice(ends) + text(50) for _ in range(900)] + [text(60) + near + rng.choice(ends)[: rng.randrange(3, 20)] for _ in range(700)]
+    t = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffixes.drop_repeated_passages(t, length=100).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept")).orderBy("doc_id").collect()
+    want = brute(texts, 100)
+    assert [tuple(r)[1:] for r in got] == want and sum(n > 0 for _, n, *_ in want) > 1200
