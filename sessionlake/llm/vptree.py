@@ -1,26 +1,28 @@
-"""Nearest neighbours by cosine: a vantage-point tree for each shard of the vectors, queries in blocks.
-
-Vectors are dealt by a hash into shards of about `shard_rows`, so no shard depends on values or copies. Equal vectors
-of a shard are one node that lists its smallest ids. Trees work on unit vectors, where Euclidean distance is a metric
-and orders like the cosine. A subtree is visited only if the triangle inequality allows a nearer vector there; `factor`
-divides the distance that must be bridged: 1 is exact, larger values prune more. Trees are stored as rows of a table;
-blocks of queries meet them in an equi-join on the shard, and the shards' nearest are ranked by a window.
+"""Nearest neighbours by cosine: a vantage-point tree for each shard of the vectors, queries sent where they may pay.
+
+Trees work on unit vectors, where Euclidean distance is a metric and orders like the cosine. Equal vectors are one node
+that lists its smallest ids. Vectors are dealt by the nearest of some reference vectors, and among those by how far it
+is, into shards of about `shard_rows`; where too many are equally far, by hash. A query is searched in its own shard
+first, and then in the shards whose range of distances from their reference vector lets the triangle inequality allow a
+nearer one; inside a shard the tree prunes in the same way. `factor` divides the distance that must be bridged: 1 is
+exact, larger values prune more.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import stored
+from sessionlake.llm.common import broadcast_if_small, stored
 
 #: What rounding may take from a distance of unit vectors; subtrees within it are visited.
 SLACK = 1e-7
+#: Reference vectors at most, the vectors that they are chosen from, and bins of distance from one.
+CELLS, SAMPLE, BINS = 1024, 2048, 1024
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -31,22 +33,26 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(fine).select("id", "v", F.size("v").alias("dim")).distinct()
 
 
+def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
+    """(h1, h2, dim, v, ids): each different vector once, with its `keep` smallest ids; limited before the shuffle."""
+    order = Window.partitionBy("h1", "h2").orderBy("id")
+    hashed = rows.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})
+    few = hashed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+    return few.groupBy("h1", "h2").agg(F.first("dim").alias("dim"), F.first("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids"))
+
+
+def units(raw: np.ndarray) -> np.ndarray:
+    unit = raw / np.abs(raw).max(axis=1, keepdims=True)
+    return unit / np.sqrt(np.einsum("ij,ij->i", unit, unit))[:, None]
+
+
 class Tree:
     """A vantage-point tree over distinct vectors, as arrays."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, keep: int, leaf: int = 64, seed: int = 7):
-        order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
-        _, first, inverse = np.unique(vectors.view([("", vectors.dtype)] * vectors.shape[1]).ravel(), return_index=True, return_inverse=True)
-        by = np.argsort(inverse.ravel(), kind="stable")
-        cuts = np.flatnonzero(np.diff(inverse.ravel()[by])) + 1
-        self.ids = [x[:keep] for x in np.split(ids[by], cuts)]  # the smallest ids of each distinct vector
-        self.raw = vectors[first]
-        scale = np.abs(self.raw).max(axis=1, keepdims=True)
-        self.unit = self.raw / scale
-        self.unit /= np.sqrt(np.einsum("ij,ij->i", self.unit, self.unit))[:, None]
+    def __init__(self, ids: list[np.ndarray], vectors: np.ndarray, leaf: int = 64, seed: int = 7):
+        self.ids, self.raw, self.unit = ids, vectors, units(vectors)
         self.nodes: list[tuple] = []  # (vantage, radius, inside, outside) or (members,)
-        self.root = self._build(np.arange(len(first)), leaf, np.random.default_rng(seed))
+        self.root = self._build(np.arange(len(vectors)), leaf, np.random.default_rng(seed))
 
     def _build(self, rows: np.ndarray, leaf: int, rng) -> int:
         at = len(self.nodes)
@@ -63,12 +69,10 @@ class Tree:
         self.nodes[at] = (vantage, radius, self._build(rest[near], leaf, rng), self._build(rest[~near], leaf, rng))
         return at
 
-    def search(self, ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query's index, id, score) of the k nearest of each query, itself left out, ties to smaller ids."""
-        scale = np.abs(queries).max(axis=1, keepdims=True)
-        unit = queries / scale
-        unit /= np.sqrt(np.einsum("ij,ij->i", unit, unit))[:, None]
-        worst = np.full(len(ids), np.inf)
+    def search(self, ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query's index, id, score) of the k nearest of each query within its bound, itself left out, ties to smaller ids."""
+        unit = units(queries)
+        worst = bounds.copy()
         found: list[list[tuple[float, int]]] = [[] for _ in ids]  # (distance, node row)
 
         def meet(q: np.ndarray, rows: np.ndarray) -> None:
@@ -123,16 +127,76 @@ class Tree:
         return np.array(out_q, dtype=np.int64), np.array(out_id, dtype=np.int64), np.array(out_s)
 
 
-def index(rows: DataFrame, shard_rows: int = 4096, keep: int = 6) -> tuple[DataFrame, int]:
-    """((dim, shard, tree binary), shards): every row of usable() in the tree of its shard."""
-    shards = max(1, -(-rows.count() // shard_rows))
+def references(rows: DataFrame, cells: int) -> dict[int, np.ndarray]:
+    """Unit vectors far from each other, by dimension, of a sample of at most SAMPLE vectors chosen by hash."""
+    sample = rows.orderBy("h1", "h2").select("dim", "v").limit(SAMPLE).collect()
+    out = {}
+    for dim in sorted({r.dim for r in sample}):
+        unit = units(np.array([r.v for r in sample if r.dim == dim]))
+        chosen, far = [0], np.linalg.norm(unit - unit[0], axis=1)
+        while len(chosen) < min(cells, len(unit)) and far.max() > 1e-9:
+            chosen.append(int(far.argmax()))
+            far = np.minimum(far, np.linalg.norm(unit - unit[chosen[-1]], axis=1))
+        out[dim] = unit[chosen]
+    return out
+
+
+def placed(rows: DataFrame, centres: dict[int, np.ndarray], every: bool = False) -> DataFrame:
+    """rows with cell, the nearest reference vector, and far, its distance; with `every` also the distances of all.
+
+    Dimensions that the sample lacks have cell -1, at distance 0.
+    """
+
+    def near(v: pd.Series, dim: pd.Series) -> pd.DataFrame:
+        found = []
+        for k, n in enumerate(dim.tolist()):
+            if n in centres:
+                d = np.linalg.norm(centres[n] - units(np.asarray(v.iloc[k], dtype=np.float64)[None]), axis=1)
+                found.append((int(d.argmin()), float(d.min()), d.tolist() if every else None))
+            else:
+                found.append((-1, 0.0, [] if every else None))
+        return pd.DataFrame(found, columns=["cell", "far", "all"])
+
+    at = F.pandas_udf(near, "cell int, far double, all array<double>")
+    return rows.withColumn("at", at("v", "dim")).select(*rows.columns, "at.cell", "at.far", *(["at.all"] if every else []))
+
+
+def index(rows: DataFrame, centres: dict[int, np.ndarray], shard_rows: int = 4096) -> DataFrame:
+    """(dim, cell, shard, least, most, tree binary): every row of distinct_vectors() in the tree of its shard; least and most are distances from the cell's reference vector."""
+    at = stored(placed(rows, centres).withColumn("bin", F.least((F.col("far") * (BINS / 2)).cast("int"), F.lit(BINS - 1))))
+    bins = at.groupBy("dim", "cell", "bin").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("dim", "cell").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    rings = stored(bins.select("dim", "cell", "bin", F.floor(F.coalesce(before, F.lit(0)) / shard_rows).alias("ring"), F.ceil(F.col("n") / shard_rows).alias("parts")))
+    dealt = at.join(broadcast_if_small(rings), ["dim", "cell", "bin"]).withColumn("shard", F.xxhash64("dim", "cell", "ring", F.pmod("h2", F.col("parts"))))
 
     def build(t: pd.DataFrame) -> pd.DataFrame:
-        tree = Tree(t["id"].to_numpy(), np.stack(t["v"].to_numpy()).astype(np.float64), keep)
-        return pd.DataFrame({"dim": [t["dim"].iloc[0]], "shard": [t["shard"].iloc[0]], "tree": [pickle.dumps(tree)]})
+        tree = Tree([np.asarray(x) for x in t["ids"]], np.stack(t["v"].to_numpy()).astype(np.float64))
+        one = t.iloc[:1][["dim", "cell", "shard"]]
+        return one.assign(least=t["far"].min(), most=t["far"].max(), tree=[pickle.dumps(tree)])
+
+    return stored(dealt.select("dim", "cell", "shard", "far", "v", "ids").groupBy("dim", "cell", "shard").applyInPandas(build, "dim int, cell int, shard long, least double, most double, tree binary"))
+
+
+def _searched(trees: DataFrame, asked: DataFrame, k: int, factor: float, blocks: int) -> DataFrame:
+    """(query_id, h1, vec_id, score) of queries (id, h1, v, bound, shard): those of a shard in blocks."""
+    dealt = asked.withColumn("block", F.pmod(F.xxhash64("id", "h1"), F.lit(blocks)).cast("int"))
+    meeting = dealt.select(F.col("shard").alias("at"), F.col("block").alias("part")).distinct().join(trees.select(F.col("shard").alias("at"), "tree"), "at")
+
+    def search(key: tuple, t: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        ids = q["id"].to_numpy()
+        at, found, scores = pickle.loads(t["tree"].iloc[0]).search(ids, np.stack(q["v"].to_numpy()).astype(np.float64), q["bound"].to_numpy(), k, factor)
+        return pd.DataFrame({"query_id": ids[at], "h1": q["h1"].to_numpy()[at], "vec_id": found, "score": scores})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    return stored(dealt.groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, tree binary")), shards
+    return meeting.groupBy("at", "part").cogroup(dealt.groupBy("shard", "block")).applyInPandas(search, "query_id long, h1 long, vec_id long, score double")
+
+
+def allowed(asked: DataFrame, shards: DataFrame, factor: float) -> DataFrame:
+    """(id, h1, v, bound, shard): the shards but a query's own that its bound leaves open."""
+    numbers = asked.select("id", "h1", "dim", "bound", "shard", F.posexplode("all").alias("cell", "far")).union(asked.select("id", "h1", "dim", "bound", "shard", F.lit(-1), F.lit(0.0)))
+    met = numbers.withColumnRenamed("shard", "own").join(broadcast_if_small(shards), ["dim", "cell"]).where("not shard <=> own")
+    gap = F.greatest(F.col("least") - F.col("far"), F.col("far") - F.col("most"), F.lit(0.0))
+    open_ = met.where(gap <= (F.col("bound") + SLACK) / factor).select("id", "h1", "shard")
+    return asked.select("id", "h1", "v", "bound").join(open_, ["id", "h1"])
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, factor: float = 1.0, shard_rows: int = 4096, block_rows: int = 1024) -> DataFrame:
@@ -141,26 +205,27 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
     Vectors null, zero or with null or non-finite components, and rows with a null id, take no part; vectors of
     different lengths are not compared. Repeated rows count once. Ties go to the smaller id. With factor 1 the
     result is exact. Fewer than k candidates: all of them. Empty tables give no rows; no other column is read.
+    Any number of equal vectors is one node, with the k + 1 smallest ids.
     """
-    trees, shards = index(stored(usable(vectors, id_col, vector_col)), shard_rows, k + 1)
-    asked = stored(usable(queries, id_col, vector_col))
+    rows = stored(distinct_vectors(usable(vectors, id_col, vector_col), k + 1))
+    centres = references(rows, min(CELLS, max(1, -(-rows.count() // shard_rows))))
+    trees = index(rows, centres, shard_rows)
+    shards = stored(trees.drop("tree"))
+    asked = usable(queries, id_col, vector_col).withColumn("h1", F.xxhash64("v"))
+    asked = stored(placed(asked, centres, every=True))
     blocks = max(1, -(-asked.count() // block_rows))
 
-    def block(t: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"dim": [t["dim"].iloc[0]], "block": [t["block"].iloc[0]], "asked": [pickle.dumps((t["id"].to_numpy(), np.stack(t["v"].to_numpy()).astype(np.float64)))]})
-
-    packs = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("dim", "block").applyInPandas(block, "dim int, block int, asked binary")
-    spread = stored(packs).select("dim", "asked", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for t in batches:
-            for tree, pack in zip(t["tree"], t["asked"], strict=True):
-                ids, rows = pickle.loads(pack)
-                q, found, scores = pickle.loads(tree).search(ids, rows, k, factor)
-                yield pd.DataFrame({"query_id": ids[q], "vec_id": found, "score": scores})
-
-    met = trees.join(spread, ["dim", "shard"]).select("tree", "asked").mapInPandas(search, "query_id long, vec_id long, score double")
+    gap = F.greatest(F.col("least") - F.col("far"), F.col("far") - F.col("most"), F.lit(0.0))
+    numbers = asked.select("id", "h1", "dim", "cell", "far").join(broadcast_if_small(shards), ["dim", "cell"], "left")
+    own = numbers.groupBy("id", "h1").agg(F.min_by("shard", F.struct(gap, "shard")).alias("shard"))
+    first = stored(asked.join(own, ["id", "h1"]).withColumn("bound", F.lit(float("inf"))))
+    found = stored(_searched(trees, first.where("shard is not null"), k, factor, blocks))
+    order = Window.partitionBy("query_id", "h1").orderBy(F.desc("score"), "vec_id")
+    last = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
+    bound = last.select(F.col("query_id").alias("id"), "h1", F.sqrt(F.greatest(2 - 2 * F.col("score"), F.lit(0.0))).alias("known"))
+    bounded = first.drop("bound").join(bound, ["id", "h1"], "left").withColumn("bound", F.coalesce("known", F.lit(float("inf"))))
+    others = _searched(trees, stored(allowed(bounded, shards, factor)), k, factor, blocks)
     # equal ids with different vectors may meet more than once: the best counts
-    best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = found.union(others).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
