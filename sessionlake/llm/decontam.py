@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced seeds, by DataFrame functions only.
 
-Text becomes lower-cased runs of letters and digits. A mask is a fixed span of tokens of which some positions are
-ignored; the kept tokens of every span of the benchmark and of every document are hashed and joined. Around a hit the
+Text becomes lower-cased runs of letters and digits, each hashed once to a long. A mask is a fixed span of tokens of
+which some positions are ignored; the kept tokens of every span of the benchmark and of every document are hashed and joined. Around a hit the
 item is laid over the document: the overlap holds if enough of its tokens agree, so substituted words are tolerated.
 
 Only the benchmark's seeds, rows of numbers, are broadcast, in blocks of at most `block_rows` rows, one pass over the
@@ -34,6 +34,11 @@ def _words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[^\p{L}\p{N}]+"))
 
 
+def _hashed(words: str) -> Column:
+    """The hashes of an array's tokens; exploded from an array of one, so that each is computed once."""
+    return F.explode(F.array(F.transform(words, lambda w: F.xxhash64(w))))
+
+
 def _seed(words: str, at: Column, mask: int) -> Column:
     """The hash of what a mask keeps at a position; null where the span passes the end."""
     kept = [F.get(words, at + p) for p in MASKS[mask]]
@@ -56,6 +61,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     differ, gives e + 1 runs side by side, of which one is whole in any overlap; without any such e, the whole item.
     Windows and similarities for which the masks are not enough are searched by runs as well, at each position.
 
+    Very long texts and items cost their tokens: what meets is numbers, and only tokens beside a hit are compared.
     Null and empty texts have no tokens and overlap nothing. Rows with a null id are kept under null. Repeated rows
     count once. Empty tables give no rows; no other column is read.
     """
@@ -66,7 +72,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     run = (width / (width - need + 1)).cast("int")
     masked = window >= 20 and similarity >= 0.8
     # e + 1 runs side by side if the item is one window, else runs from each position on
-    sized = items.select("key", "item", "n", run.alias("run"), ((F.col("n") >= window) if masked else F.lit(False)).alias("long"), F.when(F.col("n") <= window, run).otherwise(1).alias("step"))
+    sized = items.select("key", _hashed("item").alias("item"), "n", run.alias("run"), ((F.col("n") >= window) if masked else F.lit(False)).alias("long"), F.when(F.col("n") <= window, run).otherwise(1).alias("step"))
     runs = sorted(r.run for r in sized.where("not long").select("run").distinct().collect())
     any_long = bool(sized.where("long").limit(1).count())
     masks = [(m, _seed) for m in range(len(MASKS)) if any_long] + [(r, _run) for r in runs]
@@ -80,8 +86,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     blocks = -(-seeds.count() // block_rows)
 
     words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), _words(F.col(text_col)).alias("words"))
-    placed = words.select("doc_id", "text_hash", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)))).alias("i"))
-    hashes = F.array(*(of("words", F.col("i"), k) for k, of in masks)) if masks else F.array().cast("array<bigint>")
+    hashed = words.select("doc_id", "text_hash", _hashed("words").alias("hashed"))
+    placed = hashed.select("doc_id", "text_hash", "hashed", F.explode(F.sequence(F.lit(0), F.greatest(F.size("hashed") - 1, F.lit(0)))).alias("i"))
+    hashes = F.array(*(of("hashed", F.col("i"), k) for k, of in masks)) if masks else F.array().cast("array<bigint>")
     seeded = placed.select("doc_id", "text_hash", "i", F.explode(hashes).alias("h")).where("h is not null")
 
     def one(k: int) -> DataFrame:
