@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import SPACES, ascii_lower, broadcast_if_small, shared_folder, stored
+from sessionlake.llm.common import SPACES, ascii_lower, broadcast_if_small, shared_folder, small, stored
 
 
 class LineRuns:
@@ -58,6 +58,13 @@ class LineRuns:
             self.levels[level] = []
             level += 1
 
+    def close(self) -> None:
+        """Takes the runs out of the catalog."""
+        for level in self.levels:
+            for name in level:
+                self.spark.sql(f"drop table {name}")
+        self.levels = [[]]
+
     @staticmethod
     def _merged(runs: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.union, runs).groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("last_id").alias("last_id"))
@@ -82,7 +89,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Keys of at least `least_chars` code points found in at least `least_docs` documents (distinct ids) lose all
     their lines except in the largest id that holds them. Rows with a null id are not counted and keep all lines.
-    Repeated rows and ids count as one document, and each row is returned. An empty table gives no rows.
+    Repeated rows and ids count as one document, and each row is returned. An empty table gives no rows. A very long
+    text is split where it is read; only hashes of its lines and numbers of those dropped leave its task.
     """
     given, spark = docs, docs.sparkSession
     key = F.col("key")
@@ -99,13 +107,16 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             batch = keys.where((F.col("id") <= top) & (F.col("id") > top - width))
             runs.add(batch.groupBy("h1", "h2").agg(F.countDistinct("id").alias("docs"), F.max("id").alias("last_id")))
         hot = stored(runs.totals().where(F.col("docs") >= least_docs).select("h1", "h2", "last_id"))
+        runs.close()
         dropped = keys.join(broadcast_if_small(hot), ["h1", "h2"]).where("last_id <> id")
     else:
         dropped = keys.where("false")
     gone = dropped.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone")).select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("gone").alias("__gone"))
 
     lined = given.withColumn("__text_hash", F.xxhash64(F.col(text_col)))
-    met = lined.join(gone.hint("shuffle_hash"), (F.col("__id") == lined[id_col]) & (F.col("__hash") == lined["__text_hash"]), "left")
+    gone = stored(gone)
+    # numbers of the documents that lose a line; beyond the bound all texts are shuffled
+    met = lined.join(F.broadcast(gone) if small(gone) else gone.hint("shuffle_hash"), (F.col("__id") == lined[id_col]) & (F.col("__hash") == lined["__text_hash"]), "left")
     text = F.coalesce(F.col(text_col), F.lit(""))
     stay = F.filter(split_lines(text), lambda line, i: ~F.array_contains("__gone", i))
     values = {"n_lines": F.size(split_lines(text)).cast("long"), "n_dropped": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"), "kept_text": F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(stay, "\n"))}
