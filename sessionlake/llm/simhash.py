@@ -68,17 +68,38 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64))
 
 
+KEY = ["combo", "bits", "block_i", "block_j"]
+#: Rows that a task works on at once; whole blocks, so a block more at most.
+CHUNK = 250_000
+
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches sorted by KEY set together to about CHUNK rows, cut between keys."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        held.append(b)
+        if sum(map(len, held)) >= CHUNK:
+            t = pd.concat(held, ignore_index=True)
+            keys = t[KEY].to_numpy()
+            cut = len(t) - 1 - int((keys != keys[-1]).any(axis=1)[::-1].argmax()) if (keys[0] != keys[-1]).any() else -1
+            if cut >= 0:
+                yield t.iloc[: cut + 1]
+            held = [t.iloc[cut + 1 :]]
+    if sum(map(len, held)):
+        yield pd.concat(held, ignore_index=True)
+
+
 def _forest(distance: int):
     """Of rows sorted by bucket: links of each bucket's members, as a forest."""
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        t = pd.concat(parts, ignore_index=True)
-        t = t.sort_values(["combo", "bits", "block_i", "block_j", "fp"], kind="stable")
+        for t in _chunks(batches):
+            yield linked(t)
+
+    def linked(t: pd.DataFrame) -> pd.DataFrame:
+        t = t.sort_values([*KEY, "fp"], kind="stable").reset_index(drop=True)
         fp, side = t["fp"].to_numpy(), t["side"].to_numpy()
-        keys = t[["combo", "bits", "block_i", "block_j"]].to_numpy()
+        keys = t[KEY].to_numpy()
         run = np.concatenate([[0], np.cumsum((keys[1:] != keys[:-1]).any(axis=1))])
         table = np.stack([t["pivots_a"].to_numpy(), t["pivots_b"].to_numpy()], axis=1).view(np.uint8).astype(np.int16)
         parent = np.arange(len(fp))
@@ -108,7 +129,7 @@ def _forest(distance: int):
                     parent[max(ra, rb)] = min(ra, rb)
                     out_a.append(fp[a])
                     out_b.append(fp[b])
-        yield pd.DataFrame({"a": np.array(out_a, dtype=np.int64), "b": np.array(out_b, dtype=np.int64)})
+        return pd.DataFrame({"a": np.array(out_a, dtype=np.int64), "b": np.array(out_b, dtype=np.int64)})
 
     return links
 
@@ -132,7 +153,7 @@ def links(distinct: DataFrame, distance: int = 3, block: int = BLOCK, keys: Data
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     dealt = met.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("combo", "bits", "fp", "pivots_a", "pivots_b", F.least("own", "other").alias("block_i"), F.greatest("own", "other").alias("block_j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-    return dealt.repartition("combo", "bits", "block_i", "block_j").mapInPandas(_forest(distance), "a long, b long")
+    return dealt.repartition(*KEY).sortWithinPartitions(*KEY).mapInPandas(_forest(distance), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, pairs: int = 0) -> DataFrame:
