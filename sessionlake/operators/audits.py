@@ -13,40 +13,53 @@ def ledger_gaps(ledger: DataFrame, key: str = "operation_id", event: str = "even
     return sums.withColumn("code", code).where("code is not null")
 
 
-def superseded_failures(exchanges: DataFrame, identity: list[str], key: str = "exchange_id", started: str = "started_at", finished: str = "finished_at", ok: str = "ok") -> DataFrame:
-    """Each failed exchange with superseded_by: the first success of the same identity that starts when it has ended or later, null if none.
+def superseded_failures(exchanges: DataFrame, identity: list[str], key: str = "exchange_id", order: str = "log_pos", started: str = "started_at", finished: str = "finished_at", ok: str = "ok") -> DataFrame:
+    """Each failed exchange with superseded_by: the next success of the same identity in log order, if it starts when the failure has ended or later; else null.
 
-    An as-of match in one sort of each identity: successes stand at their start, failures at their end. Null ends find none.
+    Exchanges without both times, or that end before they start, take no part. One running value over each identity in descending order.
     """
-    at = F.when(F.col(ok), F.col(started)).otherwise(F.col(finished))
-    after = Window.partitionBy(*identity).orderBy(F.col("_at").asc_nulls_last(), F.col("_success").asc(), key).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    placed = exchanges.withColumns({"_success": F.coalesce(F.col(ok), F.lit(False)), "_at": at})
-    later = F.first(F.when(F.col("_success") & F.col("_at").isNotNull(), F.col(key)), ignorenulls=True).over(after)
-    found = placed.withColumn("superseded_by", F.when(F.col("_at").isNotNull(), later))
-    return found.where("not _success").drop("_success", "_at")
+    timed = F.coalesce(F.col(finished) >= F.col(started), F.lit(False))
+    after = Window.partitionBy(*identity).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    success = F.last(F.when(F.col(ok) & timed, F.struct(F.col(started).alias("at"), F.col(key).alias("key"))), ignorenulls=True).over(after)
+    found = exchanges.withColumn("_next", success).where(~F.coalesce(F.col(ok), F.lit(False)))
+    return found.withColumn("superseded_by", F.when(timed & (F.col(finished) <= F.col("_next.at")), F.col("_next.key"))).drop("_next")
 
 
-def merged_reads(lines: DataFrame, path: str = "path", number: str = "line", text: str = "text", total: str = "total") -> DataFrame:
-    """(path, status, lines, content) of partial reads: CONFLICT where a line has two texts or the totals differ, COMPLETE where lines 1 to total are there, else PARTIAL.
+def merged_reads(lines: DataFrame, path: str = "path", number: str = "line", text: str = "text", total: str = "total", valid: str | None = None) -> DataFrame:
+    """(path, status, lines, content) of partial reads: COMPLETE where lines 1 to the known total are there, else PARTIAL.
 
-    Content is null unless COMPLETE. Repeated reads of equal text count once.
+    RANGE_MISMATCH where a read's range was wrong or a line lies past the total, CONFLICT where a line has two texts,
+    TOTAL_CONFLICT where two totals are known. Content ends every line with a line feed and is null unless COMPLETE.
+    Repeated reads of equal text count once; reads that know no total leave it to the others.
     """
-    once = lines.groupBy(path, number).agg(F.min(text).alias("text"), F.count_distinct(text).alias("texts"), F.min(total).alias("least"), F.max(total).alias("most"))
-    whole = once.groupBy(path).agg(F.max("texts").alias("texts"), F.min("least").alias("least"), F.max("most").alias("most"), F.count(number).alias("lines"), F.min(number).alias("first"), F.max(number).alias("last"), F.sort_array(F.collect_list(F.struct(number, "text"))).alias("all"))
-    clash = (F.col("texts") > 1) | ~F.col("least").eqNullSafe(F.col("most"))
+    wrong = F.max(~F.coalesce(F.col(valid), F.lit(True))) if valid else F.lit(False)
+    once = lines.groupBy(path, number).agg(F.min(text).alias("text"), F.count_distinct(text).alias("texts"), F.min(total).alias("least"), F.max(total).alias("most"), wrong.alias("wrong"))
+    whole = once.groupBy(path).agg(
+        F.max("texts").alias("texts"), F.min("least").alias("least"), F.max("most").alias("most"), F.max("wrong").alias("wrong"), F.count(number).alias("lines"), F.min(number).alias("first"),
+        F.max(number).alias("last"), F.sort_array(F.collect_list(F.struct(number, "text"))).alias("all"),
+    )
     complete = (F.col("first") == 1) & (F.col("last") == F.col("most")) & (F.col("lines") == F.col("most"))
-    status = F.when(clash, "CONFLICT").when(F.coalesce(complete, F.lit(False)), "COMPLETE").otherwise("PARTIAL")
-    return whole.withColumn("status", status).select(path, "status", "lines", F.when(F.col("status") == "COMPLETE", F.array_join("all.text", "\n", "")).alias("content"))
+    status = F.when(F.col("wrong"), "RANGE_MISMATCH").when(F.col("texts") > 1, "CONFLICT").when(F.col("least") < F.col("most"), "TOTAL_CONFLICT").when(F.col("last") > F.col("most"), "RANGE_MISMATCH")
+    status = status.when(F.coalesce(complete, F.lit(False)), "COMPLETE").otherwise("PARTIAL")
+    content = F.concat(F.array_join(F.transform("all.text", lambda x: F.concat(x, F.lit("\n"))), ""))
+    return whole.withColumn("status", status).select(path, "status", "lines", F.when(F.col("status") == "COMPLETE", content).alias("content"))
 
 
 def missing_ranges(lines: DataFrame, path: str = "path", number: str = "line", total: str = "total") -> DataFrame:
-    """(path, first, last) of the lines from 1 to total that no row has: before the first, between neighbours, after the last."""
-    seen = lines.where(f"{number} is not null").groupBy(path, number).agg(F.max(total).alias("_total"))
+    """(path, first, last) of the lines from 1 to total that no row has: before the first, between neighbours, after the last.
+
+    One row with nulls for a path whose total no row knows: what is missing there isn't known. Paths with two totals or
+    with a line past the total have none.
+    """
+    seen = lines.where(f"{number} is not null").groupBy(path, number).agg(F.max(total).alias("_high"), F.min(total).alias("_low"))
     every, order = Window.partitionBy(path), Window.partitionBy(path).orderBy(number)
-    placed = seen.withColumns({"_before": F.coalesce(F.lag(number).over(order), F.lit(0)), "_next": F.lead(number).over(order), "_most": F.max("_total").over(every)})
-    inner = F.struct((F.col("_before") + 1).cast("long").alias("first"), (F.col(number) - 1).cast("long").alias("last"))
-    tail = F.struct((F.col(number) + 1).cast("long").alias("first"), F.when(F.col("_next").isNull(), F.col("_most")).cast("long").alias("last"))
-    return placed.select(path, F.explode(F.array(inner, tail)).alias("gap")).select(path, "gap.first", "gap.last").where("first <= last")
+    placed = seen.withColumns({"_before": F.coalesce(F.lag(number).over(order), F.lit(0)), "_next": F.lead(number).over(order), "_most": F.max("_high").over(every), "_least": F.min("_low").over(every), "_last": F.max(number).over(every)})
+    sound = placed.where(F.col("_most").isNull() | (F.col("_most") == F.col("_least")) & (F.col("_last") <= F.col("_most")))
+    gap = lambda a, b: F.struct(a.cast("long").alias("first"), b.cast("long").alias("last"))
+    gaps = F.filter(F.array(gap(F.col("_before") + 1, F.col(number) - 1), gap(F.col(number) + 1, F.when(F.col("_next").isNull(), F.col("_most")))), lambda g: g["first"] <= g["last"])
+    unknown = F.array(gap(F.lit(None), F.lit(None)))
+    shown = F.when(F.col("_most").isNotNull(), gaps).when(F.col("_next").isNull(), unknown)
+    return sound.select(path, F.explode(shown).alias("gap")).select(path, "gap.first", "gap.last")
 
 
 def most_common_value(rows: DataFrame, group: str, value: str, pos: str = "pos") -> DataFrame:
@@ -63,6 +76,38 @@ def rollout_metrics(trials: DataFrame, by: list[str] | None = None) -> DataFrame
     return trials.groupBy(*(by or [])).agg(n.alias("trials"), *sums, rate.alias("pass_rate"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.avg("seconds").alias("mean_seconds"))
 
 
+def padded_trials(trials: DataFrame, expected: DataFrame, job: str = "job_id") -> DataFrame:
+    """trials with a row of status INFRA_ERROR and error_code TRIAL_RESULT_MISSING for each that (job, expected_trials) has too few of."""
+    counted = expected.join(trials.groupBy(job).agg(F.count("*").alias("_n")), job, "left")
+    short = F.col("expected_trials") - F.coalesce("_n", F.lit(0))
+    missing = counted.where(short > 0).select(job, F.explode(F.sequence(F.lit(1), short.cast("int"))).alias("_k"))
+    missing = missing.select(job, F.format_string("missing-trial-%03d", "_k").alias("trial_name"), F.lit("INFRA_ERROR").alias("status"), F.lit("TRIAL_RESULT_MISSING").alias("error_code"))
+    return trials.unionByName(missing, allowMissingColumns=True)
+
+
+def job_metrics(trials: DataFrame, job: str = "job_id") -> DataFrame:
+    """(job, trials, completed, passed, rates, tokens, mean_seconds): PASS, FAIL and COMPLETED are complete; tokens are those known, mean_seconds is null without any."""
+    n = F.count("*")
+    yes = lambda c: F.count_if(F.coalesce(F.col(c), F.lit(False)))
+    sums = trials.groupBy(job).agg(
+        n.alias("trials"), F.count_if(F.col("status").isin("PASS", "FAIL", "COMPLETED")).alias("completed"), F.count_if(F.col("status") == "PASS").alias("passed"), yes("trajectory_present").alias("trajectories"),
+        yes("manifest_present").alias("manifests"), F.count_if(F.col("content_valid") == F.lit(False)).alias("invalid"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.avg("seconds").alias("mean_seconds"),
+    )
+    return sums.withColumns({f"{a}_rate": F.col(b) / F.col("trials") for a, b in (("completion", "completed"), ("pass", "passed"), ("trajectory", "trajectories"), ("manifest", "manifests"))})
+
+
+def job_gate(metrics: DataFrame, expected: str = "expected_trials", cleanup: str = "cleanup_ok") -> DataFrame:
+    """metrics (of job_metrics(), with `expected` trials, null for any number, and `cleanup`) with reasons array and ok."""
+    code = lambda condition, name: F.when(F.coalesce(condition, F.lit(False)), F.lit(name))
+    # The reasons, in this order.
+    reasons = F.array_compact(F.array(
+        code(F.col("trials") == 0, "NO_TRIAL_RESULTS"), code(F.col("trials") != F.col(expected), "TRIAL_COUNT_MISMATCH"), code(F.col("completed") != F.col("trials"), "TRIAL_INCOMPLETE_OR_INFRA_ERROR"),
+        code(~F.coalesce(F.col(cleanup), F.lit(False)), "SANDBOX_CLEANUP_UNCONFIRMED"), code(F.col("manifests") != F.col("trials"), "ARTIFACT_MANIFEST_MISSING"), code(F.col("trajectories") != F.col("trials"), "TRAJECTORY_MISSING"),
+        code(F.col("invalid") > 0, "TRAJECTORY_OR_ARTIFACT_CONTENT_INVALID"),
+    ))
+    return metrics.withColumn("reasons", reasons).withColumn("ok", F.size("reasons") == 0)
+
+
 def quality_gate(metrics: DataFrame, expected: int) -> DataFrame:
     """metrics with gate (PASS or REVIEW) and its reasons: trials missing, infrastructure errors, inconclusive trials."""
     code = lambda condition, name: F.when(condition, F.lit(name))

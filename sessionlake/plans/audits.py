@@ -20,12 +20,13 @@ def ledger_audit(spark, sf_dir):
 
 def retry_superseded(spark, sf_dir):
     e = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("event_id").alias("started"), (F.col("event_id") + F.col("event_id") % 50).alias("finished"), (F.col("event_id") % 3 > 0).alias("ok"))
-    return audits.superseded_failures(e, ["user_id", "event_type"], "event_id", "started", "finished").select("event_id", "superseded_by")
+    e = e.withColumn("finished", F.when(F.col("event_id") % 41 > 0, F.col("finished")))
+    return audits.superseded_failures(e, ["user_id", "event_type"], "event_id", "event_id", "started", "finished").select("event_id", "superseded_by")
 
 
 def _lines(spark, sf_dir):
     text = F.when(F.col("l_orderkey") % 7 == 0, F.col("l_partkey").cast("string")).otherwise(F.lit("x"))
-    total = F.when(F.col("l_orderkey") % 5 == 0, F.col("l_orderkey") % 4 + 1).otherwise(F.lit(4)).cast("int")
+    total = F.when(F.col("l_orderkey") % 5 == 0, F.col("l_orderkey") % 4 + 1).when(F.col("l_linenumber") % 2 == 1, F.lit(7)).when(F.col("l_orderkey") % 3 == 0, F.lit(6)).cast("int")
     return _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("path"), F.col("l_linenumber").alias("line"), text.alias("text"), total.alias("total"))
 
 
@@ -34,7 +35,8 @@ def segment_merge(spark, sf_dir):
 
 
 def missing_ranges(spark, sf_dir):
-    return audits.missing_ranges(_lines(spark, sf_dir).where("text = 'x' and line % 3 > 0").withColumn("total", F.lit(9)))
+    total = F.when(F.col("path") % 4 == 0, F.lit(9)).when(F.col("path") % 4 == 1, 8 + F.col("line") % 2).when(F.col("path") % 4 == 2, F.lit(3))
+    return audits.missing_ranges(_lines(spark, sf_dir).withColumn("total", total.cast("int")))
 
 
 def workspace_mode(spark, sf_dir):
@@ -106,7 +108,7 @@ QUERIES = {
     for f in (ledger_audit, retry_superseded, segment_merge, missing_ranges, workspace_mode, rollout_metrics, quality_gate, requirement_ledger, retained_sessions, red_checks, step_validation, reason_counts, source_coverage, duplicate_lines, path_ancestors, safe_paths)
 }
 
-_LINES = "lines AS (SELECT l_orderkey AS path, l_linenumber AS line, CASE WHEN l_orderkey % 7 = 0 THEN CAST(l_partkey AS VARCHAR) ELSE 'x' END AS text, CASE WHEN l_orderkey % 5 = 0 THEN l_orderkey % 4 + 1 ELSE 4 END AS total FROM lineitem)"
+_LINES = "lines AS (SELECT l_orderkey AS path, l_linenumber AS line, CASE WHEN l_orderkey % 7 = 0 THEN CAST(l_partkey AS VARCHAR) ELSE 'x' END AS text, CASE WHEN l_orderkey % 5 = 0 THEN l_orderkey % 4 + 1 WHEN l_linenumber % 2 = 1 THEN 7 WHEN l_orderkey % 3 = 0 THEN 6 END AS total FROM lineitem)"
 _TRIALS = f"trials AS (SELECT o_orderpriority, {TRIAL_STATUS} AS status, CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey END AS tokens, CASE WHEN o_orderkey % 4 > 0 THEN o_custkey % 100 END AS seconds FROM orders)"
 
 ORACLE_SQL = {
@@ -114,17 +116,18 @@ ORACLE_SQL = {
 WITH s AS (SELECT event_id // 3 AS operation_id, count(*) FILTER (event_type = 'signup') AS created, count(*) FILTER (event_type = 'purchase') AS terminal FROM events GROUP BY ALL)
 SELECT *, CASE WHEN created > 0 THEN 'not_terminated' ELSE 'terminal_without_creation' END AS code FROM s WHERE (created > 0) <> (terminal > 0)""",
     "retry_superseded": """
-SELECT f.event_id, min(s.event_id) AS superseded_by FROM events f LEFT JOIN events s ON s.user_id = f.user_id AND s.event_type = f.event_type AND s.event_id % 3 > 0 AND s.event_id >= f.event_id + f.event_id % 50
-WHERE f.event_id % 3 = 0 GROUP BY f.event_id""",
+WITH n AS (SELECT f.event_id, f.event_id % 41 > 0 AS timed, f.event_id + f.event_id % 50 AS finished, (SELECT min(s.event_id) FROM events s WHERE s.user_id = f.user_id AND s.event_type = f.event_type AND s.event_id % 3 > 0 AND s.event_id % 41 > 0 AND s.event_id > f.event_id) AS next
+FROM events f WHERE f.event_id % 3 = 0) SELECT event_id, CASE WHEN timed AND finished <= next THEN next END AS superseded_by FROM n""",
     "segment_merge": f"""
 WITH {_LINES}, n AS (SELECT path, line, min(text) AS text, count(DISTINCT text) AS texts, min(total) AS least, max(total) AS most FROM lines GROUP BY ALL),
-p AS (SELECT path, CASE WHEN max(texts) > 1 OR min(least) <> max(most) THEN 'CONFLICT' WHEN list_sort(list(line)) = range(1, CAST(max(most) AS INTEGER) + 1) THEN 'COMPLETE' ELSE 'PARTIAL' END AS status, count(line) AS lines, string_agg(text, chr(10) ORDER BY line) AS content FROM n GROUP BY path)
+p AS (SELECT path, CASE WHEN max(texts) > 1 THEN 'CONFLICT' WHEN min(least) <> max(most) THEN 'TOTAL_CONFLICT' WHEN max(line) > max(most) THEN 'RANGE_MISMATCH' WHEN list_sort(list(line)) = range(1, CAST(max(most) AS INTEGER) + 1) THEN 'COMPLETE' ELSE 'PARTIAL' END AS status,
+ count(line) AS lines, string_agg(text || chr(10), '' ORDER BY line) AS content FROM n GROUP BY path)
 SELECT path, status, lines, CASE WHEN status = 'COMPLETE' THEN content END AS content FROM p""",
-    "missing_ranges": f"""
-WITH {_LINES}, seen AS (SELECT DISTINCT path, line FROM lines WHERE text = 'x' AND line % 3 > 0), p AS (SELECT DISTINCT path FROM seen),
-m AS (SELECT path, k FROM p, range(1, 10) r(k) WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.path = p.path AND s.line = k)),
+    "missing_ranges": """
+WITH seen AS (SELECT DISTINCT l_orderkey AS path, l_linenumber AS line FROM lineitem), p AS (SELECT path, max(line) AS last, path % 4 = 1 AND count(DISTINCT line % 2) > 1 AS torn, CASE path % 4 WHEN 0 THEN 9 WHEN 1 THEN 8 + min(line % 2) WHEN 2 THEN 3 END AS total FROM seen GROUP BY path),
+m AS (SELECT path, k FROM p, range(1, 10) r(k) WHERE NOT torn AND total >= last AND k <= total AND NOT EXISTS (SELECT 1 FROM seen s WHERE s.path = p.path AND s.line = k)),
 i AS (SELECT *, k - row_number() OVER (PARTITION BY path ORDER BY k) AS island FROM m)
-SELECT path, min(k) AS first, max(k) AS last FROM i GROUP BY path, island""",
+SELECT path, min(k) AS first, max(k) AS last FROM i GROUP BY path, island UNION ALL SELECT path, NULL, NULL FROM p WHERE total IS NULL""",
     "workspace_mode": """
 WITH c AS (SELECT user_id, event_type, count(*) AS uses, min(event_id) AS first_id FROM events WHERE event_type IS NOT NULL GROUP BY ALL)
 SELECT user_id, event_type, uses FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY uses DESC, first_id) = 1""",

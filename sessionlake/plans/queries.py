@@ -11,13 +11,13 @@ from sessionlake.operators import evidence, sessions
 CAPABILITY_CELL = "CASE WHEN quality = 0 AND toxic = 1 THEN 'lacking_failed' WHEN quality = 0 THEN 'present_failed' WHEN toxic = 1 THEN 'lacking_passed' ELSE 'present_passed' END"
 EVENT_OPS = "CASE WHEN event_id % 11 = 0 THEN 'write' WHEN event_id % 13 = 0 THEN 'unknown' ELSE 'read' END"
 REPORT = """
-  SELECT o_orderkey AS report_id, o_custkey AS ingest_pos, CASE o_orderstatus WHEN 'F' THEN 'ELIGIBLE' WHEN 'O' THEN 'REVIEW' ELSE 'REJECT' END AS decision,
-         CASE WHEN o_orderkey % 3 = 0 THEN 'FAILURE' WHEN o_orderkey % 3 = 1 THEN 'UNCERTAIN' ELSE 'SUCCESS' END AS outcome, CASE WHEN o_orderkey % 5 = 0 THEN 'HIGH' ELSE 'LOW' END AS recoverability,
-         o_custkey % 4 AS rubric_total, o_orderkey % 7 AS evidence_count, o_totalprice AS confidence FROM orders
+  SELECT o_orderkey AS report_id, o_custkey AS ingest_pos, CASE o_orderstatus WHEN 'F' THEN 'ELIGIBLE' WHEN 'O' THEN 'REVIEW' END AS decision,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'FAILURE' WHEN o_orderkey % 3 = 1 THEN 'SUCCESS' END AS outcome, CASE WHEN o_orderkey % 5 = 0 THEN 'HIGH' ELSE 'LOW' END AS recoverability,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'PLAN_EXECUTION_FAILURE' WHEN o_orderkey % 11 = 1 THEN 'INCONCLUSIVE' END AS failure, o_custkey % 4 AS rubric_total, o_orderkey % 7 AS evidence_count, o_totalprice AS confidence FROM orders
 """
 CANDIDATE = """
   SELECT o_orderkey AS candidate_id, CASE o_orderstatus WHEN 'F' THEN 'PASS' WHEN 'O' THEN 'INCONCLUSIVE' ELSE 'FAIL' END AS verifier_status,
-         CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN 0.5 ELSE 1.0 END AS reward, 0.75 + (o_orderkey % 4) / 8.0 AS task_confidence, 0.9 AS environment_confidence,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN 0.5 WHEN o_orderkey % 103 = 0 THEN 1.5 ELSE 1.0 END AS reward, CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE 0.75 + (o_orderkey % 4) / 8.0 END AS task_confidence, 0.9 AS environment_confidence,
          0.6 + (o_custkey % 5) / 10.0 AS trajectory_quality, CASE WHEN o_custkey % 6 = 0 THEN NULL ELSE o_custkey % 6 = 1 END AS solution_leakage, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey % 7 <> 1 END AS reproducible FROM orders
 """
 
@@ -72,11 +72,11 @@ def usage_totals(spark, sf_dir):
 
 def review_queue(spark, sf_dir):
     reports = _sql(spark, sf_dir, "orders", REPORT)
-    return evidence.review_queue(reports, 50).select("report_id", "decision_rank", "outcome_rank", "recoverability_rank", "weight")
+    return evidence.review_queue(reports, 4000, failure="failure").select("report_id", "decision_rank", "outcome_rank", "recoverability_rank", "weight")
 
 
 def curation_gate(spark, sf_dir):
-    return evidence.curated(_sql(spark, sf_dir, "orders", CANDIDATE)).select("candidate_id", "eligibility", F.array_join("rejection_reasons", ",").alias("reasons"))
+    return evidence.curated(_sql(spark, sf_dir, "orders", CANDIDATE)).select("candidate_id", "eligibility", F.array_join("rejection_reasons", ",").alias("reasons"), F.array_join("input_errors", ",").alias("input_errors"), F.size("selection_reasons").alias("passes"))
 
 
 def curation_metrics(spark, sf_dir):
@@ -87,7 +87,8 @@ def _capabilities(spark, sf_dir):
     labels = _table(spark, sf_dir, "labels")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang")
     cells = labels.join(docs, "doc_id").select((F.col("doc_id") % 3).alias("run"), F.col("lang").alias("capability"), F.expr(CAPABILITY_CELL).alias("cell"), F.col("doc_id").alias("trajectory_id"))
-    return evidence.capability_metrics(cells, labels.select(F.when(F.col("quality") == 0, "FAILURE").otherwise("SUCCESS").alias("outcome")))
+    outcome = F.when(F.col("doc_id") % 10 == 9, "UNKNOWN").when(F.col("quality") == 0, "FAILURE").otherwise("SUCCESS")
+    return evidence.capability_metrics(cells, labels.select(F.col("doc_id").alias("trajectory_id"), outcome.alias("outcome")).where("trajectory_id % 10 <> 8"))
 
 
 def capability_metrics(spark, sf_dir):
@@ -105,17 +106,18 @@ def stage_funnel(spark, sf_dir):
 
 
 def boundary_mismatches(spark, sf_dir):
-    return evidence.boundary_mismatches(_table(spark, sf_dir, "orders").where("o_orderkey % 5 > 0").selectExpr("o_orderkey AS key"), _table(spark, sf_dir, "lineitem").where("l_quantity > 25").selectExpr("l_orderkey AS key"), "key")
+    return evidence.boundary_mismatches(_table(spark, sf_dir, "orders").selectExpr("o_custkey AS key"), _table(spark, sf_dir, "lineitem").selectExpr("l_partkey AS key"), "key")
 
 
 def workspace_profiles(spark, sf_dir):
-    out = texts.workspace_profiles(_table(spark, sf_dir, "documents"), "source", "doc_id")
-    return out.select("source", "files", "tokens", F.array_join("capabilities", ",").alias("capabilities"))
+    folder = F.when(F.col("doc_id") % 13 == 0, "tests").otherwise("src")
+    files = _table(spark, sf_dir, "documents").select("source", F.concat_ws("/", folder, F.concat("doc_id", F.lit("."), "lang")).alias("path"), "text")
+    out = texts.workspace_profiles(files, "source")
+    return out.select("source", "files", F.array_join("languages", ",").alias("languages"), "tokens", F.array_join("capabilities", ",").alias("capabilities"))
 
 
 def secret_findings(spark, sf_dir):
-    logs = _table(spark, sf_dir, "conversations").select(F.concat_ws("/", "conv_id", "turn").alias("path"), F.concat(F.col("text"), F.lit('\nX-Api-Key: "'), F.sha2(F.concat("role", F.col("turn").cast("string")), 256), F.lit('"\n')).alias("text"))
-    return texts.secret_findings(logs)
+    return texts.secret_findings(_table(spark, sf_dir, "documents"), "doc_id", detectors=texts.secret_detectors(names=("token",)))
 
 
 QUERIES = {
@@ -129,11 +131,13 @@ g AS (SELECT *, list_filter([CASE WHEN verifier_status NOT IN ('PASS', 'INCONCLU
         CASE WHEN environment_confidence < 0.8 THEN 'ENVIRONMENT_CONFIDENCE_LOW' END, CASE WHEN trajectory_quality < 0.7 THEN 'TRAJECTORY_QUALITY_LOW' END, CASE WHEN solution_leakage THEN 'SOLUTION_LEAKAGE' END, CASE WHEN NOT reproducible THEN 'NOT_REPRODUCIBLE' END], lambda x: x IS NOT NULL) AS rejects,
       list_filter([CASE WHEN verifier_status = 'INCONCLUSIVE' THEN 'VERIFIER_UNVERIFIED' END, CASE WHEN reward IS NULL THEN 'REWARD_UNVERIFIED' END, CASE WHEN solution_leakage IS NULL THEN 'SOLUTION_LEAKAGE_UNVERIFIED' END, CASE WHEN reproducible IS NULL THEN 'REPRODUCIBILITY_UNVERIFIED' END], lambda x: x IS NOT NULL) AS reviews
       FROM ({CANDIDATE})),
-e AS (SELECT candidate_id, CASE WHEN len(rejects) > 0 THEN 'REJECT' WHEN len(reviews) > 0 THEN 'REVIEW' ELSE 'ELIGIBLE' END AS eligibility, array_to_string(CASE WHEN len(rejects) > 0 THEN rejects ELSE reviews END, ',') AS reasons FROM g)
+i AS (SELECT *, concat_ws(',', CASE WHEN task_confidence IS NULL THEN 'TASK_CONFIDENCE_INVALID' END, CASE WHEN reward > 1 THEN 'REWARD_INVALID' END) AS input_errors FROM g),
+e AS (SELECT candidate_id, input_errors, CASE WHEN input_errors <> '' THEN NULL WHEN len(rejects) > 0 THEN 'REJECT' WHEN len(reviews) > 0 THEN 'REVIEW' ELSE 'ELIGIBLE' END AS eligibility,
+      CASE WHEN input_errors <> '' THEN '' ELSE array_to_string(CASE WHEN len(rejects) > 0 THEN rejects ELSE reviews END, ',') END AS reasons FROM i)
 """
 _METRICS = f"""
-t AS (SELECT count(*) FILTER (quality = 0) AS failures FROM labels),
-c AS (SELECT doc_id % 3 AS run, lang AS capability, {CAPABILITY_CELL} AS cell, doc_id AS trajectory_id FROM labels JOIN documents USING (doc_id)),
+t AS (SELECT count(*) FILTER (quality = 0) AS failures FROM labels WHERE doc_id % 10 < 8),
+c AS (SELECT doc_id % 3 AS run, lang AS capability, {CAPABILITY_CELL} AS cell, doc_id AS trajectory_id FROM labels JOIN documents USING (doc_id) WHERE doc_id % 10 < 8),
 s AS (SELECT run, capability, count(DISTINCT trajectory_id) FILTER (cell = 'lacking_failed') AS lacking_failed, count(DISTINCT trajectory_id) FILTER (cell = 'present_failed') AS present_failed,
       count(DISTINCT trajectory_id) FILTER (cell = 'lacking_passed') AS lacking_passed, count(DISTINCT trajectory_id) FILTER (cell = 'present_passed') AS present_passed FROM c GROUP BY ALL),
 m AS (SELECT *, lacking_failed / failures AS coverage, coalesce(lacking_failed / nullif(lacking_failed + present_failed, 0), 0.0) AS error_rate_failed, coalesce(lacking_passed / nullif(lacking_passed + present_passed, 0), 0.0) AS error_rate_success FROM s, t)
@@ -169,19 +173,26 @@ SELECT session_id, path, arg_min(content, pos) FILTER (NOT late AND NOT unparsed
        count(*) FILTER (NOT late AND NOT unparsed) AS trusted_reads, count(*) FILTER (late) AS after_write, count(*) FILTER (unparsed) AS after_unparsed FROM r GROUP BY session_id, path""",
     "usage_totals": "SELECT user_id, CAST(CASE WHEN count(CASE WHEN event_id % 17 > 0 THEN 1 END) = count(*) THEN sum(event_id) END AS BIGINT) AS strict_tokens, CAST(coalesce(sum(CASE WHEN event_id % 17 > 0 THEN event_id END), 0) AS BIGINT) AS known_tokens FROM events GROUP BY user_id",
     "review_queue": f"""
-WITH d AS (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY ingest_pos) AS k FROM ({REPORT}))
-SELECT report_id, CASE decision WHEN 'ELIGIBLE' THEN 4 WHEN 'REVIEW' THEN 3 ELSE 0 END AS decision_rank, CASE outcome WHEN 'FAILURE' THEN 3 WHEN 'UNCERTAIN' THEN 1 ELSE 0 END AS outcome_rank,
+WITH d AS (SELECT *, coalesce(failure, 'INCONCLUSIVE') <> 'INCONCLUSIVE' AS failed FROM ({REPORT}))
+SELECT report_id, CASE WHEN decision = 'ELIGIBLE' THEN 4 WHEN decision = 'REVIEW' OR failed THEN 3 ELSE 2 END AS decision_rank, CASE WHEN outcome = 'FAILURE' THEN 3 WHEN outcome = 'SUCCESS' THEN 0 WHEN failed THEN 3 ELSE 1 END AS outcome_rank,
        CASE recoverability WHEN 'HIGH' THEN 3 ELSE 1 END AS recoverability_rank, CASE WHEN rubric_total = 0 THEN evidence_count ELSE rubric_total END + confidence AS weight
-FROM d WHERE k = 1 ORDER BY 2 DESC, 3 DESC, 4 DESC, 5 DESC, 1 DESC LIMIT 50""",
-    "curation_gate": f"WITH {_GATED} SELECT candidate_id, eligibility, reasons FROM e",
+FROM d ORDER BY 2 DESC, 3 DESC, 4 DESC, 5 DESC, CAST(report_id AS VARCHAR) DESC LIMIT 4000""",
+    "curation_gate": f"WITH {_GATED} SELECT candidate_id, eligibility, reasons, input_errors, CAST(CASE WHEN eligibility = 'ELIGIBLE' THEN 5 ELSE 0 END AS INTEGER) AS passes FROM e",
     "curation_metrics": f"WITH {_GATED} SELECT count(*) AS input_count, count(*) FILTER (eligibility = 'ELIGIBLE') AS eligible_count, count(*) FILTER (eligibility = 'REVIEW') AS review_count, count(*) FILTER (eligibility = 'REJECT') AS reject_count, count(*) FILTER (eligibility = 'ELIGIBLE') / count(*) AS eligibility_rate, count(*) FILTER (eligibility = 'REVIEW') / count(*) AS review_rate FROM e",
     "capability_metrics": f"WITH {_METRICS} SELECT run, capability, lacking_failed, present_failed, lacking_passed, present_passed, coverage, error_rate_failed, error_rate_success, error_rate_failed - error_rate_success AS contrastive_gap FROM m",
-    "selected_capabilities": f"WITH {_METRICS} SELECT capability, sum(coverage) / 3 AS coverage, sum(error_rate_failed - error_rate_success) / 3 AS contrastive_gap, count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) AS pass_count, CASE WHEN count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) >= 2 THEN 'SELECTED' ELSE 'REJECTED' END AS status FROM m GROUP BY capability",
+    "selected_capabilities": f"WITH {_METRICS} SELECT capability, sum(coverage) / 3 AS coverage, sum(error_rate_failed - error_rate_success) / 3 AS contrastive_gap, count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) AS pass_count, CASE WHEN count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) >= 2 THEN 'SELECTED' ELSE 'REJECTED' END AS status, count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) / 3 AS consistency_ratio FROM m GROUP BY capability",
     "stage_funnel": "WITH s AS (SELECT o_orderpriority AS stage, CASE WHEN o_orderstatus = 'F' THEN 'READY' WHEN o_orderkey % 4 > 0 THEN 'REVIEW' ELSE 'NOT_RUN' END AS status FROM orders) SELECT stage, count(*) AS tasks, count(*) FILTER (status = 'READY') AS ready, count(*) FILTER (status = 'REVIEW') AS review, count(*) FILTER (status = 'NOT_RUN') AS not_run FROM s GROUP BY stage",
-    "boundary_mismatches": "WITH a AS (SELECT DISTINCT o_orderkey AS key FROM orders WHERE o_orderkey % 5 > 0), b AS (SELECT DISTINCT l_orderkey AS key FROM lineitem WHERE l_quantity > 25) SELECT key, 'left_only' AS side FROM a WHERE key NOT IN (SELECT key FROM b) UNION ALL SELECT key, 'right_only' FROM b WHERE key NOT IN (SELECT key FROM a)",
+    "boundary_mismatches": "WITH a AS (SELECT DISTINCT o_custkey AS key FROM orders), b AS (SELECT DISTINCT l_partkey AS key FROM lineitem) SELECT key, 'left_only' AS side FROM a WHERE key NOT IN (SELECT key FROM b) UNION ALL SELECT key, 'right_only' FROM b WHERE key NOT IN (SELECT key FROM a)",
     "workspace_profiles": f"""
-WITH t AS (SELECT source, doc_id, unnest(list_distinct(list_transform(regexp_extract_all(substr(text, 1, 20000), '[A-Za-z][A-Za-z0-9_]{{2,}}'), lambda x: lower(x)))) AS token FROM documents)
-SELECT d.source, d.files, (SELECT count(DISTINCT token) FROM t WHERE t.source = d.source) AS tokens, coalesce((SELECT string_agg(token, ',' ORDER BY token) FROM (SELECT DISTINCT token FROM t WHERE t.source = d.source AND token IN ('{"', '".join(texts.MARKERS)}'))), '') AS capabilities
-FROM (SELECT source, count(DISTINCT doc_id) AS files FROM documents GROUP BY source) d""",
-    "secret_findings": "SELECT concat(conv_id, '/', turn) AS path, CAST(length(text) - length(replace(text, chr(10), '')) + 2 AS INTEGER) AS line, 'auth_header_value' AS detector, sha256(sha256(concat(role, turn))) AS match_sha256 FROM conversations",
+WITH f AS (SELECT * FROM documents WHERE doc_id % 13 <> 0), t AS (SELECT DISTINCT source, unnest(list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_]{{2,}}'), lambda x: lower(x))) AS token FROM f),
+c AS (SELECT source, count(*) AS tokens, coalesce(string_agg(token, ',' ORDER BY token) FILTER (token IN ('{"', '".join(texts.MARKERS)}')), '') AS capabilities FROM t GROUP BY source)
+SELECT d.source, d.files, d.languages, coalesce(c.tokens, 0) AS tokens, coalesce(c.capabilities, '') AS capabilities
+FROM (SELECT source, count(DISTINCT doc_id) AS files, string_agg(DISTINCT lang, ',' ORDER BY lang) AS languages FROM f GROUP BY source) d LEFT JOIN c USING (source)""",
+    # one value at a time: what precedes it tells its line
+    "secret_findings": r"""
+WITH RECURSIVE v AS (SELECT doc_id, m, regexp_extract(m, '"([0-9A-Za-z]{8,})"', 1) AS value FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\btoken\s*=\s*"[0-9a-z]{8,}"')) AS m FROM documents)),
+w AS (SELECT DISTINCT v.doc_id, v.m, v.value, d.text FROM v JOIN documents d USING (doc_id)),
+a AS (SELECT doc_id, m, value, string_split(text, m) AS parts FROM w),
+l AS (SELECT doc_id, value, m, k, list_reduce(list_transform(parts[1:k], lambda x: length(x) - length(replace(x, chr(10), ''))), lambda x, y: x + y) + (k - 1) * (length(m) - length(replace(m, chr(10), ''))) + 1 AS line FROM a, range(1, 2000) r(k) WHERE k < len(parts))
+SELECT DISTINCT doc_id, CAST(line AS INTEGER) AS line, 'assigned_value' AS detector, sha256(value) AS match_sha256 FROM l""",
 }
