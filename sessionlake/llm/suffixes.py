@@ -79,47 +79,48 @@ def segments(data: bytes, length: int, rolling: Rolling) -> Iterator[tuple[int,
                 yield base + a, b - a, int(v.view(np.int64)), xxhash.xxh3_64_intdigest(view[base + a : base + b - 1 + length]) - (1 << 63), twice
 
 
-def words_at(c: np.ndarray) -> np.ndarray:
-    """The eight bytes from each byte on as a big-endian number, zeros past the end."""
-    out, padded = np.zeros(len(c), dtype=np.uint64), np.concatenate([c, np.zeros(8, dtype=c.dtype)])
-    for k in range(8):
-        out = out << np.uint64(8) | padded[k : k + len(c)]
-    return out
-
-
-def _word(words: np.ndarray, at: np.ndarray, depth: int, length: int) -> np.ndarray:
-    """The words at a depth of suffixes, cut to so many bytes of each suffix."""
-    x = np.where(at + depth < len(words), words[np.minimum(at + depth, len(words) - 1)], np.uint64(0))
-    return x if depth + 8 <= length else x & ~np.uint64((1 << 8 * (depth + 8 - length)) - 1)
-
-
-def sorted_directly(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """Suffixes in order of their first `length` bytes: by eight bytes, then what ties by the next eight."""
-    at = at[np.argsort(words[at], kind="stable")] if length >= 8 else at[np.argsort(_word(words, at, 0, length), kind="stable")]
-    first = _word(words, at, 0, length)
-    tied, depth = first[1:] == first[:-1], 8
-    while depth < length and tied.any():
-        rows = np.flatnonzero(np.append(tied, False) | np.insert(tied, 0, False))
-        run = np.cumsum(np.insert(~tied, 0, False))[rows]
-        x = _word(words, at[rows], depth, length)
-        order = np.lexsort((x, run))
-        at[rows], x = at[rows][order], x[order]
-        tied = np.zeros(len(at) - 1, dtype=bool)
-        tied[rows[:-1][(x[1:] == x[:-1]) & (run[1:] == run[:-1])]] = True
+def sorted_directly(c: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Suffixes in order of their first `length` bytes; bucket by bucket of the first byte, so few keys are held at once."""
+    windows = np.lib.stride_tricks.sliding_window_view(np.concatenate([c, np.zeros(length, dtype=c.dtype)]), length)
+    at = at[np.argsort(c[at], kind="stable")]
+    cuts = np.flatnonzero(np.diff(c[at])) + 1
+    out = []
+    for part in np.split(at, cuts):
+        keys = np.ascontiguousarray(windows[part]).view(f"S{length}").ravel()
+        out.append(part[np.argsort(keys, kind="stable")])
+    return np.concatenate(out) if out else at
+
+
+def common_prefixes(c: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """How many bytes each suffix of an order shares with the next, `most` at most.
+
+    In order of positions: where a suffix's neighbour moves on with it, it shares one byte less than the one before.
+    So bytes are compared only where such a run begins, to where it could matter.
+    """
+    if len(order) < 2:
+        return np.zeros(0, dtype=np.int64)
+    by = np.argsort(order[:-1], kind="stable")
+    i, j = order[:-1][by], order[1:][by]
+    begins = np.concatenate([[True], (np.diff(i) != 1) | (np.diff(j) != 1)])
+    first = np.flatnonzero(begins)
+    need = np.diff(np.append(first, len(i))) + most
+    padded = np.concatenate([c, np.zeros(8, dtype=c.dtype)])
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    word = lambda at: np.ascontiguousarray(words[at]).view(">u8").ravel()
+    shared, live, depth = np.zeros(len(first), dtype=np.int64), np.arange(len(first)), 0
+    while len(live):
+        a, b = i[first[live]] + depth, j[first[live]] + depth
+        inside = np.maximum(a, b) < len(c)
+        live, a, b = live[inside], a[inside], b[inside]
+        x = word(a) ^ word(b)
+        same = sum((x < (1 << 8 * k)).astype(np.int64) for k in range(8))
+        shared[live] = depth + np.minimum(same, len(c) - np.maximum(a, b))
         depth += 8
-    return at
-
-
-def common_prefixes(words: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """How many bytes each suffix of an order shares with the next, `most` at most."""
-    out, live = np.zeros(max(0, len(order) - 1), dtype=np.int64), np.arange(max(0, len(order) - 1))
-    for depth in range(0, most, 8):
-        x = _word(words, order[live], depth, most) ^ _word(words, order[live + 1], depth, most)
-        out[live] = depth + sum((x < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(8))
-        live = live[x == 0]
-        if not len(live):
-            break
-    return np.minimum(out, most)
+        live = live[(same == 8) & (need[live] > depth)]
+    run = np.cumsum(begins) - 1
+    out = np.empty(len(i), dtype=np.int64)
+    out[by] = np.clip(shared[run] - (i - i[first[run]]), 0, most)
+    return out
 
 
 def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
@@ -147,8 +148,7 @@ def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
         return np.cumsum(steps)[: len(c)] > 0
 
     needed, starts = covered(firsts, stops + 1)[: len(c) - 1], covered(firsts, firsts + windows)
-    words = words_at(c)
-    direct = sorted_directly(words, np.flatnonzero(needed & smaller), length)
+    direct = sorted_directly(c, np.flatnonzero(needed & smaller), length)
     cuts = np.searchsorted(c[direct], np.arange(257))
     induced = (needed & ~smaller).tobytes()
 
@@ -163,7 +163,7 @@ def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
             order += part
     suffixes = np.array(order, dtype=np.int64)
     suffixes = suffixes[starts[suffixes]]
-    same = np.flatnonzero(common_prefixes(words, suffixes, length) >= length)
+    same = np.flatnonzero(common_prefixes(c, suffixes, length) >= length)
     marked = np.zeros(len(c), dtype=bool)
     marked[suffixes[same]] = marked[suffixes[same + 1]] = True
     return [marked[a : a + n] for a, n in zip(firsts.tolist(), windows.tolist(), strict=True)]
@@ -178,28 +178,29 @@ def runs(marks: np.ndarray) -> tuple[list[int], list[int]]:
 SPANS = "array<struct<a:int,b:int>>"
 
 
-def _sorted_groups(length: int):
-    """Of rows sorted by group (g1, g2): the repeated windows of each piece, as spans of windows of its segment."""
+def _sorted_groups(length: int, together: int = 1 << 18):
+    """Of rows sorted by group (g1, g2): the repeated windows of each piece, as spans of windows of its segment.
 
-    def of_group(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple]:
-        for (key, seg, base, _), marks in zip(rows, repeated_windows([x[-1] for x in rows], length), strict=True):
-            if marks.any():
-                yield key, seg, [{"a": base + a, "b": base + b} for a, b in zip(*runs(marks), strict=True)]
+    Whole groups are sorted together up to so many bytes: equal windows are always of one group.
+    """
+
+    def repeated(rows: list[tuple[int, int, int, bytes]]) -> pd.DataFrame:
+        marks = repeated_windows([x[-1] for x in rows], length)
+        out = [(key, seg, [{"a": base + a, "b": base + b} for a, b in zip(*runs(m), strict=True)]) for (key, seg, base, _), m in zip(rows, marks, strict=True) if m.any()]
+        return pd.DataFrame(out, columns=["key", "seg", "r"])
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, rows, out = None, [], []
+        at, rows, held = None, [], 0
         for t in batches:
             for g1, g2, key, seg, base, piece in zip(*(t[c].tolist() for c in ("g1", "g2", "key", "seg", "base")), t["piece"], strict=True):
-                if (g1, g2) != at and rows:
-                    out += of_group(rows)
-                    rows = []
+                if held >= together and (g1, g2) != at:
+                    yield repeated(rows)
+                    rows, held = [], 0
                 at = g1, g2
                 rows.append((key, seg, base, bytes(piece)))
-            if out:
-                yield pd.DataFrame(out, columns=["key", "seg", "r"])
-                out = []
-        if rows and (out := list(of_group(rows))):
-            yield pd.DataFrame(out, columns=["key", "seg", "r"])
+                held += len(piece)
+        if rows:
+            yield repeated(rows)
 
     return work
 

@@ -63,14 +63,16 @@ def test_long_texts_are_cut_into_slabs(monkeypatch):
 def test_direct_sorting_and_common_prefixes(seed):
     rng = random.Random(seed)
     data = bytes(rng.choice(b"ab" if seed % 2 else b"abcdefgh") for _ in range(300)) + b"a" * 60 + b"abcdefghi" * 9
-    words = suffixes.words_at(np.frombuffer(data, dtype=np.uint8))
-    padded = data + bytes(40)
+    c, padded = np.frombuffer(data, dtype=np.uint8), data + bytes(40)
     for length in (5, 8, 21, 40):
-        order = suffixes.sorted_directly(words, np.arange(len(data)), length)
+        order = suffixes.sorted_directly(c, np.arange(len(data)), length)
         keys = [padded[i : i + length] for i in order]
         assert keys == sorted(padded[i : i + length] for i in range(len(data)))
-        shared = [next((k for k in range(length) if a[k] != b[k]), length) for a, b in zip(keys, keys[1:], strict=False)]
-        assert suffixes.common_prefixes(words, order, length).tolist() == shared
+        shared = [next((k for k in range(length) if max(i, j) + k >= len(data) or data[i + k] != data[j + k]), length) for i, j in zip(order, order[1:], strict=False)]
+        assert suffixes.common_prefixes(c, order, length).tolist() == shared
+        some = np.random.default_rng(seed).permutation(order)[: len(order) // 2]
+        shared = [next((k for k in range(length) if max(i, j) + k >= len(data) or data[i + k] != data[j + k]), length) for i, j in zip(some, some[1:], strict=False)]
+        assert suffixes.common_prefixes(c, some, length).tolist() == shared
 
 
 def test_passages_of_crowds_are_sorted_in_groups(spark):
