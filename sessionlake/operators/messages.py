@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlake.functions.values import json_value
 from sessionlake.operators.sessions import numbered_spans
 
 # Blocks that are text, statuses of failed calls, how failed results begin, names of calls that write or list.
@@ -133,7 +134,7 @@ def usable_result(text: Column, status: Column, pending: Column, is_error: Colum
 def result_shape(name: Column, text: Column, pending: Column) -> Column:
     """pending, error, wrote, listed, empty, json or text: what kind of result a call gave."""
     low, key, bare = F.lower(F.coalesce(text, F.lit(""))), F.lower(F.coalesce(name, F.lit(""))), stripped(F.coalesce(text, F.lit("")))
-    is_json = F.substring(bare, 1, 1).isin("{", "[") & F.try_parse_json(bare).isNotNull()
+    is_json = F.substring(bare, 1, 1).isin("{", "[") & json_value(bare).isNotNull()
     shape = F.when(F.coalesce(pending, F.lit(False)), "pending").when(F.exists(F.array(*map(F.lit, ERROR_WORDS)), lambda x: F.contains(low, x)), "error")
     return shape.when(key.isin(WRITES), "wrote").when(key.isin(LISTINGS) | key.endswith("list_dir"), "listed").when(bare == "", "empty").when(is_json, "json").otherwise("text")
 

@@ -1 +1 @@
-"""sources of the session analytics engine."""
+"""Readers of session logs, review inputs, trial results and file trees."""
