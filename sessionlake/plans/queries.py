@@ -180,7 +180,7 @@ FROM d ORDER BY 2 DESC, 3 DESC, 4 DESC, 5 DESC, CAST(report_id AS VARCHAR) DESC
     "curation_gate": f"WITH {_GATED} SELECT candidate_id, eligibility, reasons, input_errors, CAST(CASE WHEN eligibility = 'ELIGIBLE' THEN 5 ELSE 0 END AS INTEGER) AS passes FROM e",
     "curation_metrics": f"WITH {_GATED} SELECT count(*) AS input_count, count(*) FILTER (eligibility = 'ELIGIBLE') AS eligible_count, count(*) FILTER (eligibility = 'REVIEW') AS review_count, count(*) FILTER (eligibility = 'REJECT') AS reject_count, count(*) FILTER (eligibility = 'ELIGIBLE') / count(*) AS eligibility_rate, count(*) FILTER (eligibility = 'REVIEW') / count(*) AS review_rate FROM e",
     "capability_metrics": f"WITH {_METRICS} SELECT run, capability, lacking_failed, present_failed, lacking_passed, present_passed, coverage, error_rate_failed, error_rate_success, error_rate_failed - error_rate_success AS contrastive_gap FROM m",
-    "selected_capabilities": f"WITH {_METRICS} SELECT capability, sum(coverage) / 3 AS coverage, sum(error_rate_failed - error_rate_success) / 3 AS contrastive_gap, count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) AS pass_count, CASE WHEN count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) >= 2 THEN 'SELECTED' ELSE 'REJECTED' END AS status, count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) / 3 AS consistency_ratio FROM m GROUP BY capability",
+    "selected_capabilities": f"WITH {_METRICS} SELECT capability, sum(coverage) / 3 AS coverage, sum(error_rate_failed - error_rate_success) / 3 AS contrastive_gap, count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) AS pass_count, CASE WHEN count(DISTINCT run) < 3 THEN 'INCOMPLETE_RUNS' WHEN count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) >= 2 THEN 'SELECTED' ELSE 'REJECTED' END AS status, count(*) FILTER (coverage >= 0.01 AND error_rate_failed - error_rate_success >= 0) / 3 AS consistency_ratio FROM m GROUP BY capability",
     "stage_funnel": "WITH s AS (SELECT o_orderpriority AS stage, CASE WHEN o_orderstatus = 'F' THEN 'READY' WHEN o_orderkey % 4 > 0 THEN 'REVIEW' ELSE 'NOT_RUN' END AS status FROM orders) SELECT stage, count(*) AS tasks, count(*) FILTER (status = 'READY') AS ready, count(*) FILTER (status = 'REVIEW') AS review, count(*) FILTER (status = 'NOT_RUN') AS not_run FROM s GROUP BY stage",
     "boundary_mismatches": "WITH a AS (SELECT DISTINCT o_custkey AS key FROM orders), b AS (SELECT DISTINCT l_partkey AS key FROM lineitem) SELECT key, 'left_only' AS side FROM a WHERE key NOT IN (SELECT key FROM b) UNION ALL SELECT key, 'right_only' FROM b WHERE key NOT IN (SELECT key FROM a)",
     "workspace_profiles": f"""

@@ -124,7 +124,7 @@ def duration_seconds(started: Column, finished: Column, elapsed: Column) -> Colu
 
 
 def tree_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path below root, sha256, size) of all files of a folder."""
+    """(path below root, sha256, size) of all files of a folder. Spark's readers pass over empty files, so these are not among them."""
     read = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(root)
     return read.select(F.substring_index("path", root.rstrip("/") + "/", -1).alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
 

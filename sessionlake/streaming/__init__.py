@@ -1 +1 @@
-"""streaming of the session analytics engine."""
+"""Streams of captured model calls: server-sent events, messages folded from them, ledgers, progress."""

@@ -5,13 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessionlake.functions import text as texts
-from sessionlake.operators import audits, evidence, sessions
-from sessionlake.plans import audits as audit_plans
-from sessionlake.plans import queries as plans
+from sessionlake.operators import artifacts, audits, evidence, messages, sessions
+from sessionlake.plans import ORACLE_SQL, QUERIES
+from sessionlake.sources import session_files
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, ORACLE_SQL = {**plans.QUERIES, **audit_plans.QUERIES}, {**plans.ORACLE_SQL, **audit_plans.ORACLE_SQL}
-TABLES = "region nation customer supplier part orders lineitem events documents conversations labels pages".split()
+TABLES = "region nation customer supplier part orders lineitem events documents conversations labels pages benchmark".split()
 
 
 @pytest.fixture(scope="module")
@@ -51,13 +50,15 @@ def test_spans_join_neighbouring_users(spark):
 
 
 def test_secrets_are_hashed_with_their_line(spark):
-    t = spark.createDataFrame([("f", "a\nsk-" + "x" * 20 + "\nauthorization: Bearer abcdefgh1\nOPENAI_API_KEY=redacted\nOPENAI_API_KEY='12345678'"), ("g", None)], "path string, text string")
-    assert sorted((r.line, r.detector) for r in texts.secret_findings(t).collect()) == [(2, "token_prefix"), (3, "auth_header_value"), (5, "credential_env_value")]
+    rows = [("f", "a\nsk-" + "x" * 20 + "\nauthorization: Bearer abcdefgh1\nMY_API_KEY=redacted\nMY_API_KEY='12345678'\ntask-" + "y" * 20), ("g", None), ("h", 'x token = "0123abcd" tokens = "0123abcd" api-key: short')]
+    t = spark.createDataFrame(rows, "path string, text string")
+    found = texts.secret_findings(t, detectors=texts.secret_detectors(variable_prefixes=("MY",), names=("token",))).collect()
+    assert sorted((r.path, r.line, r.detector) for r in found) == [("f", 2, "token_prefix"), ("f", 3, "auth_header_value"), ("f", 5, "credential_env_value"), ("h", 1, "assigned_value")]
 
 
 def test_queue_keeps_the_first_of_a_key(spark):
     t = spark.createDataFrame([("a", 2, "ELIGIBLE", "FAILURE", "HIGH", 1, 0, 0.5), ("a", 1, "REJECT", None, None, 0, 2, None), ("", 3, "ELIGIBLE", "FAILURE", "HIGH", 9, 0, 1.0), ("b", 4, "DEFER", "SUCCESS", "LOW", 3, 0, 0.0)], "report_id string, ingest_pos int, decision string, outcome string, recoverability string, rubric_total int, evidence_count int, confidence double")
-    assert [(r.report_id, r.weight) for r in evidence.review_queue(t, 5).collect()] == [("b", 3.0), ("a", 2.0)]
+    assert [(r.report_id, r.weight, r.decision_rank, r.outcome_rank) for r in evidence.review_queue(t, 5).collect()] == [("b", 3.0, 2, 0), ("a", 2.0, 0, 1)]
     with pytest.raises(ValueError):
         evidence.review_queue(t, 0)
 
@@ -81,3 +82,60 @@ def test_audits_of_empty_tables(spark):
     assert audits.merged_reads(none).count() == audits.missing_ranges(none).count() == 0
     r = audits.rollout_metrics(none).first()
     assert (r.trials, r.pass_rate, r.tokens, r.mean_seconds) == (0, 0.0, 0, None)
+
+
+def test_partial_reads(spark):
+    rows = [("a", 1, "x", 2), ("a", 2, "y", None), ("b", 1, "x", 1), ("b", 3, "z", 1), ("c", 1, "x", None), ("d", 1, "x", 1), ("d", 1, "y", 1), ("e", 1, "x", 1), ("e", 1, "x", 2)]
+    t = spark.createDataFrame(rows, "path string, line int, text string, total int")
+    assert {r.path: (r.status, r.content) for r in audits.merged_reads(t).collect()} == {"a": ("COMPLETE", "x\ny\n"), "b": ("RANGE_MISMATCH", None), "c": ("PARTIAL", None), "d": ("CONFLICT", None), "e": ("TOTAL_CONFLICT", None)}
+    assert sorted(((r.path, r.first, r.last) for r in audits.missing_ranges(t).collect()), key=repr) == [("c", None, None)]
+
+
+def test_a_failure_needs_the_next_success_in_the_log(spark):
+    rows = [(1, "k", 0, 5, False), (2, "k", 3, 9, True), (3, "k", 10, 12, True), (4, "k", 11, 12, False), (5, "k", 12, 13, True), (6, "k", None, None, False), (7, "j", 0, 1, False)]
+    t = spark.createDataFrame(rows, "exchange_id int, key string, started_at int, finished_at int, ok boolean").withColumn("log_pos", F.col("exchange_id"))
+    assert {r.exchange_id: r.superseded_by for r in audits.superseded_failures(t, ["key"]).collect()} == {1: None, 4: 5, 6: None, 7: None}
+
+
+def test_message_contents(spark):
+    rows = ['"  plain "', '["a", {"text": "b"}, {"text": "", "value": "c"}, {"text": 3}, 4, null]', '{"value": "v", "text": "t"}', '{"value": null, "text": "t"}', "null", "7", "broken", None]
+    t = spark.createDataFrame([(1, k, c) for k, c in enumerate(rows)], "session_id int, pos int, content string")
+    assert [r.t for r in t.orderBy("pos").select(messages.message_text(F.col("content")).alias("t")).collect()] == ["plain", "abc", "v", "t", "", "", "", ""]
+    blocks = spark.createDataFrame([(1, 0, '["  x ", {"type": "image", "text": "no"}, {"type": "text", "value": " y"}, {"text": "", "value": "z"}, 5]')], t.schema)
+    assert [(r["index"], r.text) for r in messages.result_blocks(blocks).orderBy("index").collect()] == [(0, "  x "), (1, None), (2, " y"), (3, ""), (4, None)]
+
+
+def test_large_and_odd_session_files(spark, tmp_path):
+    raw = "".join(f'{{"messages": [], "k": {k}}}\n' for k in range(5000)) + "tail"
+    (tmp_path / "a.jsonl").write_text(raw)
+    (tmp_path / "b.jsonl").write_bytes(b'{"messages": []}\r\n\n[1]\n{"messages": {}}\n{"messages": []} x\n')
+    (tmp_path / "c.jsonl").write_bytes(b"")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        got = session_files.session_inventory(session_files.file_lines(spark, str(tmp_path), str(tmp_path))).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    import hashlib
+
+    a = sorted((r for r in got if r.source == "a.jsonl"), key=lambda r: r.line_number)
+    lines = raw.encode().splitlines(keepends=True)
+    offsets = [0]
+    for x in lines:
+        offsets.append(offsets[-1] + len(x))
+    assert [(r.line_number, r.byte_offset, r.byte_length, r.line_sha256) for r in a] == [(k + 1, offsets[k], len(x), hashlib.sha256(x).hexdigest()) for k, x in enumerate(lines)]
+    b = {r.line_number: (r.error, r.byte_length) for r in got if r.source == "b.jsonl"}
+    assert b == {1: (None, 18), 2: ("INVALID_JSON", 1), 3: ("INVALID_SESSION", 4), 4: ("INVALID_SESSION", 17), 5: ("INVALID_JSON", 19)}
+
+
+def test_trees_and_slices(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x").write_bytes(b"1")
+    (tmp_path / "y").write_bytes(b"2")
+    files = session_files.tree_files(spark, str(tmp_path))
+    import hashlib
+
+    want = hashlib.sha256(b"d/x\0" + hashlib.sha256(b"1").digest() + b"y\0" + hashlib.sha256(b"2").digest()).hexdigest()
+    assert session_files.tree_digests(files.withColumn("tree", F.lit(1))).first().digest == want
+    with pytest.raises(ValueError):
+        artifacts.selected_slice(files, ["path"], -1)
