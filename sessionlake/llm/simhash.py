@@ -192,8 +192,10 @@ def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int,
     """(doc_id, text_hash, node, n, fp, m0, ...) of every distinct (id, text): as fingerprints(), each different shingle
     counted once. node is a hash of the set, n its size."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), words_of(F.col(text_col)).alias("words"))
-    sets = rows.select("doc_id", "text_hash", shingle_set("words", shingle).alias("set"))
-    hashed = sets.select("doc_id", "text_hash", F.xxhash64("set").alias("node"), F.size("set").alias("n"), F.explode_outer("set").alias("h"))
+    # each explode keeps what it wraps from being computed anew for each shingle
+    sets = rows.select("doc_id", "text_hash", F.explode(F.array(shingle_set("words", shingle))).alias("set"))
+    sized = sets.select("doc_id", "text_hash", F.explode(F.array(F.struct(F.xxhash64("set").alias("node"), F.size("set").alias("n"), "set"))).alias("s"))
+    hashed = sized.select("doc_id", "text_hash", "s.node", "s.n", F.explode_outer("s.set").alias("h"))
     lanes = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(0x0000000100000001))).alias(f"s{j}") for j in range(32)]
     least = [F.min(F.col("h").bitwiseXOR(F.lit(_signed(_mixed(k))))).alias(f"m{k}") for k in range(minima)]
     counted = hashed.groupBy("doc_id", "text_hash", "node", "n").agg(F.count("*").alias("rows"), *lanes, *least)
