@@ -11,7 +11,7 @@ from sessionlake.operators.messages import stripped
 
 # Errors by prefix, in order of precedence, what missing assets are called, and endings of source files.
 INFRA_PREFIXES = [
-    "SANDBOX_INIT", "SANDBOX_CLEANUP", "CONTAINER_CLEANUP_ERROR", "MODEL_CONNECTION_ERROR", "MODEL_TIMEOUT", "MODEL_API_FAILED", "HERMES_API_CALL_STALE_TIMEOUT", "HERMES_STREAM_STALE_TIMEOUT", "READ_ONLY_SETUP_FAILED", "INFRA_ERROR",
+    "SANDBOX_INIT", "SANDBOX_CLEANUP", "CONTAINER_CLEANUP_ERROR", "MODEL_CONNECTION_ERROR", "MODEL_TIMEOUT", "MODEL_API_FAILED", "READ_ONLY_SETUP_FAILED", "INFRA_ERROR",
 ]
 PIPELINE_PREFIXES = [
     "INVALID_", "INTEGRITY_ISSUE_UNKNOWN", "INTEGRITY_CLASSIFICATION_INVALID", "INTEGRITY_CLASSIFICATIONS_INVALID", "INTEGRITY_CLASSIFICATION_DUPLICATE", "INTEGRITY_ISSUE_UNCLASSIFIED", "INVALID_JSON", "AGENT_INCOMPLETE",
@@ -56,8 +56,7 @@ def explicit_state(words: Column, cleanup_verified: Column) -> Column:
 
 # Which part of a trial an error code tells of, in order of precedence.
 CAPTURE_CODES = [
-    "SECRET_LEAK", "CAPTURE_FILES_MISSING", "CAPTURE_RECORDS_INVALID", "HERMES_SESSION_INVALID", "MODEL_EXCHANGE_MISSING", "INCOMPLETE_MODEL_EXCHANGE", "TASK_INPUT_INVALID", "FULL_TRAJECTORY_INVALID", "ATIF_INVALID",
-    "ATIF_INPUT_PROJECTION_MISMATCH", "ATIF_RENDERED_USER_PROMPT_MISMATCH", "ATIF_FRESH_PROJECTION_MISMATCH", "PROJECTION_FRESH_RECOMPUTE_MISMATCH", "RECONCILIATION_FRESH_RECOMPUTE_MISMATCH",
+    "SECRET_LEAK", "CAPTURE_FILES_MISSING", "CAPTURE_RECORDS_INVALID", "MODEL_EXCHANGE_MISSING", "INCOMPLETE_MODEL_EXCHANGE", "TASK_INPUT_INVALID", "FULL_TRAJECTORY_INVALID", "PROJECTION_FRESH_RECOMPUTE_MISMATCH", "RECONCILIATION_FRESH_RECOMPUTE_MISMATCH",
     "EVIDENCE_FRESH_RECOMPUTE_FAILED", "PROJECTION_FAILED", "PROJECTION_HASH_MISMATCH", "RECONCILIATION_FAILED", "RECONCILIATION_HASH_MISMATCH",
 ]
 AGENT_CODES = [
@@ -71,16 +70,17 @@ VERIFIER_CODES = [
 ]
 
 
-def certified(trials: DataFrame) -> DataFrame:
+def certified(trials: DataFrame, capture_codes: tuple[str, ...] = ()) -> DataFrame:
     """trials (explicit_status, metadata_ok, errors array, reward, checks_ok) with status, certified and task_passed.
 
     An explicit status counts first, then metadata and bindings, capture, agent and verifier errors, a missing reward,
-    any other error, and the reward last. Certified needs a task outcome, no errors and all checks.
+    any other error, and the reward last. Certified needs a task outcome, no errors and all checks. Codes of capture errors
+    that name an agent or a format are the caller's, in `capture_codes`.
     """
     of = lambda codes: F.arrays_overlap(F.coalesce("errors", F.array().cast("array<string>")), F.array(*map(F.lit, codes)))
     c = F.col
     status = F.when(c("explicit_status").isNotNull(), c("explicit_status")).when(~F.coalesce("metadata_ok", F.lit(False)) | of(["WORKSPACE_BINDING_INVALID"]), "INFRA_ENVIRONMENT")
-    status = status.when(of(CAPTURE_CODES), "INFRA_CAPTURE").when(of(AGENT_CODES), "INFRA_AGENT").when(of(VERIFIER_CODES) | c("reward").isNull(), "INFRA_VERIFIER")
+    status = status.when(of([*CAPTURE_CODES, *capture_codes]), "INFRA_CAPTURE").when(of(AGENT_CODES), "INFRA_AGENT").when(of(VERIFIER_CODES) | c("reward").isNull(), "INFRA_VERIFIER")
     status = status.when(F.size("errors") > 0, "INFRA_CAPTURE").when(c("reward") >= 1.0, "TASK_PASS").otherwise("TASK_FAIL")
     outcome = c("status").isin("TASK_PASS", "TASK_FAIL")
     whole = outcome & (F.coalesce(F.size("errors"), F.lit(0)) <= 0) & F.coalesce("checks_ok", F.lit(False))
@@ -126,17 +126,17 @@ def unknown_initial_states(partial: DataFrame, required: DataFrame, trusted: Dat
     return out(met, "UNKNOWN_INITIAL_STATE").union(out(loose, "UNKNOWN_INITIAL_STATE_UNSCOPED"))
 
 
-def reconstructability(tasks: DataFrame, blockers: DataFrame, task: str = "task_id") -> DataFrame:
+def reconstructability(tasks: DataFrame, blockers: DataFrame, task: str = "task_id", infra_prefixes: tuple[str, ...] = ()) -> DataFrame:
     """(task, status, blockers) of tasks (task, errors array, pending, label) and blockers (task, code, confirmed).
 
     INFRA_ERROR, then SKIPPED_UNRECONSTRUCTABLE for any confirmed blocker, PIPELINE_ERROR, REVIEW for anything pending,
-    unscoped, erroneous or insufficient, else READY.
+    unscoped, erroneous or insufficient, else READY. Prefixes of failures that name an agent are the caller's.
     """
     sums = blockers.groupBy(F.col(task).alias("_t")).agg(F.count("*").alias("n"), F.count_if("confirmed").alias("sure"), F.count_if(F.col("code") == "UNKNOWN_INITIAL_STATE_UNSCOPED").alias("loose"))
     met = tasks.join(sums, F.col(task) == F.col("_t"), "left")
     errors = F.coalesce("errors", F.array().cast("array<string>"))
     more = lambda c: F.coalesce(F.col(c), F.lit(0)) > 0
-    status = F.when(_among(INFRA_PREFIXES, errors), "INFRA_ERROR").when(more("sure"), "SKIPPED_UNRECONSTRUCTABLE").when(_among(PIPELINE_PREFIXES, errors), "PIPELINE_ERROR")
+    status = F.when(_among([*INFRA_PREFIXES, *infra_prefixes], errors), "INFRA_ERROR").when(more("sure"), "SKIPPED_UNRECONSTRUCTABLE").when(_among(PIPELINE_PREFIXES, errors), "PIPELINE_ERROR")
     open_ = F.coalesce("pending", F.lit(False)) | more("loose") | (F.size(errors) > 0) | F.coalesce(F.col("label").isin("INSUFFICIENT", "UNKNOWN"), F.lit(False))
     return met.select(task, status.when(open_, "REVIEW").otherwise("READY").alias("status"), F.coalesce("n", F.lit(0)).alias("blockers"))
 

@@ -49,11 +49,14 @@ def linkage_errors(events: DataFrame, session: str = "session_id", pos: str = "p
 
 def lines_of(docs: DataFrame, source: str = "source", text: str = "text") -> DataFrame:
     """(source, line_number from 1, line_sha256, byte_offset, byte_length): line feeds are part of their lines; a null or empty text has none."""
-    pieces = F.split(F.col(text), "\n", -1)
-    rows = docs.select(F.col(source), F.size(pieces).alias("n"), F.posexplode(pieces).alias("at", "line"))
+    # what stands beside a generator is computed for each of its rows: the text is split once, before
+    split = docs.select(F.col(source), F.explode(F.array(F.split(F.col(text), "\n", -1))).alias("pieces"))
+    rows = split.select(source, F.size("pieces").alias("n"), F.posexplode("pieces").alias("at", "line"))
     raw = rows.withColumn("raw", F.encode(F.when(F.col("at") < F.col("n") - 1, F.concat("line", F.lit("\n"))).otherwise(F.col("line")), "UTF-8")).where(F.octet_length("raw") > 0)
+    # hashes and lengths meet, not lines
+    told = raw.select(source, "at", F.sha2("raw", 256).alias("line_sha256"), F.octet_length("raw").cast("long").alias("byte_length"))
     before = Window.partitionBy(source).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    return raw.select(source, (F.col("at") + 1).alias("line_number"), F.sha2("raw", 256).alias("line_sha256"), F.coalesce(F.sum(F.octet_length("raw")).over(before), F.lit(0)).cast("long").alias("byte_offset"), F.octet_length("raw").cast("long").alias("byte_length"))
+    return told.select(source, (F.col("at") + 1).alias("line_number"), "line_sha256", F.coalesce(F.sum("byte_length").over(before), F.lit(0)).cast("long").alias("byte_offset"), "byte_length")
 
 
 def line_ranges(lines: DataFrame, group: str = "path", number: str = "line") -> DataFrame:
