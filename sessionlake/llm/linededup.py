@@ -94,7 +94,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     given, spark = docs, docs.sparkSession
     key = F.col("key")
-    lines = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.posexplode(split_lines(F.col(text_col))).alias("pos", "line")).where("id is not null")
+    # the text's hash once, below the generator
+    hashed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text")).where("id is not null")
+    lines = hashed.select("id", "text_hash", F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     long = lines.select("id", "text_hash", "pos", line_key(F.col("line")).alias("key")).where(F.char_length(key) >= least_chars)
     keys = stored(long.select("id", "text_hash", "pos", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2")))
 
