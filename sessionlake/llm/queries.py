@@ -51,9 +51,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's bytes, removed bytes and runs, and the digest of what stays; passages of 400 bytes."""
+    """Every document's bytes, removed bytes and runs, the digest and size of what stays, and where the runs are; passages of 400 bytes."""
     kept = suffixes.drop_repeated_passages(_table(spark, sf_dir, "documents"), length=400)
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_bytes") - F.col("n_removed")).alias("kept_bytes"), "removed")
 
 
 def op9_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:

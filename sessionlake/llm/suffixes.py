@@ -328,12 +328,12 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
 
 
 def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept binary): a row for each row of docs.
+    """(doc_id, n_bytes, n_removed, n_spans, kept binary, removed array<struct<a, b>>): a row for each row of docs.
 
     Removed is each byte covered by a string of `length` bytes that also starts anywhere else, in the same text too;
     strings are judged on the input. Null texts are empty. Texts that occur twice or more go as a whole if they have
     `length` bytes; repeated rows are such texts. Null ids are kept. Kept bytes may end inside a character. An empty
-    table gives no rows; other columns are not read.
+    table gives no rows; other columns are not read. removed holds the runs of removed bytes, a to b, past the last.
     """
     copied, spans = repeated_spans(docs, text_col, id_col, length)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -352,4 +352,4 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     kept = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda x: F.substring(F.col("bytes"), (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")))
     hexed = F.unhex(F.concat_ws("", F.transform(kept, F.hex)))
     removed = F.aggregate("gone", F.lit(0).cast("long"), lambda acc, x: acc + x["b"] - x["a"])
-    return gone.select("doc_id", n.alias("n_bytes"), removed.alias("n_removed"), F.size("gone").cast("long").alias("n_spans"), F.when(F.size("gone") == 0, F.col("bytes")).otherwise(hexed).alias("kept"))
+    return gone.select("doc_id", n.alias("n_bytes"), removed.alias("n_removed"), F.size("gone").cast("long").alias("n_spans"), F.when(F.size("gone") == 0, F.col("bytes")).otherwise(hexed).alias("kept"), F.col("gone").alias("removed"))

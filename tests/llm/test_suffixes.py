@@ -45,6 +45,11 @@ def test_repeated_passages(spark, most, monkeypatch):
     t = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("spans", F.lit(1)).withColumn("key", F.lit("x"))
     got = suffixes.drop_repeated_passages(t, length=100).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept")).orderBy("doc_id").collect()
     assert [tuple(r)[1:] for r in got] == brute(texts, 100)
+    places = suffixes.drop_repeated_passages(t, length=100).select("doc_id", "n_removed", "n_spans", "kept", "removed").collect()
+    for r in places:
+        raw = (texts[r.doc_id] or "").encode()
+        kept = b"".join(raw[a : x.a] for a, x in zip([0, *(x.b for x in r.removed)], r.removed, strict=False)) + raw[r.removed[-1].b if r.removed else 0 :]
+        assert bytes(r.kept) == kept and sum(x.b - x.a for x in r.removed) == r.n_removed and len(r.removed) == r.n_spans
     assert suffixes.drop_repeated_passages(t.limit(0)).count() == 0
     twins = spark.createDataFrame([(None, "q" * 450), (None, "q" * 450)], "doc_id long, text string")
     assert [(r.doc_id, r.n_removed) for r in suffixes.drop_repeated_passages(twins).collect()] == [(None, 450)] * 2
