@@ -75,7 +75,7 @@ def gap_pairs(profiles: DataFrame, workspace: str = "workspace_id", capabilities
     lacks = kinds.select(F.col("kind").alias("b"), F.explode(F.array_except(F.array(*map(F.lit, MARKERS)), F.split("kind", ","))).alias("marker"))
     gaps = marked.join(lacks, "marker").groupBy("a", "b").agg(F.array_sort(F.collect_set("marker")).alias("gap")).where(F.size("gap") >= least)
     left, right = kind.select(F.col("id").alias("reference"), F.col("kind").alias("a")), kind.select(F.col("id").alias("target"), F.col("kind").alias("b"))
-    return left.join(F.broadcast(gaps), "a").join(right, "b").where("reference <> target").select("reference", "target", "gap")
+    return left.join(gaps, "a").join(right, "b").where("reference <> target").select("reference", "target", "gap")
 
 
 def secret_findings(files: DataFrame, path: str = "path", text: str = "text", detectors: list[tuple[str, str]] | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ def elided_secrets(spark, sf_dir):
 def leaked_solutions(spark, sf_dir):
     """Documents that hold an item of the benchmark, or most of its tokens."""
     bodies = _table(spark, sf_dir, "documents", "lang AS task_id", "doc_id AS path", "text")
-    items = _table(spark, sf_dir, "benchmark", "item_id", "text").crossJoin(bodies.select("task_id").distinct())  # a few languages
+    items = _table(spark, sf_dir, "benchmark", "item_id", "text", "explode(array('de', 'en', 'es', 'fr')) AS task_id")
     short = F.when(F.col("item_id") % 4 == 0, F.substring("text", 1, 12)).otherwise(F.col("text"))
     return texts.leaked_solutions(bodies, items.select("task_id", short.alias("final_content")))
 
@@ -59,6 +59,6 @@ WITH o AS (SELECT DISTINCT event_id % 80 AS a, event_id % 5 AS b FROM events), f
 SELECT event_id AS path, header AND form IN (0, 1, 4) AND EXISTS (SELECT 1 FROM o WHERE o.a = f.a AND o.b = f.b) AS allowed FROM f""",
     "leaked_solutions": """
 WITH i AS (SELECT CASE WHEN item_id % 4 = 0 THEN substr(text, 1, 12) ELSE text END AS t FROM benchmark), k AS (SELECT t, list_distinct(list_transform(regexp_extract_all(t, '[A-Za-z_][A-Za-z0-9_]{2,}'), lambda x: lower(x))) AS w FROM i WHERE t <> ''),
-d AS (SELECT doc_id, lang, text, list_distinct(list_transform(regexp_extract_all(text, '[A-Za-z_][A-Za-z0-9_]{2,}'), lambda x: lower(x))) AS w FROM documents WHERE text IS NOT NULL)
+d AS (SELECT doc_id, lang, text, list_distinct(list_transform(regexp_extract_all(text, '[A-Za-z_][A-Za-z0-9_]{2,}'), lambda x: lower(x))) AS w FROM documents WHERE text IS NOT NULL AND lang IN ('de', 'en', 'es', 'fr'))
 SELECT DISTINCT lang AS task_id, doc_id AS path FROM d, k WHERE contains(d.text, k.t) OR len(k.w) >= 4 AND len(list_intersect(k.w, d.w)) / len(k.w) >= 0.8""",
 }
