@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm import decontam, htmltext, langid, linededup, packing, quality, simhash, suffixes, vptree, warc
+from sessionlake.llm import audit, decontam, htmltext, langid, linededup, packing, quality, simhash, suffixes, vptree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(_table(spark, sf_dir, "pages"))
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters does at every step of all their orders, for each language."""
+    return audit.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 OP6_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -106,6 +111,38 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents
+), f AS (
+  SELECT doc_id, part, [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words), 100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 10 * length(text),
+                        regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails FROM d
+), l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+), letters AS (
+  SELECT unnest([1, 2, 3, 4, 5]) AS k
+), orders AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5
+), steps AS (
+  SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), told AS (
+  SELECT part, list_aggregate(list_transform(o, lambda x: substr('ABCDE', x, 1)), 'string_agg', '') AS filter_order, step, o[step] AS filter, n, good, toxic, fails[o[step]] AS failed,
+         len(list_filter(o[1:step - 1], lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) = 1 AS alone
+  FROM cells, steps
+), counted AS (
+  SELECT part, filter_order, step, filter, sum(CASE WHEN NOT failed AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN failed AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN failed AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN failed AND alone THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN failed AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN failed AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, filter
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM counted
+"""
+
 QUERIES = {
     "op1_spaced_seed_decontamination": op1_spaced_seed_decontamination,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -117,9 +154,11 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_bayes": op9_quality_bayes,
     "op10_html_extraction": op10_html_extraction,
+    "op11_filter_interactions": op11_filter_interactions,
 }
 ORACLE_SQL = {
     "op2_warc_round_trip": OP2_SQL,
     "op4_vp_tree_search": OP4_SQL,
     "op6_line_dedup": OP6_SQL,
+    "op11_filter_interactions": OP11_SQL,
 }
