@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm import audit, decontam, htmltext, langid, linededup, packing, quality, simhash, suffixes, vptree, warc
+from sessionlake.llm import audit, decontam, htmltext, langid, linededup, minhash, packing, quality, simhash, suffixes, voronoi, vptree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,17 @@ def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_bottom_sketch_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of 4-word shingles, the smallest doc_id reachable over links of 0.8, and whether it is its own."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80).drop("text_hash")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every vector whose id is divisible by 100, for each of its positives; every seventh label is moved by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return voronoi.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 OP6_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -143,6 +154,47 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 FROM counted
 """
 
+OP12_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 3, 1) + 1), lambda i: array_to_string(words[i:i + 3], ' '))) AS shingles FROM w WHERE len(words) > 0
+), distinct_sets AS (
+  SELECT min(doc_id) AS first_id, shingles FROM (SELECT doc_id, list_sort(shingles) AS shingles FROM s) GROUP BY shingles
+), each AS (
+  SELECT first_id, len(shingles) AS n, unnest(shingles) AS shingle FROM distinct_sets
+), links AS (
+  SELECT a.first_id AS a, b.first_id AS b FROM each a JOIN each b ON a.shingle = b.shingle AND a.first_id <> b.first_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.first_id, b.first_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT first_id AS node, first_id AS id FROM distinct_sets
+  UNION
+  SELECT r.node, l.b FROM reached r JOIN links l ON r.id = l.a
+), least AS (
+  SELECT node, min(id) AS component_id FROM reached GROUP BY node
+), of_doc AS (
+  SELECT s.doc_id, len(s.shingles) AS n, l.component_id FROM s JOIN distinct_sets d ON list_sort(s.shingles) = d.shingles JOIN least l ON l.node = d.first_id
+)
+SELECT d.doc_id, CAST(coalesce(o.n, 0) AS BIGINT) AS n_shingles, coalesce(o.component_id, d.doc_id) AS component_id, coalesce(o.component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN of_doc o USING (doc_id)
+"""
+
+OP13_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.e) = len(c.e)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same) WHERE place <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_spaced_seed_decontamination": op1_spaced_seed_decontamination,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -155,10 +207,14 @@ QUERIES = {
     "op9_quality_bayes": op9_quality_bayes,
     "op10_html_extraction": op10_html_extraction,
     "op11_filter_interactions": op11_filter_interactions,
+    "op12_bottom_sketch_components": op12_bottom_sketch_components,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE_SQL = {
     "op2_warc_round_trip": OP2_SQL,
     "op4_vp_tree_search": OP4_SQL,
     "op6_line_dedup": OP6_SQL,
     "op11_filter_interactions": OP11_SQL,
+    "op12_bottom_sketch_components": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
