@@ -1,7 +1,7 @@
 """Queries over the driver's tables and their SQL, by name."""
 
-from sessionlake.plans import artifacts, audits, captures, gates, messages, queries, replay, texts, workspaces
+from sessionlake.plans import artifacts, audits, captures, gates, histories, messages, queries, replay, texts, workspaces
 
-_MODULES = (queries, audits, messages, gates, replay, artifacts, texts, captures, workspaces)
+_MODULES = (queries, audits, messages, gates, replay, artifacts, texts, captures, workspaces, histories)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}

@@ -2,36 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from sessionlake.operators import artifacts
 from sessionlake.sources import session_files
+from sessionlake.sources.storage import shared_folder
 
 
 def _table(spark, sf_dir, name, *columns):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").selectExpr(*columns or "*")
 
 
-def _folder(spark):
-    """A new folder below the shared one; a temporary one in local mode only."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="sessionlake-")
-    return f"{base.rstrip('/')}/sessionlake-{uuid.uuid4().hex}"
-
-
 LINE = "CASE conv_id % 7 WHEN 0 THEN 'no json' WHEN 1 THEN '[1]' WHEN 2 THEN '{\"messages\": 3}' WHEN 3 THEN '{\"a\": 1}' ELSE concat('{\"messages\": [{\"role\": \"user\"}], \"id\": ', conv_id % 30, '}') END"
 
 
 def _logs(spark, sf_dir):
     """Each source is a log of its own file, in order of conversations."""
     rows = _table(spark, sf_dir, "conversations", "conv_id").distinct().selectExpr("conv_id % 4 AS source", "conv_id", f"{LINE} AS value")
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     rows.repartition("source").sortWithinPartitions("source", "conv_id").select("source", "value").write.partitionBy("source").text(folder)
     lines = session_files.file_lines(spark, folder)
     return lines.withColumn("source", F.regexp_extract("source", "source=([0-9]+)", 1))
@@ -71,7 +59,7 @@ def evidence_records(spark, sf_dir):
 def trial_results(spark, sf_dir):
     """Result files of trials, written one a folder and read back."""
     o = _table(spark, sf_dir, "customer", "c_custkey", "concat('{\"started_at\":\"2024-01-01T00:00:10Z\",\"finished_at\":\"', CASE c_custkey % 4 WHEN 0 THEN '2024-01-01T00:01:00.5Z' WHEN 1 THEN '2024-01-01T00:00:00Z' ELSE 'soon' END, '\"', CASE c_custkey % 3 WHEN 0 THEN ',\"exception_info\":{\"exception_type\":\"AgentTimeout\"}' WHEN 1 THEN ',\"exception_info\":{}' ELSE ',\"verifier_result\":{\"rewards\":{\"task\":0.5}}' END, '}') AS value").where("c_custkey <= 40")
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     o.withColumn("trial", F.concat(F.lit("t"), "c_custkey")).repartition("trial").select("trial", "value").write.partitionBy("trial").text(folder)
     read = spark.read.option("wholetext", "true").text(f"{folder}/*/*.txt").select(F.regexp_extract(F.col("_metadata.file_path"), "trial=([^/]+)/", 1).alias("trial_name"), F.col("value").alias("raw"))
     return session_files.trial_fields(read)

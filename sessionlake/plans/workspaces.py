@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sessionlake.operators import workspaces
-from sessionlake.plans.artifacts import _folder, _table
+from sessionlake.plans.artifacts import _table
+from sessionlake.sources.storage import shared_folder
 
 
 def test_results(spark, sf_dir):
     """Result files of test runs, written one a supplier and read back."""
     case = "concat('<testcase name=\"t', l_linenumber, '\" classname=\"c', l_orderkey, '\">', CASE l_orderkey % 5 WHEN 0 THEN '<failure message=\"bad\"> deep </failure>' WHEN 1 THEN '<error message=\"broke\"/><failure>x</failure>' WHEN 2 THEN '<skipped/>' ELSE '' END, '</testcase>')"
     rows = _table(spark, sf_dir, "lineitem", "l_suppkey", f"{case} AS c").groupBy("l_suppkey").agg(F.concat(F.lit("<testsuite>"), F.array_join(F.collect_list("c"), ""), F.lit("</testsuite>")).alias("value"))
-    folder = _folder(spark)
+    folder = shared_folder(spark)
     rows.write.partitionBy("l_suppkey").text(folder)
     return workspaces.test_results(spark, folder)
 
