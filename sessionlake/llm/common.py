@@ -2,60 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sessionlake.sources.storage import scratch, shared_folder, stored
+
+__all__ = ["scratch", "shared_folder", "stored"]
+
 #: What is broadcast at most: so many rows, and so many bytes of values in them.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 24 << 20
 #: ASCII white space as in the contracts' [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names in spark.checkpoint.dir; a temporary one only where none is set, in local mode."""
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not base:
-        if not sc.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="sessionlake-")
-        sc.setCheckpointDir(base)
-    path = f"{base.rstrip('/')}/sessionlake-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
-    return path
-
-
-_scopes: list[list[str]] = []
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """What is stored in this scope is deleted at its end: use it around an operator whose result is written elsewhere."""
-    _scopes.append([])
-    try:
-        yield
-    finally:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for path in _scopes.pop():
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
-
-
-def stored(df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
-    """df written once to the shared folder and read back: cuts lineage, survives the loss of executors."""
-    path = shared_folder(df.sparkSession)
-    (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _width(field: T.StructField) -> Column:
     """About how many bytes a value has: numbers 8, strings their own, arrays 8 for each number in them."""
     c = F.col(f"`{field.name}`")
