@@ -13,7 +13,7 @@ def _table(spark, sf_dir, name, *columns):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").selectExpr(*columns or "*")
 
 
-LINE = "CASE conv_id % 7 WHEN 0 THEN 'no json' WHEN 1 THEN '[1]' WHEN 2 THEN '{\"messages\": 3}' WHEN 3 THEN '{\"a\": 1}' ELSE concat('{\"messages\": [{\"role\": \"user\"}], \"id\": ', conv_id % 30, '}') END"
+LINE = "CASE conv_id % 7 WHEN 0 THEN 'no json' WHEN 1 THEN '[1]' WHEN 2 THEN '{\"messages\": 3}' WHEN 3 THEN '{\"a\": 1}' WHEN 5 THEN '{\"messages\": 3, \"messages\": [NaN]}' WHEN 6 THEN '{\"messages\": [-Infinity]}' ELSE concat('{\"messages\": [{\"role\": \"user\"}], \"id\": ', conv_id % 30, '}') END"
 
 
 def _logs(spark, sf_dir):
@@ -31,10 +31,23 @@ def session_inventory(spark, sf_dir):
 
 
 def source_summary(spark, sf_dir):
-    declared = _table(spark, sf_dir, "conversations", "conv_id").distinct().selectExpr("CAST(conv_id % 4 AS STRING) AS source").groupBy("source").agg(F.count("*").alias("n")).selectExpr("source", "CASE WHEN source = '1' THEN n + 1 ELSE n END AS records", "CASE WHEN source = '2' THEN 5 END AS bytes")
+    """One source declares a record too many, one a wrong size, and one alone its digest."""
+    lines = _table(spark, sf_dir, "conversations", "conv_id").distinct().selectExpr("CAST(conv_id % 4 AS STRING) AS source", "conv_id", f"concat({LINE}, '\n') AS line")
+    whole = F.array_join(F.sort_array(F.collect_list(F.struct("conv_id", "line")))["line"], "")
+    declared = lines.groupBy("source").agg(F.count("*").alias("n"), F.sha2(F.encode(whole, "UTF-8"), 256).alias("own")).selectExpr("source", "CASE WHEN source = '1' THEN n + 1 ELSE n END AS records", "CASE WHEN source = '2' THEN 5 END AS bytes", "CASE WHEN source = '3' THEN own ELSE sha2(source, 256) END AS sha256")
     return session_files.source_summary(session_files.session_inventory(_logs(spark, sf_dir)), declared)
 
 
+def tree_files(spark, sf_dir):
+    """Each language is a folder of one file of its documents, in order of ids; a further folder holds an empty file."""
+    folder = shared_folder(spark)
+    rows = _table(spark, sf_dir, "documents", "doc_id", "coalesce(lang, 'none') AS tree", "coalesce(text, '') AS value")
+    rows.repartition("tree").sortWithinPartitions("tree", "doc_id").select("tree", "value").write.partitionBy("tree").text(folder)
+    rows.select("value").limit(0).coalesce(1).write.text(f"{folder}/tree=empty")
+    files = session_files.tree_files(spark, folder).where("path LIKE '%.txt'")
+    return files.select(F.regexp_extract("path", "^tree=([^/]+)/", 1).alias("tree"), "sha256", "size")
+
+
 def line_lookups(spark, sf_dir):
     wanted = _table(spark, sf_dir, "conversations", "conv_id").distinct().selectExpr("CAST(conv_id % 4 AS STRING) AS source", "conv_id div 4 + 1 + CASE WHEN conv_id % 9 = 0 THEN 100000 ELSE 0 END AS line_number", f"CASE conv_id % 3 WHEN 0 THEN 'x' WHEN 1 THEN sha2(concat({LINE}, '\n'), 256) END AS line_sha256", "conv_id")
     return session_files.looked_up(wanted, _logs(spark, sf_dir)).select("conv_id", "raw", "status")
@@ -224,7 +237,7 @@ def missing_paths(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        session_inventory, source_summary, line_lookups, inventory_errors, review_inputs, evidence_records, trial_results, tree_digests, collected_files, changed_files, manifest_errors, three_boundaries, repeated_ids, harness_drift, ordinal_pairs,
+        session_inventory, source_summary, tree_files, line_lookups, inventory_errors, review_inputs, evidence_records, trial_results, tree_digests, collected_files, changed_files, manifest_errors, three_boundaries, repeated_ids, harness_drift, ordinal_pairs,
         prompt_tokens, batch_status, offset_slice, seeded_choice, topic_cards, diagnosis_coverage, record_ids, media_kinds, body_errors, reward_errors, rubric_errors, judgement_errors, gate_errors, report_errors, check_errors, pair_errors,
         path_policies, missing_paths,
     )
@@ -241,8 +254,9 @@ ORACLE_SQL = {
 WITH {_LOG} SELECT CAST(source AS VARCHAR) AS source, n AS line_number, h AS line_sha256, CAST(at_ AS BIGINT) AS byte_offset, CAST(b AS BIGINT) AS byte_length, 'session_' || substr(sha256(concat(source, ':', n, ':', h)), 1, 24) AS session_id, printf('%d-l%06d', source, n) AS label,
  CASE WHEN conv_id % 7 < 4 THEN 'INVALID_INPUT' ELSE 'PENDING' END AS input_status, CASE WHEN conv_id % 7 = 0 THEN 'INVALID_JSON' WHEN conv_id % 7 < 4 THEN 'INVALID_SESSION' END AS error FROM i""",
     "source_summary": f"""
-WITH {_LOG}, f AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY source, n) > 1 AS again FROM i), s AS (SELECT source, count(*) AS records, CAST(sum(b) AS BIGINT) AS bytes, count(*) FILTER (conv_id % 7 > 3) AS valid, count(*) FILTER (conv_id % 7 < 4) AS invalid, count(*) FILTER (again) AS duplicates FROM f GROUP BY source)
-SELECT CAST(source AS VARCHAR) AS source, records, bytes, valid, invalid, duplicates, CASE WHEN source = 1 THEN 'SOURCE_COVERAGE_MISMATCH:records,SOURCE_COVERAGE_MISMATCH:bytes' ELSE 'SOURCE_COVERAGE_MISMATCH:bytes' END AS errors, 'PARTIAL_SOURCE' AS status FROM s""",
+WITH {_LOG}, f AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY source, n) > 1 AS again FROM i), s AS (SELECT source, count(*) AS records, CAST(sum(b) AS BIGINT) AS bytes, sha256(string_agg(raw || chr(10), '' ORDER BY n)) AS sha256, count(*) FILTER (conv_id % 7 > 3) AS valid, count(*) FILTER (conv_id % 7 < 4) AS invalid, count(*) FILTER (again) AS duplicates FROM f GROUP BY source)
+SELECT CAST(source AS VARCHAR) AS source, records, bytes, sha256, valid, invalid, duplicates, concat(CASE WHEN source = 1 THEN 'SOURCE_COVERAGE_MISMATCH:records,' END, 'SOURCE_COVERAGE_MISMATCH:bytes', CASE WHEN source <> 3 THEN ',SOURCE_COVERAGE_MISMATCH:sha256' END) AS errors, 'PARTIAL_SOURCE' AS status FROM s""",
+    "tree_files": "SELECT coalesce(lang, 'none') AS tree, sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS sha256, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS size FROM documents GROUP BY ALL UNION ALL SELECT 'empty', sha256(''), 0",
     "line_lookups": f"""
 WITH {_LOG}, w AS (SELECT DISTINCT conv_id, conv_id % 4 AS s, conv_id // 4 + 1 + CASE WHEN conv_id % 9 = 0 THEN 100000 ELSE 0 END AS k FROM conversations), m AS (SELECT w.conv_id, i.raw, CASE WHEN i.raw IS NULL THEN 'LINE_MISSING' WHEN w.conv_id % 3 = 0 OR w.conv_id % 3 = 1 AND i.conv_id <> w.conv_id AND i.h <> (SELECT h FROM i x WHERE x.conv_id = w.conv_id) THEN 'HASH_MISMATCH' ELSE 'FOUND' END AS status FROM w LEFT JOIN i ON i.source = s AND i.n = k)
 SELECT conv_id, CASE WHEN status = 'FOUND' THEN raw END AS raw, status FROM m""",

@@ -6,10 +6,14 @@ byte offset are prefix sums in two levels: within its split, and over the splits
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionlake.functions.values import json_value
+from sessionlake.functions.values import has_list, is_json, json_value
 
 
 def file_lines(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
@@ -31,17 +35,21 @@ def file_lines(spark: SparkSession, path: str, root: str | None = None) -> DataF
     offset = F.col("b0") + F.col("before")
     # the last line of a file may have no line feed: then one byte more was counted than the file has
     length = F.least(F.col("bytes"), F.col("size") - offset)
-    raw = F.when(length == F.col("bytes"), F.concat(F.encode("raw", "UTF-8"), F.unhex(F.lit("0A")))).otherwise(F.encode("raw", "UTF-8"))
+    # the bytes as they are: encode() would mend what is no UTF-8
+    own = F.col("raw").cast("binary")
+    raw = F.when(length == F.col("bytes"), F.concat(own, F.unhex(F.lit("0A")))).otherwise(own)
     source = F.substring_index(F.col("file"), root.rstrip("/") + "/", -1) if root else F.col("file")
     return met.select(source.alias("source"), (F.col("n0") + F.col("in_block")).cast("long").alias("line_number"), "raw", F.sha2(raw, 256).alias("line_sha256"), offset.cast("long").alias("byte_offset"), length.cast("long").alias("byte_length"))
 
 
 def session_validity(raw: Column) -> Column:
-    """INVALID_JSON or INVALID_SESSION for a line that is no JSON, or no object with a list of messages; null for a sound one. Repeated keys and NaN are no JSON here."""
-    v = json_value(raw)
-    messages = F.schema_of_variant(F.try_variant_get(v, "$.messages", "variant"))
-    sound = F.startswith(F.schema_of_variant(v), F.lit("OBJECT")) & F.coalesce(F.startswith(messages, F.lit("ARRAY")), F.lit(False))
-    return F.when(v.isNull(), "INVALID_JSON").when(~F.coalesce(sound, F.lit(False)), "INVALID_SESSION")
+    """INVALID_JSON or INVALID_SESSION for a line that is no JSON, or no object with a list of messages; null for a sound one.
+
+    Keys may repeat, the last one counts, and NaN and infinities are numbers. Bytes that are no UTF-8 are no JSON.
+    """
+    start = F.substring(F.regexp_replace(raw, r"^\ufeff?[ \t\r\n]*", ""), 1, 1)
+    sound = (start == "{") & has_list(raw, "messages")
+    return F.when(~F.is_valid_utf8(raw) | ~is_json(raw), "INVALID_JSON").when(~F.coalesce(sound, F.lit(False)), "INVALID_SESSION")
 
 
 def session_inventory(lines: DataFrame, rubric: str = "source") -> DataFrame:
@@ -52,18 +60,43 @@ def session_inventory(lines: DataFrame, rubric: str = "source") -> DataFrame:
     return lines.withColumns(named).withColumn("input_status", F.when(F.col("error").isNull(), "PENDING").otherwise("INVALID_INPUT"))
 
 
+def _digested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines in order of source and offset."""
+    source, running = None, None
+    for batch in batches:
+        out = []
+        for row in batch.itertuples(index=False):
+            if source is None or source[0] != row.source:
+                out += [(source[0], running.hexdigest())] if source else []
+                source, running = (row.source,), hashlib.sha256()
+            running.update(row.bytes)
+        yield pd.DataFrame(out, columns=["source", "sha256"])
+    if source:
+        yield pd.DataFrame([(source[0], running.hexdigest())], columns=["source", "sha256"])
+
+
+def source_digests(lines: DataFrame, source: str = "source") -> DataFrame:
+    """(source, sha256) of the whole files behind file_lines(): each file's lines stream in order through one task, which holds a batch of them."""
+    own = F.col("raw").cast("binary")
+    whole = F.when(F.col("byte_length") > F.octet_length(own), F.concat(own, F.unhex(F.lit("0A")))).otherwise(own)
+    rows = lines.select(F.col(source).alias("source"), "byte_offset", whole.alias("bytes")).repartition("source").sortWithinPartitions("source", "byte_offset")
+    return rows.mapInPandas(_digested, f"source {dict(rows.dtypes)['source']}, sha256 string").withColumnRenamed("source", source)
+
+
 def source_summary(inventory: DataFrame, declared: DataFrame, source: str = "source") -> DataFrame:
-    """(source, records, bytes, valid, invalid, duplicates, errors, status) for each declared source (source, records, bytes): duplicates are
-    lines that stand before in any source, in order of source and line; errors name what differs from the declaration."""
+    """(source, records, bytes, sha256, valid, invalid, duplicates, errors, status) for each declared source (source, records, bytes, sha256): duplicates are
+    lines that stand before in any source, in order of source and line; errors name what differs from the declaration. An absent source is an empty one."""
     first = F.min(F.struct(source, "line_number")).over(Window.partitionBy("line_sha256"))
     told = inventory.withColumn("_again", first != F.struct(source, "line_number"))
     sums = told.groupBy(F.col(source).alias("_s")).agg(F.count("*").alias("_n"), F.sum("byte_length").alias("_b"), F.count_if(F.col("input_status") == "PENDING").alias("_ok"), F.count_if("_again").alias("_dup"))
-    met = declared.withColumnsRenamed({"records": "_records", "bytes": "_bytes"}).join(sums, F.col(source) == F.col("_s"), "left")
+    digests = source_digests(inventory, source).select(F.col(source).alias("_d"), F.col("sha256").alias("_h"))
+    names = {"records": "_records", "bytes": "_bytes", "sha256": "_sha256"}
+    met = declared.withColumnsRenamed(names).join(sums, F.col(source) == F.col("_s"), "left").join(digests, F.col(source) == F.col("_d"), "left")
     n = {"records": "_n", "bytes": "_b", "valid": "_ok", "duplicates": "_dup"}
-    out = met.withColumns({k: F.coalesce(v, F.lit(0)) for k, v in n.items()})
+    out = met.withColumns({k: F.coalesce(v, F.lit(0)) for k, v in n.items()}).withColumn("sha256", F.coalesce("_h", F.sha2(F.lit(b""), 256)))
     wrong = lambda k: F.when(~F.col(k).eqNullSafe(F.col(f"_{k}")), F.lit(f"SOURCE_COVERAGE_MISMATCH:{k}"))
-    errors = F.array_compact(F.array(wrong("records"), wrong("bytes")))
-    return out.select(source, "records", "bytes", "valid", (F.col("records") - F.col("valid")).alias("invalid"), "duplicates", F.array_join(errors, ",").alias("errors"), F.when(F.size(errors) == 0, "READY").otherwise("PARTIAL_SOURCE").alias("status"))
+    errors = F.array_compact(F.array(*map(wrong, names)))
+    return out.select(source, "records", "bytes", "sha256", "valid", (F.col("records") - F.col("valid")).alias("invalid"), "duplicates", F.array_join(errors, ",").alias("errors"), F.when(F.size(errors) == 0, "READY").otherwise("PARTIAL_SOURCE").alias("status"))
 
 
 def looked_up(wanted: DataFrame, lines: DataFrame) -> DataFrame:
@@ -123,10 +156,21 @@ def duration_seconds(started: Column, finished: Column, elapsed: Column) -> Colu
     return F.when(started.isNotNull() & finished.isNotNull(), F.greatest(F.lit(0.0), at(finished) - at(started)) + F.when(at(started).isNotNull() & at(finished).isNotNull(), 0.0)).otherwise(elapsed)
 
 
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path) of all files of a folder, empty ones too, as Spark lists them: the driver holds the names, as for any scan."""
+    found = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(root).inputFiles()
+    return spark.createDataFrame([(p,) for p in found], "path string")
+
+
 def tree_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path below root, sha256, size) of all files of a folder. Spark's readers pass over empty files, so these are not among them."""
+    """(path below root, sha256, size) of all files of a folder. Spark's readers pass over empty files: what is listed and not read is one."""
     read = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(root)
-    return read.select(F.substring_index("path", root.rstrip("/") + "/", -1).alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    below = lambda c: F.substring_index(c, root.rstrip("/") + "/", -1).alias("path")
+    full = read.select(below(F.col("path")), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    # names in lists are escaped as in an address
+    listed = listed_files(spark, root).select(below(F.try_url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))))
+    empty = listed.join(read.select(below(F.col("path"))), "path", "left_anti").select("path", F.sha2(F.lit(b""), 256).alias("sha256"), F.lit(0).cast("long").alias("size"))
+    return full.union(empty)
 
 
 def tree_digests(files: DataFrame, group: str = "tree", path: str = "path", sha256: str = "sha256") -> DataFrame:
