@@ -34,3 +34,36 @@ def test_names_alone_delete_no_article(spark):
         ("http://a/4", "<body><div class=sidebar><p>Links</p></div><p>Four</p><section class=comments><article class=comment><p>Me too</p></article></section></body>", "Four"),
     ]
     run(spark, rows)
+
+
+LONG = "A long text of the page that goes on and on for a while. " * 3
+
+
+def test_names_and_articles_are_votes(spark):
+    rows = [
+        ("http://b/1", f"<div id=content><p>{LONG}</p></div><div class=cards><article class=card><p>Teaser one</p></article><article class=card><p>Teaser two</p></article></div>", LONG.strip()),
+        ("http://b/2", "<main><p>A</p></main><p>B</p>", "A B"),
+        ("http://b/3", f"<body><div class=notice><p>{LONG}</p></div></body>", LONG.strip()),
+        ("http://b/4", "<div class='content search'><p>Found this</p></div>", "Found this"),
+        ("http://b/5", "<div id=related><p>All there is</p></div>", "All there is"),
+        ("http://b/6", "<section class=social><p>Only this</p></section>", "Only this"),
+        ("http://b/7", f"<form action=x><h1>T</h1><p>{LONG}</p><label>name</label><button>go</button></form>", f"T {LONG.strip()}"),
+        ("http://b/8", f"<div class=sidebar><article class=card><p>Teaser</p></article></div><p>{LONG}</p>", LONG.strip()),
+        ("http://b/9", f"<article><p>{LONG}</p></article><div class=ad>{LONG * 5}</div><p>by</p>", LONG.strip()),
+        ("http://b/10", "<nav>a</nav><aside>what stands beside</aside>", "what stands beside"),
+        ("http://b/11", "<nav>menus alone</nav><div class=comments>me too</div>", ""),
+    ]
+    run(spark, rows)
+
+
+def test_shared_sentences_stay_and_recurring_notices_go(spark):
+    # of 24 pages of a host, 8 share a heading and a sentence of their articles; 16 begin with the same notice and end with the same line, and all have a box
+    rows = []
+    for k in range(24):
+        head = "<h1>News</h1>" if k % 3 == 0 else f"<h1>Title {k}</h1>"
+        shared = "<p>As we said before.</p>" if k % 3 == 0 else ""
+        notice, line = ("<p>This site moves soon.</p>", "<p>Write to us.</p>") if k % 3 else ("", "")
+        text = f"<p>own {k} a</p>{shared}<p>own {k} b</p>"
+        want = " ".join(x for x in ("News" if k % 3 == 0 else f"Title {k}", f"own {k} a", "As we said before." if shared else "", f"own {k} b") if x)
+        rows.append((f"http://c/{k}", f"<article>{notice}{head}{text}<div><p>Box of the site</p></div>{line}</article>", want))
+    run(spark, rows)
