@@ -177,12 +177,20 @@ def index(rows: DataFrame, centres: dict[int, np.ndarray], shard_rows: int = 409
     return stored(dealt.select("dim", "cell", "shard", "far", "v", "ids").groupBy("dim", "cell", "shard").applyInPandas(build, "dim int, cell int, shard long, least double, most double, tree binary"))
 
 
-def _searched(trees: DataFrame, asked: DataFrame, k: int, factor: float, blocks: int) -> DataFrame:
-    """(query_id, h1, vec_id, score) of queries (id, h1, v, bound, shard): those of a shard in blocks."""
-    dealt = asked.withColumn("block", F.pmod(F.xxhash64("id", "h1"), F.lit(blocks)).cast("int"))
-    meeting = dealt.select(F.col("shard").alias("at"), F.col("block").alias("part")).distinct().join(trees.select(F.col("shard").alias("at"), "tree"), "at")
+def blocks_of(asked: DataFrame, block_rows: int) -> DataFrame:
+    """(shard, blocks): into how many blocks the queries of each shard are dealt, each with a copy of its tree."""
+    return asked.groupBy("shard").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+
+
+def _searched(trees: DataFrame, asked: DataFrame, k: int, factor: float, block_rows: int) -> DataFrame:
+    """(query_id, h1, vec_id, score) of queries (id, h1, v, bound, shard): those of a shard in blocks of about `block_rows`."""
+    sizes = broadcast_if_small(stored(blocks_of(asked, block_rows)))
+    dealt = asked.join(sizes, "shard").withColumn("block", F.pmod(F.xxhash64("id", "h1"), F.col("blocks")).cast("int"))
+    meeting = trees.select("shard", "tree").join(sizes, "shard").select(F.col("shard").alias("at"), "tree", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
 
     def search(key: tuple, t: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(t):
+            return pd.DataFrame({"query_id": [], "h1": [], "vec_id": [], "score": []})
         ids = q["id"].to_numpy()
         at, found, scores = pickle.loads(t["tree"].iloc[0]).search(ids, np.stack(q["v"].to_numpy()).astype(np.float64), q["bound"].to_numpy(), k, factor)
         return pd.DataFrame({"query_id": ids[at], "h1": q["h1"].to_numpy()[at], "vec_id": found, "score": scores})
@@ -191,11 +199,14 @@ def _searched(trees: DataFrame, asked: DataFrame, k: int, factor: float, blocks:
 
 
 def allowed(asked: DataFrame, shards: DataFrame, factor: float) -> DataFrame:
-    """(id, h1, v, bound, shard): the shards but a query's own that its bound leaves open."""
+    """(id, h1, v, bound, shard): the shards but a query's own that its bound leaves open, of the cells that it leaves open."""
     numbers = asked.select("id", "h1", "dim", "bound", "shard", F.posexplode("all").alias("cell", "far")).union(asked.select("id", "h1", "dim", "bound", "shard", F.lit(-1), F.lit(0.0)))
-    met = numbers.withColumnRenamed("shard", "own").join(broadcast_if_small(shards), ["dim", "cell"]).where("not shard <=> own")
-    gap = F.greatest(F.col("least") - F.col("far"), F.col("far") - F.col("most"), F.lit(0.0))
-    open_ = met.where(gap <= (F.col("bound") + SLACK) / factor).select("id", "h1", "shard")
+    gap = lambda least, most: F.greatest(F.col(least) - F.col("far"), F.col("far") - F.col(most), F.lit(0.0)) <= (F.col("bound") + SLACK) / factor
+    # at most CELLS rows for each dimension
+    cells = shards.groupBy("dim", "cell").agg(F.min("least").alias("inner"), F.max("most").alias("outer"))
+    near = numbers.join(broadcast_if_small(cells), ["dim", "cell"]).where(gap("inner", "outer")).drop("inner", "outer")
+    met = near.withColumnRenamed("shard", "own").join(broadcast_if_small(shards), ["dim", "cell"]).where("not shard <=> own")
+    open_ = met.where(gap("least", "most")).select("id", "h1", "shard")
     return asked.select("id", "h1", "v", "bound").join(open_, ["id", "h1"])
 
 
@@ -213,18 +224,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
     shards = stored(trees.drop("tree"))
     asked = usable(queries, id_col, vector_col).withColumn("h1", F.xxhash64("v"))
     asked = stored(placed(asked, centres, every=True))
-    blocks = max(1, -(-asked.count() // block_rows))
 
     gap = F.greatest(F.col("least") - F.col("far"), F.col("far") - F.col("most"), F.lit(0.0))
     numbers = asked.select("id", "h1", "dim", "cell", "far").join(broadcast_if_small(shards), ["dim", "cell"], "left")
     own = numbers.groupBy("id", "h1").agg(F.min_by("shard", F.struct(gap, "shard")).alias("shard"))
     first = stored(asked.join(own, ["id", "h1"]).withColumn("bound", F.lit(float("inf"))))
-    found = stored(_searched(trees, first.where("shard is not null"), k, factor, blocks))
+    found = stored(_searched(trees, first.where("shard is not null"), k, factor, block_rows))
     order = Window.partitionBy("query_id", "h1").orderBy(F.desc("score"), "vec_id")
     last = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
     bound = last.select(F.col("query_id").alias("id"), "h1", F.sqrt(F.greatest(2 - 2 * F.col("score"), F.lit(0.0))).alias("known"))
     bounded = first.drop("bound").join(bound, ["id", "h1"], "left").withColumn("bound", F.coalesce("known", F.lit(float("inf"))))
-    others = _searched(trees, stored(allowed(bounded, shards, factor)), k, factor, blocks)
+    others = _searched(trees, stored(allowed(bounded, shards, factor)), k, factor, block_rows)
     # equal ids with different vectors may meet more than once: the best counts
     best = found.union(others).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -36,3 +36,20 @@ def test_few_vectors_and_other_lengths(spark):
     t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {(r.query_id, r["rank"]): r.vec_id for r in vptree.nearest(t, t.where("vec_id % 50 = 0")).collect()}
     assert got == {(0, 1): 50, (0, 2): 100, (50, 1): 0, (50, 2): 100, (100, 1): 0, (100, 2): 50, (200, 1): 201}
+
+
+def test_trees_are_copied_once_for_a_shard_and_block(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(900, 8))
+    t = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    counts = []
+    real = vptree.blocks_of
+
+    def counting(asked, block_rows):
+        out = real(asked, block_rows)
+        counts.append((asked.count(), asked.select("shard").distinct().count(), out.agg(F.sum("blocks")).first()[0], block_rows))
+        return out
+
+    monkeypatch.setattr(vptree, "blocks_of", counting)
+    assert vptree.nearest(t, t.where("vec_id % 3 = 0"), shard_rows=60, block_rows=20).count() == 1500
+    assert len(counts) == 2 and all(copies <= shards + asked / rows for asked, shards, copies, rows in counts), counts
