@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Words that mark a capability, placeholders that are no secrets, folders that are no workspace files.
@@ -137,17 +137,25 @@ def elided_matches(findings: DataFrame, originals: DataFrame, file: str = "path"
 def leaked_solutions(bodies: DataFrame, changes: DataFrame, group: str = "task_id", path: str = "path", text: str = "text", final: str = "final_content", least: int = 4, share: float = 0.8) -> DataFrame:
     """(group, path) of bodies that hold the final content of a withheld change of their group, or a share of its tokens.
 
-    A change's different tokens (three characters or more) meet the bodies' in an equi-join on group and token. Content
-    that a body holds verbatim shares all its tokens but the first and the last, which may go on there; so it is looked
-    for in bodies that share the others, and for changes of fewer than `least` tokens in all bodies of the group.
+    Content that a body holds verbatim shares all its tokens but the first and the last, which may go on there. So of a
+    change's n different tokens (three characters or more) a body shares at least m, the lesser of the share and n - 2, and
+    with it one of the n - m + 1 that the fewest bodies of the group hold: only these meet the bodies in a join, and the
+    pairs that they make are verified. Changes of fewer than `least` tokens are looked for in each body of the group at once.
+    Null groups, texts and contents leak nothing.
     """
     tokens = lambda c: F.array_distinct(F.transform(F.regexp_extract_all(F.col(c), F.lit("[A-Za-z_][A-Za-z0-9_]{2,}"), F.lit(0)), F.lower))
-    held = changes.where(F.coalesce(F.col(final), F.lit("")) != "").select(group, final, F.xxhash64(final).alias("_c"), F.size(tokens(final)).alias("_n"), tokens(final).alias("_t")).dropDuplicates([group, "_c"])
+    held = changes.where(F.coalesce(F.col(final), F.lit("")) != "").select(group, F.col(final).alias("_f"), F.xxhash64(final).alias("_c"), F.size(tokens(final)).alias("_n"), tokens(final).alias("_t")).dropDuplicates([group, "_c"])
+    large = held.where(F.col("_n") >= least)
+    own = large.select(group, "_c", "_n", F.explode("_t").alias("_w"))
     words = bodies.select(group, path, F.explode(tokens(text)).alias("_w"))
-    met = held.where(F.col("_n") >= least).select(group, "_c", "_n", F.explode("_t").alias("_w")).join(words, [group, "_w"]).groupBy(group, path, "_c").agg(F.count("*").alias("shared"), F.first("_n").alias("_n"))
-    by_tokens = met.where(F.col("shared") / F.col("_n") >= share).select(group, path)
-    near = met.where((F.col("shared") / F.col("_n") < share) & (F.col("shared") >= F.col("_n") - 2)).select(group, path, "_c")
-    some = near.join(held.select(group, "_c", final), [group, "_c"]).join(bodies.select(group, path, text), [group, path])
-    every = bodies.select(group, path, text).join(held.where(F.col("_n") < least).select(group, final), group)
-    holds = F.contains(F.col(text), F.col(final))
-    return by_tokens.union(some.where(holds).select(group, path)).union(every.where(holds).select(group, path)).distinct()
+    often = words.join(own.select(group, "_w").distinct(), [group, "_w"], "left_semi").groupBy(group, "_w").agg(F.count("*").alias("_often"))
+    rank = F.row_number().over(Window.partitionBy(group, "_c").orderBy(F.coalesce("_often", F.lit(0)), "_w"))
+    needed = F.greatest(F.least(F.ceil(F.col("_n") * share), F.col("_n") - 2), F.lit(1))
+    rare = own.join(often, [group, "_w"], "left").withColumn("_rank", rank).where(F.col("_rank") <= F.col("_n") - needed + 1)
+    pairs = words.join(rare.where("_often is not null").select(group, "_w", "_c"), [group, "_w"]).select(group, path, "_c").distinct()
+    met = pairs.join(large, [group, "_c"]).join(bodies.select(group, path, text), [group, path])
+    shared = F.size(F.array_intersect(tokens(text), "_t"))
+    leaks = met.where((shared / F.col("_n") >= share) | F.contains(F.col(text), F.col("_f"))).select(group, path)
+    short = held.where(F.col("_n") < least).groupBy(group).agg(F.collect_list("_f").alias("_short"))
+    every = bodies.join(short, group).where(F.exists("_short", lambda f: F.contains(F.col(text), f))).select(group, path)
+    return leaks.union(every).distinct()
