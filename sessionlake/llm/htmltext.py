@@ -253,11 +253,14 @@ def chosen(blocks: list[tuple[str, _Element, bool]], elements: list[_Element], t
 
 
 def _trees(html: pd.Series, host: pd.Series) -> pd.DataFrame:
-    """The hash of each page's chosen text, its host's, and the keys of all its subtrees, those of plain elements of articles apart."""
+    """The hash of each page's text without what is named furniture, its host's, and the keys of all its subtrees, those of plain elements of articles apart."""
     pages, hosts, trees, placed = [], [], [], []
     for page, name in zip(html, host, strict=True):
         blocks, elements = parsed(page, name) if isinstance(page, str) else ([], [])
-        own = [b[0] for b, x in zip(blocks, chosen(blocks, elements), strict=True) if x] if blocks else []
+        for e in elements[1:]:
+            e.gone = e.parent.gone or e.sure or (e.named and not e.holds and not e.in_article)
+        shown = [b for b in blocks if not b[1].gone] or blocks
+        own = [b[0] for b in shown if b[1].in_article] or [b[0] for b in shown]
         pages.append(xxhash.xxh3_64_intdigest("\0".join(own).encode("utf-8", "surrogatepass")) - (1 << 63))
         hosts.append(xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass")) - (1 << 63))
         for out, plain in ((trees, False), (placed, True)):
@@ -307,7 +310,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     A subtree is a template if it recurs on at least `least_pages` different pages of its host, `least_named` where a
     name tells furniture inside an article; a plain element of an article only with the same blocks around it, or, if it
     is no heading, as the first or last of the article, and only on at least `least_share` of the host's different pages.
-    Pages whose chosen texts are equal are one page. Of what is left,
+    Pages whose texts but furniture are equal are one page. Of what is left,
     text outside articles stays if it is at least half as much as theirs, and cards go beside a text four times as long.
     A page whose whole text stands in elements that are named like furniture has that text; one of menus, controls and
     readers' comments alone has none. Null and empty html has empty text. Rows with a null url share one host. Repeated
@@ -317,14 +320,16 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     rows = rows.withColumn("host", F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     trees = F.pandas_udf(_trees, "page bigint, host bigint, trees array<bigint>, placed array<bigint>")
-    marked = lambda name, plain: F.transform(f"p.{name}", lambda t: F.struct(t.alias("tree"), F.lit(plain).alias("placed")))
+    marked = lambda name, plain: F.transform(name, lambda t: F.struct(t.alias("tree"), F.lit(plain).alias("placed")))
+    # numbers only, stored: what follows reads them more than once
+    told = stored(rows.select(trees("html", "host").alias("p")).select("p.*"))
     # a page counts once for a tree; the hot trees of a hot host are dealt out by page before they are counted
-    each = rows.select(trees("html", "host").alias("p")).select("p.page", "p.host", F.explode(F.concat(marked("trees", False), marked("placed", True))).alias("t")).select("page", "host", "t.*").distinct()
+    each = told.select("page", "host", F.explode(F.concat(marked("trees", False), marked("placed", True))).alias("t")).select("page", "host", "t.*").distinct()
     least = F.when(F.col("tree").bitwiseAND(F.lit(1)) == 1, least_named).otherwise(least_pages)
     counted = stored(each.groupBy("tree").agg(F.count("*").alias("n"), F.first("host").alias("host"), F.first("placed").alias("placed")).where(F.col("n") >= least))
     # pages of the hosts in question only
     asked = counted.where("placed").select("host").distinct()
-    pages_of = each.select("host", "page").distinct().join(broadcast_if_small(stored(asked)), "host", "left_semi").groupBy("host").agg(F.count("*").alias("pages"))
+    pages_of = told.select("host", "page").distinct().join(broadcast_if_small(stored(asked)), "host", "left_semi").groupBy("host").agg(F.count("*").alias("pages"))
     met = counted.join(broadcast_if_small(stored(pages_of)), "host", "left")
     recur = stored(met.where(~F.col("placed") | (F.col("n") >= least_share * F.col("pages"))).select("tree"))
     if small(recur, most_templates, 8 * most_templates):
