@@ -22,19 +22,32 @@ def test_results(spark: SparkSession, path: str) -> DataFrame:
     return read.select(F.coalesce("_name", F.lit("")).alias("name"), F.coalesce("_classname", F.lit("")).alias("classname"), status.alias("status"), F.nullif(told, F.lit("")).alias("message"))
 
 
-# The lines that wrap a command's output, in this order; notes may be missing.
-WRAPPER_STATUS, WRAPPER_TIME, WRAPPER_NOTES, WRAPPER_END = r"(?:script (?:completed|failed)|exit code:\s*[0-9]+)", "wall time:?[^\\r\\n]+", r"(?:total output lines|warning):[^\r\n]*", "output:"
+# How the lines begin that are put before a command's output, each with the letter of its kind; heads are made of them in this order.
+HEAD_LINES = [("script completed", "s"), ("script failed", "s"), ("exit code:", "s"), ("wall time", "t"), ("total output lines:", "n"), ("warning:", "n"), ("output:", "o")]
 
 
 def unwrapped_output(text: Column) -> Column:
-    """A command's output without the heads put before it, however many."""
-    line = lambda x: rf"{x}\r?\n"
-    return F.regexp_replace(text, rf"(?i)\A(?:{line(WRAPPER_STATUS)}{line(WRAPPER_TIME)}(?:{line(WRAPPER_NOTES)})*{line(WRAPPER_END)})+", "")
+    """A command's output without the heads put before it, however many: a status, a time, notes or none, and the word that the output follows.
+
+    Each line becomes the letter of its kind, `x` if it has none; heads are read off the letters, and as many lines go.
+    """
+    lines = F.split(text, "\n", -1)
+
+    def kind(line: Column) -> Column:
+        low = F.lower(F.regexp_replace(line, "\r$", ""))
+        rest = lambda start: F.trim(F.substring(low, len(start) + 1, 2**31 - 1))
+        whole = {"s": lambda start: (rest(start) == "") if start[-1] != ":" else rest(start).rlike("^[0-9]+$"), "t": lambda start: F.char_length(low) > len(start), "n": lambda start: F.lit(True), "o": lambda start: low == start}
+        return F.coalesce(*(F.when(F.startswith(low, F.lit(start)) & whole[k](start), k) for start, k in HEAD_LINES), F.lit("x"))
+
+    # the last piece has no line's end, so it is output
+    letters = F.array_join(F.transform(F.slice(lines, 1, F.size(lines) - 1), kind), "")
+    heads = F.char_length(F.regexp_extract(letters, "^(?:stn*o)+", 0))
+    return F.array_join(F.slice(lines, heads + 1, F.size(lines)), "\n")
 
 
 def result_segments(text: Column) -> Column:
-    """The bodies below the lines `--- result 1 ---` or `--- 1 ---`, two or more and numbered from 1 without gaps; else null."""
-    mark = r"(?mi)^---[ \t]*(?:result[ \t]+)?([0-9]{1,9})[ \t]*---[ \t]*$"
+    """The bodies after the marks `--- result 1 ---` or `--- 1 ---` at a line's beginning, two or more and numbered from 1 without gaps; else null. What stands on a mark's line begins its body."""
+    mark = r"(?mi)^---[ \t]*(?:result[ \t]+)?([0-9]{1,9})[ \t]*---[ \t]*"
     numbers = F.transform(F.regexp_extract_all(text, F.lit(mark), F.lit(1)), lambda x: x.cast("int"))
     n = F.size(numbers)
     bodies = F.transform(F.slice(F.split(text, mark, -1), 2, F.greatest(n, F.lit(1))), lambda x: F.regexp_replace(x, r"\A[\r\n]+", ""))
@@ -50,21 +63,25 @@ def numbered_ranges(texts: DataFrame, key: str = "path", text: str = "text") ->
     return known.withColumn("island", island).groupBy(key, "separator", "step", "island").agg(F.min("i").alias("start_line"), F.max("i").alias("end_line"), F.min("n").alias("first_number")).select(key, "start_line", "end_line", "first_number", "separator")
 
 
-# Endings of two parts that are names of files.
-COMPOUND_ENDINGS = [".d.ts", ".min.js", ".spec.ts", ".test.ts", ".test.js", ".mod.c"]
-PLAIN_IDENTIFIERS = ["name.c", "path.c", "value.c", "v2.c", "v3.c"]
+# Endings of two parts that files have, and members of variables that look like files.
+DOUBLE_ENDINGS = ["d.ts", "min.js", "spec.ts", "test.ts", "test.js", "mod.c"]
+MEMBERS = ["name.c", "path.c", "value.c", "v2.c", "v3.c"]
+#: What words with dots and slashes are that are no files: a table of kinds, each as a pattern of the part that tells it.
+NO_FILES = {
+    "variable or range": r"[$]|[.]{2}",  # $HOME/x, 3..9
+    "version": r"(?:^|/)[0-9]+(?:[.][0-9]+){1,3}[A-Za-z]?(?:/|$)",  # 1.2.3, lib/2.0b
+    "number of a publication": r"(?:^|/)[0-9]{2}[.][0-9]{4}",  # 10.1234/x
+    "member": rf"(?i)(?:^|/)(?:{'|'.join(m.replace('.', '[.]') for m in MEMBERS)})$",  # path.c
+    "member in humps": r"(?:^|/)[a-z]\w*[A-Z]\w*[.]c$",  # myVal.c
+    "chain of members": rf"(?i)(?:^|/)(?![^/]*[.](?:{'|'.join(e.replace('.', '[.]') for e in DOUBLE_ENDINGS)})$)[^/.]*[.][^/.]*[.][^/]*$",  # a.b.c, but not x.d.ts
+}
 
 
 def looks_like_file(name: Column) -> Column:
-    """Whether a word may be a file's name: an ending of up to eight letters or digits, or a path; no variable, range, version, and no member of a variable such as `path.c`."""
-    clean = F.trim(F.replace(name, F.lit(" (missing)"), F.lit("")))
-    base = F.element_at(F.split(F.replace(clean, F.lit("\\"), F.lit("/")), "/"), -1)
-    two_dots = F.size(F.split(base, "[.]", -1)) > 2
-    known = F.exists(F.array(*map(F.lit, COMPOUND_ENDINGS)), lambda e: F.endswith(F.lower(base), e))
-    member = F.lower(base).isin(PLAIN_IDENTIFIERS) | base.rlike(r"^[a-z][A-Za-z0-9]*[A-Z][A-Za-z0-9]*\.c$") | (two_dots & ~known)
-    version = F.exists(F.split(F.replace(clean, F.lit("\\"), F.lit("/")), "/"), lambda p: p.rlike(r"^[0-9]+(?:\.[0-9]+){1,3}[A-Za-z]?$") | p.rlike(r"^[0-9]{2}\.[0-9]{4,}"))
-    none = (clean == "") | F.contains(clean, F.lit("$")) | F.contains(clean, F.lit(".."))
-    return F.coalesce(~none & ~version & ~member & (clean.rlike(r"\.[A-Za-z0-9]{1,8}$") | F.contains(clean, F.lit("/")) | F.contains(clean, F.lit("\\"))), F.lit(False))
+    """Whether a word may be a file's name: it has a short ending or a folder, and is nothing of NO_FILES. Slashes may lean either way; a remark that the file is missing is no part of it."""
+    word = F.trim(F.translate(F.replace(name, F.lit(" (missing)"), F.lit("")), "\\", "/"))
+    other = reduce(Column.__or__, (word.rlike(pattern) for pattern in NO_FILES.values()))
+    return F.coalesce((F.contains(word, F.lit("/")) | word.rlike("[.][A-Za-z0-9]{1,8}$")) & ~other, F.lit(False))
 
 
 def resolved(folder: Column, reference: Column) -> Column:
@@ -78,8 +95,11 @@ def resolved(folder: Column, reference: Column) -> Column:
 
 def missing_includes(files: DataFrame, group: str = "task_id", path: str = "path", text: str = "text") -> DataFrame:
     """(group, path, reference) of what XML files include (an element `include` with `file`) that their workspace lacks; absolute and variable references are left out."""
-    found = F.regexp_extract_all(F.col(text), F.lit(r"""(?i)<include\b[^>]*?\bfile\s*=\s*["']([^"']+)["']"""), F.lit(1))
-    named = files.where(F.endswith(F.lower(path), F.lit(".xml"))).select(group, path, F.explode(found).alias("reference")).withColumn("reference", F.trim("reference"))
+    # the attributes of each such element, by name; values may stand in either kind of quotes
+    tags = files.where(F.endswith(F.lower(path), F.lit(".xml"))).select(group, path, F.explode(F.regexp_extract_all(F.col(text), F.lit(r"(?i)<include(\s[^<>]*)>"), F.lit(1))).alias("_tag"))
+    part = lambda k: F.regexp_extract_all("_tag", F.lit(r"""([\w:.-]+)\s*=\s*("[^"]*"|'[^']*')"""), F.lit(k))
+    attributes = tags.select(group, path, F.explode(F.arrays_zip(part(1).alias("name"), part(2).alias("value"))).alias("_a"))
+    named = attributes.where(F.lower("_a.name") == "file").select(group, path, F.trim(F.expr("substring(_a.value, 2, char_length(_a.value) - 2)")).alias("reference"))
     named = named.where((F.col("reference") != "") & ~F.startswith("reference", F.lit("/")) & ~F.startswith("reference", F.lit("$")))
     parts = F.split(path, "/", -1)
     target = named.withColumn("_target", resolved(F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/"), F.col("reference")))
