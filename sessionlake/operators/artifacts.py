@@ -200,12 +200,12 @@ def _not_share(column: Column) -> Column:
     return ~F.coalesce(column.cast("double").between(0, 1), F.lit(False))
 
 
-def judgement_errors(judgements: DataFrame, refs: DataFrame, events: DataFrame, key: str = "report_id") -> DataFrame:
+def judgement_errors(judgements: DataFrame, refs: DataFrame, events: DataFrame, key: str = "report_id", work: str = "WORK") -> DataFrame:
     """judgements with errors array, status (COMPLETE or REVIEW) and final_decision: any error sends a judgement to review.
 
     Judgements hold outcome, decision, primary_failure, failure_layer, recoverability, needs (boolean), critical_step,
     critical_event_ids and evidence_ref_ids arrays, goal, ratings map, confidence; refs (key, ref) and events (key, event)
-    are what they may refer to.
+    are what they may refer to. `work` is the caller's word for what a failure may need, in the codes about `needs`.
     """
     c = F.col
 
@@ -230,9 +230,9 @@ def judgement_errors(judgements: DataFrame, refs: DataFrame, events: DataFrame,
         _code(c("_ne") > 0, "UNKNOWN_CRITICAL_EVENT_ID"), _code(F.coalesce(stripped(c("goal")), F.lit("")) == "", "USER_INTENT_GOAL_MISSING"), _code(c("_nr") > 0, "UNKNOWN_EVIDENCE_REF"),
         _code((decision == "ELIGIBLE") & ~located, "ELIGIBLE_REQUIRES_EVIDENCE"), _code(lost & ~located, "NON_SUCCESS_REQUIRES_EVIDENCE"),
         *(_code(~F.coalesce(rated(r).between(0, 3), F.lit(False)), f"RUBRIC_{r.upper()}_INVALID") for r in RATINGS), _code(_not_share(c("confidence")), "CONFIDENCE_INVALID"),
-        _code(unsure & c("needs").isNotNull(), "UNCERTAIN_NEEDS_RECONSTRUCTION_MUST_BE_NULL"), _code(unsure & (decision != "REVIEW"), "UNCERTAIN_DECISION_MUST_BE_REVIEW"), _code(unsure & (failure != "INCONCLUSIVE"), "UNCERTAIN_FAILURE_MUST_BE_INCONCLUSIVE"),
-        _code(success & ~c("needs").eqNullSafe(F.lit(False)), "SUCCESS_NEEDS_RECONSTRUCTION_MUST_BE_FALSE"), _code(success & (failure != "INCONCLUSIVE"), "SUCCESS_FAILURE_MUST_BE_INCONCLUSIVE"),
-        _code(eligible_without, "ELIGIBLE_FAILURE_NEEDS_RECONSTRUCTION_MUST_BE_TRUE"), _code(lost & decision.isin("REVIEW", "DEFER") & (c("needs") == F.lit(False)), "UNCERTAIN_RECONSTRUCTION_DECISION"),
+        _code(unsure & c("needs").isNotNull(), f"UNCERTAIN_NEEDS_{work}_MUST_BE_NULL"), _code(unsure & (decision != "REVIEW"), "UNCERTAIN_DECISION_MUST_BE_REVIEW"), _code(unsure & (failure != "INCONCLUSIVE"), "UNCERTAIN_FAILURE_MUST_BE_INCONCLUSIVE"),
+        _code(success & ~c("needs").eqNullSafe(F.lit(False)), f"SUCCESS_NEEDS_{work}_MUST_BE_FALSE"), _code(success & (failure != "INCONCLUSIVE"), "SUCCESS_FAILURE_MUST_BE_INCONCLUSIVE"),
+        _code(eligible_without, f"ELIGIBLE_FAILURE_NEEDS_{work}_MUST_BE_TRUE"), _code(lost & decision.isin("REVIEW", "DEFER") & (c("needs") == F.lit(False)), f"UNCERTAIN_{work}_DECISION"),
     )
     out = met.withColumn("errors", errors)
     good = F.size("errors") == 0

@@ -1,4 +1,4 @@
-"""Gates over trials and tasks: statuses, acceptance, certification, reconstructability, routes and bindings."""
+"""Gates over trials and tasks: statuses, acceptance, certification, outlook, routes and bindings."""
 
 from __future__ import annotations
 
@@ -18,7 +18,6 @@ PIPELINE_PREFIXES = [
     "MODEL_OUTPUT_INVALID", "MALFORMED_", "JUDGE_WORKSPACE_WRITEABLE", "TASK_NOT_EXECUTABLE", "PROTECTED_FILE_OVERWRITE", "VERIFIER_INPUT_PROTECTION_FAILED", "TOOL_NOT_ALLOWED", "REAL_PROBE_REQUIRED",
 ]
 UNKNOWN_STATE_REASONS = ["read_after_unparsed_mutation", "unparsed_mutation_scope", "unparsed_mutation_unscoped"]
-CLASSIFICATIONS = ["BASELINE_TASK_DEFECT", "RECONSTRUCTION_GAP", "IRRELEVANT"]
 FINISHED = ["READY", "READY_VARIANT", "ENVIRONMENT_READY", "ROLLOUT_COMPLETED"]
 
 
@@ -126,24 +125,24 @@ def unknown_initial_states(partial: DataFrame, required: DataFrame, trusted: Dat
     return out(met, "UNKNOWN_INITIAL_STATE").union(out(loose, "UNKNOWN_INITIAL_STATE_UNSCOPED"))
 
 
-def reconstructability(tasks: DataFrame, blockers: DataFrame, task: str = "task_id", infra_prefixes: tuple[str, ...] = ()) -> DataFrame:
+def task_outlook(tasks: DataFrame, blockers: DataFrame, task: str = "task_id", infra_prefixes: tuple[str, ...] = (), skipped: str = "SKIPPED") -> DataFrame:
     """(task, status, blockers) of tasks (task, errors array, pending, label) and blockers (task, code, confirmed).
 
-    INFRA_ERROR, then SKIPPED_UNRECONSTRUCTABLE for any confirmed blocker, PIPELINE_ERROR, REVIEW for anything pending,
+    INFRA_ERROR, then `skipped` for any confirmed blocker, PIPELINE_ERROR, REVIEW for anything pending,
     unscoped, erroneous or insufficient, else READY. Prefixes of failures that name an agent are the caller's.
     """
     sums = blockers.groupBy(F.col(task).alias("_t")).agg(F.count("*").alias("n"), F.count_if("confirmed").alias("sure"), F.count_if(F.col("code") == "UNKNOWN_INITIAL_STATE_UNSCOPED").alias("loose"))
     met = tasks.join(sums, F.col(task) == F.col("_t"), "left")
     errors = F.coalesce("errors", F.array().cast("array<string>"))
     more = lambda c: F.coalesce(F.col(c), F.lit(0)) > 0
-    status = F.when(_among([*INFRA_PREFIXES, *infra_prefixes], errors), "INFRA_ERROR").when(more("sure"), "SKIPPED_UNRECONSTRUCTABLE").when(_among(PIPELINE_PREFIXES, errors), "PIPELINE_ERROR")
+    status = F.when(_among([*INFRA_PREFIXES, *infra_prefixes], errors), "INFRA_ERROR").when(more("sure"), skipped).when(_among(PIPELINE_PREFIXES, errors), "PIPELINE_ERROR")
     open_ = F.coalesce("pending", F.lit(False)) | more("loose") | (F.size(errors) > 0) | F.coalesce(F.col("label").isin("INSUFFICIENT", "UNKNOWN"), F.lit(False))
     return met.select(task, status.when(open_, "REVIEW").otherwise("READY").alias("status"), F.coalesce("n", F.lit(0)).alias("blockers"))
 
 
-def support_routes(tasks: DataFrame, files: DataFrame, task: str = "task_id", endings: tuple[str, ...] = ("py", "js", "ts", "java", "go", "rs", "c", "cpp")) -> DataFrame:
-    """(task, route, env_origin, allow_completion, files, source_files, terminal_batch_hint) of tasks (task, domain) and replayed files (task, path)."""
-    source = F.lower(F.element_at(F.split("path", "[.]"), -1)).isin(*endings) & F.contains(F.col("path"), F.lit("."))
+def support_routes(tasks: DataFrame, files: DataFrame, task: str = "task_id", endings: tuple[str, ...] = ("py", "js", "jsx", "ts", "tsx", "java", "go", "rs", "c", "cc", "cpp", "h", "hpp")) -> DataFrame:
+    """(task, route, env_origin, allow_completion, files, source_files, terminal_batch_hint) of tasks (task, domain) and replayed files (task, path). A name that is nothing but an ending is no source."""
+    source = F.lower("path").rlike(rf"[^/][.](?:{'|'.join(endings)})$")
     sums = files.groupBy(F.col(task).alias("_t")).agg(F.count("*").alias("_n"), F.count_if(source).alias("_s"))
     met = tasks.join(sums, F.col(task) == F.col("_t"), "left").withColumns({"files": F.coalesce("_n", F.lit(0)), "source_files": F.coalesce("_s", F.lit(0))})
     retrieval = F.coalesce(F.col("domain") == "retrieval", F.lit(False))
@@ -152,16 +151,18 @@ def support_routes(tasks: DataFrame, files: DataFrame, task: str = "task_id", en
     return met.select(task, pick("RETRIEVAL_UNSUPPORTED", "TERMINAL_FILE", "DEFAULT_EMPTY").alias("route"), pick("NONE", "REPLAYED", "DEFAULT_EMPTY").alias("env_origin"), (~retrieval).alias("allow_completion"), "files", "source_files", hint.alias("terminal_batch_hint"))
 
 
-def integrity_errors(issues: DataFrame, classifications: DataFrame, report: str = "report_id", issue: str = "issue_id", pos: str = "pos") -> DataFrame:
+def integrity_errors(issues: DataFrame, classifications: DataFrame, report: str = "report_id", issue: str = "issue_id", pos: str = "pos", gap: str = "GAP") -> DataFrame:
     """(report, issue, code) of classifications (report, pos, issue, path, classification, reason) against issues (report, issue, path):
-    unknown, repeated, invalid ones, gaps they find, and issues left without a valid one."""
+    unknown, repeated, invalid ones, gaps they find (`gap` is the caller's word for one), and issues left without a valid one."""
+    # Classes, and codes below.
+    classes = ["BASELINE_TASK_DEFECT", gap, "IRRELEVANT"]
     given = classifications.withColumn("_again", F.row_number().over(Window.partitionBy(report, issue).orderBy(pos)) > 1)
     known = issues.select(F.col(report).alias("_r"), F.col(issue).alias("_i"), F.col("path").alias("_path"))
     met = given.join(known, (F.col(report) == F.col("_r")) & (F.col(issue) == F.col("_i")), "left")
-    sound = F.col("path").eqNullSafe(F.col("_path")) & F.coalesce(F.col("classification").isin(CLASSIFICATIONS), F.lit(False)) & ~_blank("reason")
-    code = F.when(F.col("_r").isNull(), "INTEGRITY_ISSUE_UNKNOWN").when(F.col("_again"), "INTEGRITY_CLASSIFICATION_DUPLICATE").when(~sound, "INTEGRITY_CLASSIFICATION_INVALID").when(F.col("classification") == "RECONSTRUCTION_GAP", "WORKSPACE_RECONSTRUCTION_GAP")
+    sound = F.col("path").eqNullSafe(F.col("_path")) & F.coalesce(F.col("classification").isin(classes), F.lit(False)) & ~_blank("reason")
+    code = F.when(F.col("_r").isNull(), "INTEGRITY_ISSUE_UNKNOWN").when(F.col("_again"), "INTEGRITY_CLASSIFICATION_DUPLICATE").when(~sound, "INTEGRITY_CLASSIFICATION_INVALID").when(F.col("classification") == gap, f"WORKSPACE_{gap}")
     told = met.withColumn("code", code)
-    settled = told.where(F.col("code").isNull() | (F.col("code") == "WORKSPACE_RECONSTRUCTION_GAP")).select(report, issue).distinct()
+    settled = told.where(F.col("code").isNull() | (F.col("code") == f"WORKSPACE_{gap}")).select(report, issue).distinct()
     left = issues.join(settled, [report, issue], "left_anti").select(report, issue, F.lit("INTEGRITY_ISSUE_UNCLASSIFIED").alias("code"))
     return told.where("code is not null").select(report, issue, "code").union(left)
 

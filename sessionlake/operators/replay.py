@@ -96,12 +96,12 @@ def overlay(replayed: DataFrame, completed: DataFrame, group: str = "task_id", p
 
 
 def common_folder(paths: DataFrame, group: str = "session_id", path: str = "path") -> DataFrame:
-    """(group, folder): what the folders of all absolute paths of a group have in common; needs two different folders, and two parts in common.
+    """(group, folder): what the folders of all absolute paths of a group, with a drive or without, have in common; needs two different folders, and two parts in common.
 
     The common beginning of a set is that of its least and its greatest member, so two partial aggregates are enough.
     """
     parts = F.split(F.replace(F.col(path), F.lit("\\"), F.lit("/")), "/", -1)
-    folders = paths.where(F.startswith(F.replace(F.col(path), F.lit("\\"), F.lit("/")), F.lit("/"))).select(group, F.slice(parts, 1, F.size(parts) - 1).alias("f")).where(F.size("f") > 1)
+    folders = paths.where(F.replace(F.col(path), F.lit("\\"), F.lit("/")).rlike("^(?:[A-Za-z]:)?/")).select(group, F.slice(parts, 1, F.size(parts) - 1).alias("f")).where(F.size("f") > 1)
     ends = folders.groupBy(group).agg(F.min("f").alias("a"), F.max("f").alias("b"))
     same = F.filter(F.sequence(F.lit(1), F.least(F.size("a"), F.size("b"))), lambda k: F.slice("a", 1, k) == F.slice("b", 1, k))
     n = F.coalesce(F.array_max(same), F.lit(0))

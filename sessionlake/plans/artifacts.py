@@ -323,9 +323,9 @@ UNION ALL SELECT rubric_id, pos, 'CRITERION_DESCRIPTION_EMPTY' FROM c WHERE pos
 WITH {_J}, n AS (SELECT k, """ + " + ".join(f"CASE WHEN (k % {i + 3} - CASE WHEN k % {97 + i} = 0 THEN 9 ELSE 0 END) % 4 < 0 THEN 1 ELSE 0 END" for i in range(8)) + """ AS rubric_errors FROM j),
 e AS (SELECT j.k, decision, dn, rubric_errors, concat_ws(',', CASE WHEN odd THEN 'OUTCOME_INVALID' END, CASE WHEN dn = 3 THEN 'DECISION_INVALID' END, CASE WHEN f = 2 THEN 'PRIMARY_FAILURE_INVALID' END, CASE WHEN c % 7 = 0 THEN 'FAILURE_LAYER_INVALID' END, CASE WHEN c % 8 = 0 THEN 'RECOVERABILITY_INVALID' END, CASE WHEN j.k % 6 = 0 THEN 'CRITICAL_STEP_INVALID' END,
  CASE WHEN j.k % 11 = 0 THEN 'UNKNOWN_CRITICAL_EVENT_ID' END, CASE WHEN j.k % 9 = 0 THEN 'USER_INTENT_GOAL_MISSING' END, CASE WHEN badref THEN 'UNKNOWN_EVIDENCE_REF' END, CASE WHEN decision = 'ELIGIBLE' AND NOT located THEN 'ELIGIBLE_REQUIRES_EVIDENCE' END, CASE WHEN outcome IN ('FAILURE', 'INCOMPLETE') AND NOT located THEN 'NON_SUCCESS_REQUIRES_EVIDENCE' END,
- CASE WHEN j.k % 10 < 2 THEN 'CONFIDENCE_INVALID' END, CASE WHEN outcome = 'UNCERTAIN' AND needs IS NOT NULL THEN 'UNCERTAIN_NEEDS_RECONSTRUCTION_MUST_BE_NULL' END, CASE WHEN outcome = 'UNCERTAIN' AND decision <> 'REVIEW' THEN 'UNCERTAIN_DECISION_MUST_BE_REVIEW' END, CASE WHEN outcome = 'UNCERTAIN' AND failure <> 'INCONCLUSIVE' THEN 'UNCERTAIN_FAILURE_MUST_BE_INCONCLUSIVE' END,
- CASE WHEN outcome = 'SUCCESS' AND needs IS DISTINCT FROM false THEN 'SUCCESS_NEEDS_RECONSTRUCTION_MUST_BE_FALSE' END, CASE WHEN outcome = 'SUCCESS' AND failure <> 'INCONCLUSIVE' THEN 'SUCCESS_FAILURE_MUST_BE_INCONCLUSIVE' END, CASE WHEN outcome IN ('FAILURE', 'INCOMPLETE') AND decision = 'ELIGIBLE' AND needs IS DISTINCT FROM true THEN 'ELIGIBLE_FAILURE_NEEDS_RECONSTRUCTION_MUST_BE_TRUE' END,
- CASE WHEN outcome IN ('FAILURE', 'INCOMPLETE') AND decision IN ('REVIEW', 'DEFER') AND needs = false THEN 'UNCERTAIN_RECONSTRUCTION_DECISION' END) AS errors FROM j JOIN n ON n.k = j.k)
+ CASE WHEN j.k % 10 < 2 THEN 'CONFIDENCE_INVALID' END, CASE WHEN outcome = 'UNCERTAIN' AND needs IS NOT NULL THEN 'UNCERTAIN_NEEDS_WORK_MUST_BE_NULL' END, CASE WHEN outcome = 'UNCERTAIN' AND decision <> 'REVIEW' THEN 'UNCERTAIN_DECISION_MUST_BE_REVIEW' END, CASE WHEN outcome = 'UNCERTAIN' AND failure <> 'INCONCLUSIVE' THEN 'UNCERTAIN_FAILURE_MUST_BE_INCONCLUSIVE' END,
+ CASE WHEN outcome = 'SUCCESS' AND needs IS DISTINCT FROM false THEN 'SUCCESS_NEEDS_WORK_MUST_BE_FALSE' END, CASE WHEN outcome = 'SUCCESS' AND failure <> 'INCONCLUSIVE' THEN 'SUCCESS_FAILURE_MUST_BE_INCONCLUSIVE' END, CASE WHEN outcome IN ('FAILURE', 'INCOMPLETE') AND decision = 'ELIGIBLE' AND needs IS DISTINCT FROM true THEN 'ELIGIBLE_FAILURE_NEEDS_WORK_MUST_BE_TRUE' END,
+ CASE WHEN outcome IN ('FAILURE', 'INCOMPLETE') AND decision IN ('REVIEW', 'DEFER') AND needs = false THEN 'UNCERTAIN_WORK_DECISION' END) AS errors FROM j JOIN n ON n.k = j.k)
 SELECT k AS report_id, CASE WHEN errors = '' AND rubric_errors = 0 THEN 'COMPLETE' ELSE 'REVIEW' END AS status, CASE WHEN errors = '' AND rubric_errors = 0 THEN decision ELSE 'REVIEW' END AS final_decision, errors, CAST(rubric_errors AS INTEGER) AS rubric_errors FROM e""",
     "gate_errors": """
 WITH g AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderkey % 97 > 8) SELECT k AS report_id, 'DECISION_INVALID' AS code FROM g WHERE c % 4 = 3 UNION ALL SELECT k, 'ROUTE_INVALID' FROM g WHERE k % 3 = 0 UNION ALL SELECT k, 'ESTIMATED_COST_INVALID' FROM g WHERE k % 5 = 4

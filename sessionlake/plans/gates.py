@@ -93,22 +93,22 @@ def unknown_initial_states(spark, sf_dir):
     return gates.unknown_initial_states(partial, required, trusted)
 
 
-def reconstructability(spark, sf_dir):
+def task_outlook(spark, sf_dir):
     errors = "CASE c_custkey % 9 WHEN 0 THEN array('MODEL_TIMEOUT:x') WHEN 1 THEN array('INVALID_JSON', 'OTHER') WHEN 2 THEN array('OTHER') WHEN 3 THEN NULL ELSE array() END"
     tasks = _table(spark, sf_dir, "customer", "c_custkey AS task_id", f"CAST({errors} AS ARRAY<STRING>) AS errors", "CASE WHEN c_custkey % 10 = 0 THEN true END AS pending", "CASE WHEN c_custkey % 11 = 0 THEN 'INSUFFICIENT' WHEN c_custkey % 11 = 1 THEN NULL ELSE 'SUFFICIENT' END AS label")
     blockers = _table(spark, sf_dir, "orders", "o_custkey AS task_id", "CASE WHEN o_orderkey % 5 = 0 THEN 'UNKNOWN_INITIAL_STATE_UNSCOPED' ELSE 'MISSING' END AS code", "o_orderkey % 5 > 0 AND o_custkey % 4 = 0 AS confirmed").where("task_id % 3 = 0")
-    return gates.reconstructability(tasks, blockers)
+    return gates.task_outlook(tasks, blockers)
 
 
 def support_routes(spark, sf_dir):
     tasks = _table(spark, sf_dir, "customer", "c_custkey AS task_id", "CASE c_custkey % 5 WHEN 0 THEN 'retrieval' WHEN 1 THEN 'terminal' END AS domain")
-    files = _table(spark, sf_dir, "orders", "o_custkey AS task_id", "concat(o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '.PY' WHEN 1 THEN '.txt' WHEN 2 THEN '' ELSE '.rs' END) AS path").where("task_id % 4 > 0")
+    files = _table(spark, sf_dir, "orders", "o_custkey AS task_id", "concat(o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '.PY' WHEN 1 THEN '.txt' WHEN 2 THEN '/.hpp' ELSE '.Tsx' END) AS path").where("task_id % 4 > 0")
     return gates.support_routes(tasks, files)
 
 
 def integrity_errors(spark, sf_dir):
     issues = _table(spark, sf_dir, "orders", "o_custkey % 50 AS report_id", "o_orderkey % 97 AS issue_id", "concat('p', o_orderkey % 97) AS path").distinct()
-    given = _table(spark, sf_dir, "events", "user_id % 50 AS report_id", "event_id AS pos", "event_id % 101 AS issue_id", "concat('p', event_id % 101 + CASE WHEN event_id % 7 = 6 THEN 1 ELSE 0 END) AS path", "CASE event_type WHEN 'view' THEN 'IRRELEVANT' WHEN 'click' THEN 'RECONSTRUCTION_GAP' WHEN 'error' THEN 'UNSURE' ELSE 'BASELINE_TASK_DEFECT' END AS classification", "CASE WHEN event_id % 7 = 5 THEN ' ' ELSE 'r' END AS reason")
+    given = _table(spark, sf_dir, "events", "user_id % 50 AS report_id", "event_id AS pos", "event_id % 101 AS issue_id", "concat('p', event_id % 101 + CASE WHEN event_id % 7 = 6 THEN 1 ELSE 0 END) AS path", "CASE event_type WHEN 'view' THEN 'IRRELEVANT' WHEN 'click' THEN 'GAP' WHEN 'error' THEN 'UNSURE' ELSE 'BASELINE_TASK_DEFECT' END AS classification", "CASE WHEN event_id % 7 = 5 THEN ' ' ELSE 'r' END AS reason")
     return gates.integrity_errors(issues, given)
 
 
@@ -192,7 +192,7 @@ def execution_blockers(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        trial_statuses, explicit_states, certified_trials, padded_trials, job_gates, reproducibility, first_values, overall_statuses, label_partition_errors, failed_examples, unknown_initial_states, reconstructability, support_routes,
+        trial_statuses, explicit_states, certified_trials, padded_trials, job_gates, reproducibility, first_values, overall_statuses, label_partition_errors, failed_examples, unknown_initial_states, task_outlook, support_routes,
         integrity_errors, delivery_scopes, task_outcomes, requirement_coverage, excluded_captures, verified_obligations, acceptance, trial_bindings, semantic_receipts, selected_candidates, environment_bindings, execution_blockers,
     )
 }
@@ -237,9 +237,9 @@ WITH p AS (SELECT o_custkey AS task_id, CASE WHEN o_orderkey % 6 > 0 THEN {_SQL_
 t AS (SELECT DISTINCT o_custkey AS task_id, {_SQL_PATHS} AS path FROM orders WHERE o_orderkey % 7 = 0)
 SELECT task_id, CASE WHEN path IS NULL THEN 'UNKNOWN_INITIAL_STATE_UNSCOPED' ELSE 'UNKNOWN_INITIAL_STATE' END AS code, path, source_event_id FROM p
 WHERE EXISTS (SELECT 1 FROM r WHERE r.task_id = p.task_id AND (p.path IS NULL OR p.path = r.path OR r.path LIKE '%/' AND starts_with(p.path, r.path))) AND NOT EXISTS (SELECT 1 FROM t WHERE t.task_id = p.task_id AND t.path = p.path)""",
-    "reconstructability": """
+    "task_outlook": """
 WITH b AS (SELECT o_custkey AS task_id, count(*) AS n, count(*) FILTER (o_orderkey % 5 > 0 AND o_custkey % 4 = 0) AS sure, count(*) FILTER (o_orderkey % 5 = 0) AS loose FROM orders WHERE o_custkey % 3 = 0 GROUP BY ALL)
-SELECT c_custkey AS task_id, CASE WHEN c_custkey % 9 = 0 THEN 'INFRA_ERROR' WHEN sure > 0 THEN 'SKIPPED_UNRECONSTRUCTABLE' WHEN c_custkey % 9 = 1 THEN 'PIPELINE_ERROR' WHEN c_custkey % 10 = 0 OR loose > 0 OR c_custkey % 9 = 2 OR c_custkey % 11 = 0 THEN 'REVIEW' ELSE 'READY' END AS status, coalesce(n, 0) AS blockers
+SELECT c_custkey AS task_id, CASE WHEN c_custkey % 9 = 0 THEN 'INFRA_ERROR' WHEN sure > 0 THEN 'SKIPPED' WHEN c_custkey % 9 = 1 THEN 'PIPELINE_ERROR' WHEN c_custkey % 10 = 0 OR loose > 0 OR c_custkey % 9 = 2 OR c_custkey % 11 = 0 THEN 'REVIEW' ELSE 'READY' END AS status, coalesce(n, 0) AS blockers
 FROM customer LEFT JOIN b ON task_id = c_custkey""",
     "support_routes": """
 WITH f AS (SELECT o_custkey AS task_id, count(*) AS n, count(*) FILTER (o_orderkey % 4 IN (0, 3)) AS s FROM orders WHERE o_custkey % 4 > 0 GROUP BY ALL), t AS (SELECT c_custkey AS task_id, c_custkey % 5 = 0 AS r, coalesce(n, 0) AS files, coalesce(s, 0) AS source_files FROM customer LEFT JOIN f ON task_id = c_custkey)
@@ -247,9 +247,9 @@ SELECT task_id, CASE WHEN r THEN 'RETRIEVAL_UNSUPPORTED' WHEN files > 0 THEN 'TE
     "integrity_errors": """
 WITH i AS (SELECT DISTINCT o_custkey % 50 AS report_id, o_orderkey % 97 AS issue_id FROM orders), g AS (SELECT user_id % 50 AS report_id, event_id AS pos, event_id % 101 AS issue_id, event_id % 7 AS n, event_type AS flag FROM events),
 k AS (SELECT g.*, row_number() OVER (PARTITION BY report_id, issue_id ORDER BY pos) AS turn FROM g JOIN i USING (report_id, issue_id)),
-c AS (SELECT report_id, issue_id, CASE WHEN turn > 1 THEN 'INTEGRITY_CLASSIFICATION_DUPLICATE' WHEN n IN (5, 6) OR flag = 'error' THEN 'INTEGRITY_CLASSIFICATION_INVALID' WHEN flag = 'click' THEN 'WORKSPACE_RECONSTRUCTION_GAP' END AS code FROM k)
+c AS (SELECT report_id, issue_id, CASE WHEN turn > 1 THEN 'INTEGRITY_CLASSIFICATION_DUPLICATE' WHEN n IN (5, 6) OR flag = 'error' THEN 'INTEGRITY_CLASSIFICATION_INVALID' WHEN flag = 'click' THEN 'WORKSPACE_GAP' END AS code FROM k)
 SELECT * FROM c WHERE code IS NOT NULL UNION ALL SELECT report_id, issue_id, 'INTEGRITY_ISSUE_UNKNOWN' FROM g WHERE (report_id, issue_id) NOT IN (SELECT (report_id, issue_id) FROM i)
-UNION ALL SELECT report_id, issue_id, 'INTEGRITY_ISSUE_UNCLASSIFIED' FROM i WHERE (report_id, issue_id) NOT IN (SELECT (report_id, issue_id) FROM c WHERE code IS NULL OR code = 'WORKSPACE_RECONSTRUCTION_GAP')""",
+UNION ALL SELECT report_id, issue_id, 'INTEGRITY_ISSUE_UNCLASSIFIED' FROM i WHERE (report_id, issue_id) NOT IN (SELECT (report_id, issue_id) FROM c WHERE code IS NULL OR code = 'WORKSPACE_GAP')""",
     "delivery_scopes": f"WITH {_SCOPES} SELECT task_id, scope FROM s",
     "task_outcomes": f"""
 WITH {_SCOPES}, o AS (SELECT session_id, CASE WHEN scope IN ('OUT_OF_SCOPE', 'NEEDS_REVIEW') AND exit_code = 2 THEN scope WHEN exit_code IN (0, 2) AND NOT blocked AND (scope_status IS NULL OR scope = 'IN_SCOPE') THEN 'COMPLETED' ELSE 'ISSUE' END AS outcome FROM s)

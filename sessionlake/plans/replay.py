@@ -55,7 +55,7 @@ def file_overlay(spark, sf_dir):
 
 
 def common_folders(spark, sf_dir):
-    p = _table(spark, sf_dir, "orders", "o_custkey AS session_id", "CASE o_custkey % 5 WHEN 0 THEN concat('/w/', o_orderpriority, '/', o_orderkey % 3, '/f') WHEN 1 THEN concat('/w/p/', o_orderkey % 3, '/f') WHEN 2 THEN concat('/w\\\\p\\\\q', o_orderkey % 2, '/', o_orderkey) WHEN 3 THEN concat('w/p/', o_orderkey) ELSE concat('/w/p/q/r', o_orderkey % 2, '/s/', o_orderkey) END AS path")
+    p = _table(spark, sf_dir, "orders", "o_custkey AS session_id", "CASE o_custkey % 5 WHEN 0 THEN concat('/w/', o_orderpriority, '/', o_orderkey % 3, '/f') WHEN 1 THEN concat('/w/p/', o_orderkey % 3, '/f') WHEN 2 THEN concat('C:\\\\w\\\\p\\\\q', o_orderkey % 2, '/', o_orderkey) WHEN 3 THEN concat('w/p/', o_orderkey) ELSE concat('/w/p/q/r', o_orderkey % 2, '/s/', o_orderkey) END AS path")
     return replay.common_folder(p)
 
 
@@ -106,7 +106,7 @@ SELECT task_id, path, concat('n', k) AS content, CASE WHEN k % 3 = 0 THEN 'SYNTH
 UNION ALL SELECT task_id, path, content, 'REPLAYED', c FROM a WHERE (task_id, path) NOT IN (SELECT (task_id, path) FROM b)""",
     "common_folders": """
 WITH n AS (SELECT o_custkey AS session_id, count(DISTINCT o_orderpriority) AS p, count(DISTINCT concat(o_orderpriority, o_orderkey % 3)) AS pk, count(DISTINCT o_orderkey % 3) AS k3, count(DISTINCT o_orderkey % 2) AS k2, min(o_orderpriority) AS one FROM orders GROUP BY ALL)
-SELECT session_id, CASE session_id % 5 WHEN 0 THEN concat('/w/', one) WHEN 1 THEN '/w/p' WHEN 2 THEN '/w/p' ELSE '/w/p/q' END AS folder FROM n WHERE CASE session_id % 5 WHEN 0 THEN p = 1 AND pk > 1 WHEN 1 THEN k3 > 1 WHEN 2 THEN k2 > 1 WHEN 4 THEN k2 > 1 ELSE false END""",
+SELECT session_id, CASE session_id % 5 WHEN 0 THEN concat('/w/', one) WHEN 1 THEN '/w/p' WHEN 2 THEN 'C:/w/p' ELSE '/w/p/q' END AS folder FROM n WHERE CASE session_id % 5 WHEN 0 THEN p = 1 AND pk > 1 WHEN 1 THEN k3 > 1 WHEN 2 THEN k2 > 1 WHEN 4 THEN k2 > 1 ELSE false END""",
     "numbering_resets": "SELECT event_id AS pos, event_id % 5 IN (1, 3) AS reset FROM events",
     "completion_holes": """
 WITH c AS (SELECT o_custkey AS task_id, o_orderpriority AS path, min(o_orderkey % 4) AS k FROM orders WHERE o_orderkey % 9 > 0 GROUP BY ALL)

@@ -124,18 +124,73 @@ def open_entries(entries: DataFrame) -> DataFrame:
     return sums if entries.isStreaming else sums.where("open").select("kind", "id")
 
 
+#: Runs of a level that are merged into one of the next.
+FAN_OUT = 4
+
+
+def _runs(batches: int) -> list[tuple[int, int, int]]:
+    """(level, first, past the last) of the runs that hold so many batches: FAN_OUT to the level batches each, older ones first."""
+    out, at, level = [], 0, 0
+    while FAN_OUT ** (level + 1) <= batches:
+        level += 1
+    for k in range(level, -1, -1):
+        size = FAN_OUT**k
+        while batches - at >= size:
+            out.append((k, at, at + size))
+            at += size
+    return out
+
+
+def _run_path(folder: str, run: tuple[int, int, int]) -> str:
+    return f"{folder}/{run[0]}-{run[1]}-{run[2]}"
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("_key").agg(F.max_by(F.struct(*(c for c in rows.columns if c != "_key")), "_order").alias("u")).select("_key", "u.*")
+
+
 def progress_snapshots(updates: DataFrame, folder: str, key: str, order: str, checkpoint: str) -> StreamingQuery:
-    """Starts a query that keeps the last update of each key: after batch n the table <folder>/n holds all keys. A batch that is run again writes the same table."""
+    """Starts a query that keeps the last update of each key, for snapshot() to read; of equal orders the later batch counts.
+
+    A batch writes a run of its own keys. Runs are merged by FAN_OUT into one of the next level, so an update is written a
+    logarithmic number of times and a batch costs its rows, not all keys. Which runs there are follows from the number of
+    batches alone: a batch that is run again writes the same runs, and skips merges that were finished. Runs that a batch
+    merged are deleted by the next one, so the last snapshot can be read meanwhile.
+    """
+
+    def there(spark: SparkSession, path: str):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+    def finished(spark: SparkSession, path: str) -> bool:
+        fs, at = there(spark, f"{path}/_SUCCESS")
+        return fs.exists(at)
 
     def upsert(batch: DataFrame, number: int) -> None:
-        before = [batch.sparkSession.read.parquet(f"{folder}/{number - 1}")] if number else []
-        rows = reduce(DataFrame.unionByName, before, batch)
-        latest = rows.groupBy(key).agg(F.max_by(F.struct(*batch.columns), order).alias("u")).select("u.*")
-        latest.write.mode("overwrite").parquet(f"{folder}/{number}")
+        spark = batch.sparkSession
+        # what the batch before merged goes now
+        for level in range(1, 64):
+            size = FAN_OUT**level
+            if number % size or not number:
+                break
+            for k in range(FAN_OUT):
+                fs, at = there(spark, _run_path(folder, (level - 1, number - size + k * size // FAN_OUT, number - size + (k + 1) * size // FAN_OUT)))
+                fs.delete(at, True)
+        rows = batch.withColumns({"_key": F.col(key), "_order": F.struct(F.col(order), F.lit(number))})
+        _latest(rows).write.mode("overwrite").parquet(_run_path(folder, (0, number, number + 1)))
+        done = number + 1
+        for level in range(1, 64):
+            size = FAN_OUT**level
+            if done % size:
+                break
+            parts = [_run_path(folder, (level - 1, done - size + k * size // FAN_OUT, done - size + (k + 1) * size // FAN_OUT)) for k in range(FAN_OUT)]
+            target = _run_path(folder, (level, done - size, done))
+            if not finished(spark, target):
+                _latest(spark.read.parquet(*parts)).write.mode("overwrite").parquet(target)
 
     return updates.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def snapshot(spark: SparkSession, folder: str, number: int) -> DataFrame:
-    """The table of progress_snapshots() after a batch."""
-    return spark.read.parquet(f"{folder}/{number}")
+    """The last update of each key after batch `number`, the last one, of progress_snapshots()."""
+    return _latest(spark.read.parquet(*(_run_path(folder, r) for r in _runs(number + 1)))).drop("_key", "_order")

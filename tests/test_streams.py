@@ -1,5 +1,7 @@
 """Streams against batches: events framed with state over many triggers, ledgers, progress."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,41 @@ def test_progress_keeps_the_last_update(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
     captures.progress_snapshots(stream, f"{tmp_path}/snap", "session_id", "at", f"{tmp_path}/check").awaitTermination(180)
     assert {r.session_id: r.status for r in captures.snapshot(spark, f"{tmp_path}/snap", 1).collect()} == {1: "DONE", 2: "RUNNING", 3: "RUNNING"}
+
+
+def test_a_batch_costs_its_rows_and_a_restart_changes_nothing(spark, tmp_path):
+    from pathlib import Path
+
+    schema, rng, last, count = "session_id long, at long, status string", random.Random(4), {}, 11
+    sizes = [400] + [3] * (count - 1)
+    folder = Path(tmp_path) / "snap"
+
+    def feed(k):
+        rows = [(key, rng.randrange(4), f"s{k}") for key in (range(400) if k == 0 else rng.sample(range(500), sizes[k]))]
+        for key, at, status in rows:
+            if key not in last or at >= last[key][0]:
+                last[key] = (at, status)
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+        query = captures.progress_snapshots(stream, str(folder), "session_id", "at", f"{tmp_path}/check")
+        query.awaitTermination(180)
+        assert query.exception() is None
+
+    for k in range(count):
+        feed(k)
+        if k in (4, 10):
+            run()  # stopped and started again in between
+    got = {r.session_id: (r["at"], r.status) for r in captures.snapshot(spark, str(folder), count - 1).collect()}
+    assert got == last
+    held = {tuple(map(int, p.name.split("-"))) for p in folder.iterdir() if p.is_dir()}
+    assert set(captures._runs(count)) <= held and len(held) <= len(captures._runs(count)) + 2 * captures.FAN_OUT
+    small = [spark.read.parquet(str(folder / f"{a}-{b}-{c}")).count() for a, b, c in captures._runs(count) if b >= 8]
+    assert small and max(small) <= 3 * captures.FAN_OUT
+
+
+@pytest.mark.parametrize("batches", [1, 4, 5, 16, 23, 64])
+def test_runs_hold_each_batch_once(batches):
+    runs = captures._runs(batches)
+    assert [x for _, a, b in runs for x in range(a, b)] == list(range(batches))
