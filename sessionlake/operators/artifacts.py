@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.operators.messages import stripped
+from sessionlake.sources.storage import stored
 
 
 def _codes(*codes: Column) -> Column:
@@ -80,11 +81,22 @@ def batch_status(results: DataFrame) -> DataFrame:
 
 
 def selected_slice(rows: DataFrame, order: list[str], offset: int = 0, limit: int | None = None) -> DataFrame:
-    """The rows from an offset on in an order, `limit` at most if given."""
+    """The rows from an offset on in an order, `limit` at most if given; rows of equal order come in any.
+
+    Without a limit rows are dealt out by ranges of the order, and a range's first number is the count of those before it.
+    """
     if offset < 0 or (limit is not None and limit < 0):
         raise ValueError("offset and limit must not be negative")
-    rest = rows.orderBy(*order).offset(offset)
-    return rest if limit is None else rest.limit(limit)
+    if limit is not None:
+        return rows.orderBy(*order).offset(offset).limit(limit)
+    ranged = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    # the number within a range is the lower 33 bits
+    part = F.shiftright("_at", 33)
+    counts = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("_part", before.alias("_before"))
+    met = ranged.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return met.where(F.col("_before") + F.col("_at").bitwiseAND(F.lit(2**33 - 1)) >= offset).select(*rows.columns).orderBy(*order)
 
 
 def seeded_choice(rows: DataFrame, group: str, key: str, seed: str) -> DataFrame:

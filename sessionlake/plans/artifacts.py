@@ -197,8 +197,8 @@ def judgement_errors(spark, sf_dir):
 
 
 def gate_errors(spark, sf_dir):
-    j = _judgements(spark, sf_dir).selectExpr("report_id", "decision", "CASE WHEN report_id % 3 > 0 THEN 'DEFERRED' END AS route", "map_concat(map_filter(ratings, (k, v) -> k <> 'estimated_cost'), map('estimated_cost', CAST(report_id % 5 AS INT))) AS ratings", "CASE WHEN report_id % 4 > 0 THEN true END AS review_required", "confidence").where("report_id % 97 > 8")
-    return artifacts.gate_errors(j).where("code not in ('TASK_IDENTIFIABILITY_INVALID', 'FAILURE_EVIDENCE_INVALID', 'INITIAL_ENVIRONMENT_VISIBILITY_INVALID', 'ENVIRONMENT_COMPLETION_VALUE_INVALID', 'VERIFIER_CONSTRUCTABILITY_INVALID', 'EPISODE_BOUNDARY_CONFIDENCE_INVALID', 'PRIVACY_PROCESSABILITY_INVALID')")
+    j = _judgements(spark, sf_dir).selectExpr("report_id", "decision", "CASE WHEN report_id % 3 > 0 THEN 'DEFERRED' END AS route", "map_concat(map_filter(ratings, (k, v) -> k <> 'estimated_cost'), map('estimated_cost', CAST(report_id % 5 AS INT))) AS ratings", "CASE WHEN report_id % 4 > 0 THEN true END AS review_required", "confidence")
+    return artifacts.gate_errors(j)
 
 
 def report_errors(spark, sf_dir):
@@ -328,8 +328,9 @@ e AS (SELECT j.k, decision, dn, rubric_errors, concat_ws(',', CASE WHEN odd THEN
  CASE WHEN outcome IN ('FAILURE', 'INCOMPLETE') AND decision IN ('REVIEW', 'DEFER') AND needs = false THEN 'UNCERTAIN_WORK_DECISION' END) AS errors FROM j JOIN n ON n.k = j.k)
 SELECT k AS report_id, CASE WHEN errors = '' AND rubric_errors = 0 THEN 'COMPLETE' ELSE 'REVIEW' END AS status, CASE WHEN errors = '' AND rubric_errors = 0 THEN decision ELSE 'REVIEW' END AS final_decision, errors, CAST(rubric_errors AS INTEGER) AS rubric_errors FROM e""",
     "gate_errors": """
-WITH g AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderkey % 97 > 8) SELECT k AS report_id, 'DECISION_INVALID' AS code FROM g WHERE c % 4 = 3 UNION ALL SELECT k, 'ROUTE_INVALID' FROM g WHERE k % 3 = 0 UNION ALL SELECT k, 'ESTIMATED_COST_INVALID' FROM g WHERE k % 5 = 4
-UNION ALL SELECT k, 'REVIEW_REQUIRED_INVALID' FROM g WHERE k % 4 = 0 UNION ALL SELECT k, 'CONFIDENCE_INVALID' FROM g WHERE k % 10 < 2""",
+WITH g AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders) SELECT k AS report_id, 'DECISION_INVALID' AS code FROM g WHERE c % 4 = 3 UNION ALL SELECT k, 'ROUTE_INVALID' FROM g WHERE k % 3 = 0 UNION ALL SELECT k, 'ESTIMATED_COST_INVALID' FROM g WHERE k % 5 = 4
+UNION ALL SELECT k, 'REVIEW_REQUIRED_INVALID' FROM g WHERE k % 4 = 0 UNION ALL SELECT k, 'CONFIDENCE_INVALID' FROM g WHERE k % 10 < 2"""
+    + "".join(f" UNION ALL SELECT k, '{r.upper()}_INVALID' FROM g WHERE (k % {i + 3} - CASE WHEN k % {97 + i} = 0 THEN 9 ELSE 0 END) % 4 < 0" for i, r in enumerate(artifacts.RATINGS[:-1])),
     "report_errors": """
 WITH r AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders) SELECT k AS report_id, 'PRIMARY_FAILURE_INVALID' AS code FROM r WHERE c % 3 = 2 UNION ALL SELECT k, 'FAILURE_LAYER_INVALID' FROM r WHERE c % 7 = 0 UNION ALL SELECT k, 'RECOVERABILITY_INVALID' FROM r WHERE c % 8 = 0
 UNION ALL SELECT k, 'ATTRIBUTION_INVALID' FROM r WHERE k % 4 IN (1, 2) UNION ALL SELECT k, 'CONFIDENCE_INVALID' FROM r WHERE k % 10 < 2 UNION ALL SELECT k, 'PRIMARY_STEP_INVALID' FROM r WHERE k % 6 = 0""",

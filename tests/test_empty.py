@@ -5,7 +5,7 @@ import pytest
 from sessionlake.plans import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-TABLES = "customer part orders lineitem events documents conversations labels pages benchmark".split()
+TABLES = "customer supplier part orders lineitem events documents conversations labels pages benchmark".split()
 #: One row of totals, whatever there is.
 TOTALS = {"tree_files", "curation_metrics", "rollout_metrics", "duplicate_lines", "set_digest", "inventory_errors"}
 #: Reads files that the adapter writes one a row: without rows there is no path.

@@ -139,3 +139,10 @@ def test_trees_and_slices(spark, tmp_path):
     assert session_files.tree_digests(files.withColumn("tree", F.lit(1))).first().digest == want
     with pytest.raises(ValueError):
         artifacts.selected_slice(files, ["path"], -1)
+
+
+def test_slices_without_a_limit(spark):
+    t = spark.createDataFrame([(k * 7 % 101, str(k)) for k in range(101)] + [(None, "x")], "a int, _part string").repartition(6)
+    for offset in (0, 1, 50, 102, 500):
+        got = [r.a for r in artifacts.selected_slice(t, ["a"], offset).collect()]
+        assert got == [None, *range(101)][offset:]
