@@ -31,10 +31,9 @@ def event_fields(frame: bytes) -> tuple[str | None, str | None, str | None]:
     return text[0], text[1], b"\n".join(data).decode("utf-8", "replace") if any(data) else None
 
 
-def _framed(key: str, buffer: bytes, sequence: int, chunks: pd.DataFrame) -> tuple[list[tuple], bytes, int]:
-    """The events that chunks complete, what is left of the bytes, and the next event's number."""
-    out, ended = [], bool(chunks["last"].fillna(False).any())
-    buffer += b"".join(bytes(c) for c in chunks.sort_values("pos")["chunk"] if c is not None)
+def _framed(key: str | None, buffer: bytes, sequence: int, ended: bool) -> tuple[list[tuple], bytes, int]:
+    """The events that a response's bytes complete, what is left of them, and the next event's number."""
+    out = []
     frames = FRAME_END.split(buffer)
     rest = frames.pop()
     for frame, tail in [*((f, False) for f in frames), *([(rest, True)] if ended and rest else [])]:
@@ -44,20 +43,56 @@ def _framed(key: str, buffer: bytes, sequence: int, chunks: pd.DataFrame) -> tup
     return out, b"" if ended else rest, sequence
 
 
+def _framed_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Chunks in order of exchange and place: many responses a batch; one that goes on in the next leaves its bytes and number."""
+    columns = [c.split()[0] for c in EVENTS.split(", ")]
+    held, buffer, sequence, ended, parts = None, b"", 0, False, []
+    for batch in batches:
+        out = []
+        for key, chunk, last in zip(batch["exchange_id"], batch["chunk"], batch["last"], strict=True):
+            if held is None or held[0] != key:
+                out += _framed(held[0], buffer + b"".join(parts), sequence, ended)[0] if held else []
+                held, buffer, sequence, ended, parts = (key,), b"", 0, False, []
+            if chunk is not None:
+                parts.append(chunk)
+            ended = ended or bool(last)
+        if held:
+            found, buffer, sequence = _framed(held[0], buffer + b"".join(parts), sequence, False)
+            out, parts = out + found, []
+        yield pd.DataFrame(out, columns=columns)
+    if held:
+        yield pd.DataFrame(_framed(held[0], buffer, sequence, ended)[0], columns=columns)
+
+
+def _first_events(raw: pd.Series) -> pd.DataFrame:
+    none = (None, None, None)
+    read = lambda x: none if x is None else next((event_fields(f) for f in FRAME_END.split(x) if f), none)
+    return pd.DataFrame([read(x) for x in raw], columns=["event", "id", "data"])
+
+
+def first_event(raw: Column) -> Column:
+    """The first event (event, id, data) of bytes that are read alone; all null where there is none."""
+    return F.pandas_udf(_first_events, "event string, id string, data string")(raw)
+
+
 def sse_events(chunks: DataFrame) -> DataFrame:
     """(exchange_id, sequence, event, id, data, raw_size, unterminated) of byte chunks (exchange_id, pos, chunk, last) of a batch or a stream.
 
     A frame ends with an empty line, which may be cut anywhere; what follows the last one comes out, marked, with the chunk
     that is `last`. On a stream the bytes that are left and the next number are an exchange's state; a trigger brings an
-    exchange's chunks in their order. A response's chunks are one task's, other exchanges' are not.
+    exchange's chunks in their order. A response's chunks are one task's, other exchanges' are not; a batch's chunks pass
+    tasks in order, so a response costs its bytes, no call of its own.
     """
     columns = [c.split()[0] for c in EVENTS.split(", ")]
     if not chunks.isStreaming:
-        return chunks.groupBy("exchange_id").applyInPandas(lambda key, t: pd.DataFrame(_framed(key[0], b"", 0, t)[0], columns=columns), EVENTS)
+        rows = chunks.select(F.col("exchange_id").cast("string").alias("exchange_id"), "pos", "chunk", F.coalesce("last", F.lit(False)).alias("last"))
+        return rows.repartition("exchange_id").sortWithinPartitions("exchange_id", F.asc_nulls_last("pos")).mapInPandas(_framed_in_order, EVENTS)
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         buffer, sequence = state.get if state.exists else (b"", 0)
-        out, buffer, sequence = _framed(key[0], bytes(buffer), sequence, pd.concat(list(parts)))
+        new = pd.concat(list(parts)).sort_values("pos")
+        buffer = bytes(buffer) + b"".join(bytes(c) for c in new["chunk"] if c is not None)
+        out, buffer, sequence = _framed(key[0], buffer, sequence, bool(new["last"].fillna(False).any()))
         state.update((buffer, sequence))
         yield pd.DataFrame(out, columns=columns)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sessionlake.functions.values import json_value
 from sessionlake.operators.artifacts import body_errors
 from sessionlake.sources.storage import stored
-from sessionlake.streaming.captures import USAGE, folded_blocks, folded_messages, sse_events
+from sessionlake.streaming.captures import USAGE, first_event, folded_blocks, folded_messages, sse_events
 
 BASE64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
 #: What is compared of an event, of a content block and of a message.
@@ -64,12 +64,10 @@ def record_errors(exchanges: DataFrame, frames: DataFrame) -> DataFrame:
     out = [_found(body_errors(exchanges), none, F.col("code")), _found(bad_frames, F.col("sequence"), renamed("FRAME"))]
     out.append(_found(exchanges.groupBy("exchange_id").count().where("count > 1"), none, "EXCHANGE_REPEATED"))
 
-    # each frame's bytes, read alone
-    name = F.to_json(F.struct("exchange_id", "sequence"))
+    # each frame's bytes, read alone: no shuffle, as no other frame is needed
     chunk = lambda rows, key: rows.select(key.alias("exchange_id"), F.lit(0).cast("long").alias("pos"), _bytes(F.col("raw_base64")).alias("chunk"), F.lit(True).alias("last")).where("chunk is not null")
-    alone = sse_events(chunk(frames, name)).where("sequence = 0").select(F.col("exchange_id").alias("_name"), F.struct(*EVENT).alias("read"))
-    told = frames.select("exchange_id", "sequence", name.alias("_name"), F.struct(*EVENT).alias("told"), _bytes(F.col("raw_base64")).alias("_raw"))
-    out.append(_unlike(told.where("_raw is not null").join(alone, "_name", "left"), F.col("sequence"), "FRAME_FIELD_MISMATCH", EVENT, "told", "read"))
+    told = frames.select("exchange_id", "sequence", F.struct(*EVENT).alias("told"), _bytes(F.col("raw_base64")).alias("_raw"))
+    out.append(_unlike(told.where("_raw is not null").withColumn("read", first_event("_raw")), F.col("sequence"), "FRAME_FIELD_MISMATCH", EVENT, "told", "read"))
     counts = frames.groupBy("exchange_id").agg(F.count("*").alias("n"), F.min("sequence").alias("low"), F.max("sequence").alias("high"), F.count_distinct("sequence").alias("different"))
     met = streamed.select("exchange_id", "event_count").join(counts, "exchange_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     out.append(_found(met.where("n > 0 and not (low = 0 and high = n - 1 and different = n)"), none, "FRAME_SEQUENCE"))

@@ -71,3 +71,13 @@ def test_each_disagreement_has_its_code(spark):
         got.setdefault(r.exchange_id, []).append((r.at, r.code, r.field))
     assert {k: sorted(v, key=repr) for k, v in got.items()} == {k: sorted(v, key=repr) for k, v in want.items() if v}
     assert records.record_errors(e.limit(0), f.limit(0)).count() == 0
+
+
+def test_repeated_frames_are_read_alone(spark):
+    (row, own), (_, other) = record("twice"), record("twice")
+    other[0][2:5] = ["ping", "4", "{}"]
+    other[0][5:] = body(b"event: ping\nid: 4\ndata: {}\n\n")
+    found = records.record_errors(spark.createDataFrame([row], EXCHANGE), spark.createDataFrame([*own, other[0]], FRAME))
+    assert not found.where("code = 'FRAME_FIELD_MISMATCH'").count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan
