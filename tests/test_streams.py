@@ -105,3 +105,16 @@ def test_a_batch_costs_its_rows_and_a_restart_changes_nothing(spark, tmp_path):
 def test_runs_hold_each_batch_once(batches):
     runs = captures._runs(batches)
     assert [x for _, a, b in runs for x in range(a, b)] == list(range(batches))
+
+
+def test_a_batch_needs_no_call_for_each_response(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = [*chunks(4), (None, 1, b"\n\ndata: y", True), (None, 0, b"data: x", None), (None, None, None, None), ("c", 0, b"data: open", False)]
+        events = captures.sse_events(spark.createDataFrame(rows, SCHEMA).repartition(3))
+        assert "FlatMapGroupsInPandas" not in events._jdf.queryExecution().executedPlan().toString()
+        got = {(r.exchange_id, r.sequence): (r.data, r.raw_size, r.unterminated) for r in events.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {(key, r.sequence): (r.data, r.raw_size, r.unterminated) for key in RAW for r in captures.sse_events(spark.createDataFrame([(key, 0, RAW[key], True)], SCHEMA)).collect()}
+    assert got == {**want, (None, 0): ("x", 7, False), (None, 1): ("y", 7, True)}
