@@ -30,17 +30,18 @@ def uneven_lines(returns: DataFrame, ranges: DataFrame, key: str = "return_id",
     met = ranges.select(key, F.coalesce("first", F.lit(1)).cast("long").alias("first"), F.col("last").cast("long").alias("last")).join(sizes, key)
     fine = met.withColumn("last", F.coalesce("last", "_n")).where("first >= 1 and first <= last and last <= _n")
     end = lambda at, delta: F.struct(at.cast("long").alias("at"), F.lit(delta).cast("long").alias("delta"))
-    ends = fine.select(key, F.explode(F.array(end(F.col("first"), 1), end(F.col("last") + 1, -1))).alias("e"))
+    ends = fine.select(key, "_n", F.explode(F.array(end(F.col("first"), 1), end(F.col("last") + 1, -1))).alias("e"))
     # every return has an end at its first line and after its last one
-    bounds = sizes.select(key, F.explode(F.array(end(F.lit(1), 0), end(F.col("_n") + 1, 0))).alias("e"))
-    summed = ends.union(bounds).groupBy(key, F.col("e.at").alias("at")).agg(F.sum("e.delta").alias("delta")).withColumn("part", F.expr(f"at div {stretch}"))
+    bounds = sizes.select(key, "_n", F.explode(F.array(end(F.lit(1), 0), end(F.col("_n") + 1, 0))).alias("e"))
+    # _n is one for each key: it goes along, so that sizes need not be met again
+    summed = ends.union(bounds).groupBy(key, "_n", F.col("e.at").alias("at")).agg(F.sum("e.delta").alias("delta")).withColumn("part", F.expr(f"at div {stretch}"))
     parts = summed.groupBy(key, "part").agg(F.sum("delta").alias("total"), F.min("at").alias("begins"))
     order = Window.partitionBy(key).orderBy("part")
     placed = parts.select(key, "part", F.coalesce(F.sum("total").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.lead("begins").over(order).alias("after"))
+    # the sweep comes before the join, which finds its rows in the sweep's order: one sort for both
     inside = Window.partitionBy(key, "part").orderBy("at")
-    rows = summed.join(placed, [key, "part"]).join(sizes, key)
-    runs = rows.select(key, "part", "_n", F.col("at").alias("first"), (F.col("base") + F.sum("delta").over(inside)).alias("times"), (F.coalesce(F.lead("at").over(inside), "after") - 1).alias("last"))
-    runs = runs.where(F.col("first") <= F.col("_n"))
+    swept = summed.select(key, "part", "_n", F.col("at").alias("first"), F.sum("delta").over(inside).alias("inner"), F.lead("at").over(inside).alias("next")).where(F.col("first") <= F.col("_n"))
+    runs = swept.join(placed, [key, "part"]).select(key, "first", (F.col("base") + F.col("inner")).alias("times"), (F.coalesce("next", "after") - 1).alias("last"))
     # where one range ends and the next begins nothing changes: what only touches is one run
     whole = Window.partitionBy(key).orderBy("first")
     uneven = runs.where("times <> 1")

@@ -79,3 +79,14 @@ def test_a_billion_lines_are_a_few_rows(spark):
     a = spark.createDataFrame([("r", n)], "return_id string, line_count long")
     b = spark.createDataFrame([("r", 1, 400_000_000), ("r", 400_000_001, 500_000_000), ("r", 450_000_000, 460_000_000), ("r", 700_000_000, None)], "return_id string, first long, last long")
     assert sorted(tuple(r) for r in coverage.uneven_lines(a, b).collect()) == [("r", 450_000_000, 460_000_000, 2), ("r", 500_000_001, 699_999_999, 0)]
+
+
+def test_a_sweep_sorts_ends_once(spark):
+    from sessionlake.operators import coverage
+
+    a, b = spark.createDataFrame([("r", 60)], "return_id string, line_count long"), spark.createDataFrame([("r", 1, 40), ("r", 30, 60)], "return_id string, first long, last long")
+    got = coverage.uneven_lines(a, b, stretch=16)
+    assert [tuple(r) for r in got.collect()] == [("r", 30, 40, 2)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # sizes meet the ranges alone, in either use of the ends; the sweep meets its stretches
+    assert plan.count("Join Inner") == 3
