@@ -60,11 +60,16 @@ def workspace_profiles(files: DataFrame, workspace: str = "workspace_id", path:
     return met.select(workspace, "files", "languages", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("capabilities", none).alias("capabilities"))
 
 
+#: Members of a kind that are paired at once.
+BLOCK = 2048
+
+
 def gap_pairs(profiles: DataFrame, workspace: str = "workspace_id", capabilities: str = "capabilities", least: int = 2) -> DataFrame:
     """(reference, target, gap): ordered pairs of workspaces where the reference has `least` capabilities or more that the target lacks.
 
-    Workspaces are few kinds: they are paired by their sets of markers, at most 2 to the number of MARKERS, and each kind's
-    pair is given to its members in an equi-join.
+    Workspaces are few kinds: they are paired by their sets of markers, at most 2 to the number of MARKERS. A kind's members
+    are dealt into blocks of about BLOCK, and pairs of blocks to all tasks: however common a kind is, no task holds more
+    of it than two blocks at once. All pairs come out, so rows grow with the square of the workspaces.
     """
     if least < 1:
         raise ValueError("least must be positive")
@@ -74,8 +79,14 @@ def gap_pairs(profiles: DataFrame, workspace: str = "workspace_id", capabilities
     # of each marker, the kinds that lack it: both sides are bounded by the number of marker sets
     lacks = kinds.select(F.col("kind").alias("b"), F.explode(F.array_except(F.array(*map(F.lit, MARKERS)), F.split("kind", ","))).alias("marker"))
     gaps = marked.join(lacks, "marker").groupBy("a", "b").agg(F.array_sort(F.collect_set("marker")).alias("gap")).where(F.size("gap") >= least)
-    left, right = kind.select(F.col("id").alias("reference"), F.col("kind").alias("a")), kind.select(F.col("id").alias("target"), F.col("kind").alias("b"))
-    return left.join(gaps, "a").join(right, "b").where("reference <> target").select("reference", "target", "gap")
+    blocks = F.broadcast(kind.groupBy("kind").agg(F.ceil(F.count("*") / BLOCK).alias("_n")))
+    dealt = kind.join(blocks, "kind").groupBy("kind", F.pmod(F.xxhash64("id"), "_n").alias("block")).agg(F.collect_list("id").alias("ids"))
+    side = lambda k, ids: dealt.select(F.col("kind").alias(k), F.col("block").alias(f"_{k}"), F.col("ids").alias(ids))
+    # a number of its own keeps few bytes, of which many rows are made, from being put into few tasks
+    tasks = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = gaps.join(side("a", "_references"), "a").join(side("b", "_targets"), "b").repartition(tasks, "a", "_a", "b", "_b")
+    each = met.select("gap", "_targets", F.explode("_references").alias("reference")).select("reference", F.explode("_targets").alias("target"), "gap")
+    return each.where("reference <> target")
 
 
 def secret_findings(files: DataFrame, path: str = "path", text: str = "text", detectors: list[tuple[str, str]] | None = None) -> DataFrame:

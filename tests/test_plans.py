@@ -146,3 +146,13 @@ def test_slices_without_a_limit(spark):
     for offset in (0, 1, 50, 102, 500):
         got = [r.a for r in artifacts.selected_slice(t, ["a"], offset).collect()]
         assert got == [None, *range(101)][offset:]
+
+
+def test_pairs_of_a_common_kind_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(texts, "BLOCK", 3, raising=False)
+    kinds = [["api", "cli", "export"], [], ["api"], None]
+    rows = [(k, kinds[0 if k < 20 else 1 if k < 40 else 2 + k % 2]) for k in range(46)]
+    got = texts.gap_pairs(spark.createDataFrame(rows, "workspace_id long, capabilities array<string>"), least=2).withColumn("task", F.spark_partition_id()).collect()
+    want = [(a, b, sorted(set(x or []) - set(y or []))) for a, x in rows for b, y in rows if a != b and len(set(x or []) - set(y or [])) >= 2]
+    assert sorted((r.reference, r.target, r.gap) for r in got) == sorted(want)
+    assert len({r.task for r in got}) > 4
