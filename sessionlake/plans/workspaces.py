@@ -9,12 +9,18 @@ from sessionlake.plans.artifacts import _table
 from sessionlake.sources.storage import shared_folder
 
 
+#: Suites of a run.
+SUITES = 100
+
+
 def test_results(spark, sf_dir):
-    """Result files of test runs, written one a supplier and read back."""
+    """Result files of test runs, written and read back: a supplier is a suite, a run has SUITES of them at most and one file, as files cost more than what is in them."""
     case = "concat('<testcase name=\"t', l_linenumber, '\" classname=\"c', l_orderkey, '\">', CASE l_orderkey % 5 WHEN 0 THEN '<failure message=\"bad\"> deep </failure>' WHEN 1 THEN '<error message=\"broke\"/><failure>x</failure>' WHEN 2 THEN '<skipped/>' ELSE '' END, '</testcase>')"
-    rows = _table(spark, sf_dir, "lineitem", "l_suppkey", f"{case} AS c").groupBy("l_suppkey").agg(F.concat(F.lit("<testsuite>"), F.array_join(F.collect_list("c"), ""), F.lit("</testsuite>")).alias("value"))
+    rows = _table(spark, sf_dir, "lineitem", "l_suppkey", f"{case} AS c").groupBy("l_suppkey").agg(F.concat(F.lit("<testsuite>"), F.array_join(F.collect_list("c"), ""), F.lit("</testsuite>")).alias("suite"))
+    # a file has one root: what follows its end is not read
+    runs = rows.groupBy(F.floor(F.col("l_suppkey") / SUITES).alias("run")).agg(F.concat(F.lit("<testsuites>"), F.array_join(F.collect_list("suite"), ""), F.lit("</testsuites>")).alias("value"))
     folder = shared_folder(spark)
-    rows.write.partitionBy("l_suppkey").text(folder)
+    runs.write.partitionBy("run").text(folder)
     return workspaces.test_results(spark, folder)
 
 

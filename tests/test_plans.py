@@ -156,3 +156,12 @@ def test_pairs_of_a_common_kind_are_dealt_to_tasks(spark, monkeypatch):
     want = [(a, b, sorted(set(x or []) - set(y or []))) for a, x in rows for b, y in rows if a != b and len(set(x or []) - set(y or [])) >= 2]
     assert sorted((r.reference, r.target, r.gap) for r in got) == sorted(want)
     assert len({r.task for r in got}) > 4
+
+
+def test_suites_share_result_files(spark, monkeypatch):
+    from sessionlake.plans import workspaces
+
+    suppliers = spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_suppkey").distinct().count()
+    assert len(QUERIES["test_results"](spark, DATA).inputFiles()) < suppliers
+    monkeypatch.setattr(workspaces, "SUITES", 1)
+    assert len(QUERIES["test_results"](spark, DATA).inputFiles()) == suppliers
