@@ -6,14 +6,21 @@ byte offset are prefix sums in two levels: within its split, and over the splits
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sessionlake.functions.values import has_list, is_json, json_value
+from sessionlake.sources.digests import chained_digests
+from sessionlake.sources.storage import stored
+
+#: Files of more bytes are read by splits.
+WHOLE = 32 << 20
+#: Bytes of a piece of a file, about.
+PIECE = 1 << 20
 
 
 def file_lines(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
@@ -38,7 +45,7 @@ def file_lines(spark: SparkSession, path: str, root: str | None = None) -> DataF
     # the bytes as they are: encode() would mend what is no UTF-8
     own = F.col("raw").cast("binary")
     raw = F.when(length == F.col("bytes"), F.concat(own, F.unhex(F.lit("0A")))).otherwise(own)
-    source = F.substring_index(F.col("file"), root.rstrip("/") + "/", -1) if root else F.col("file")
+    source = below(root, "file") if root else F.col("file")
     return met.select(source.alias("source"), (F.col("n0") + F.col("in_block")).cast("long").alias("line_number"), "raw", F.sha2(raw, 256).alias("line_sha256"), offset.cast("long").alias("byte_offset"), length.cast("long").alias("byte_length"))
 
 
@@ -60,27 +67,11 @@ def session_inventory(lines: DataFrame, rubric: str = "source") -> DataFrame:
     return lines.withColumns(named).withColumn("input_status", F.when(F.col("error").isNull(), "PENDING").otherwise("INVALID_INPUT"))
 
 
-def _digested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Lines in order of source and offset."""
-    source, running = None, None
-    for batch in batches:
-        out = []
-        for row in batch.itertuples(index=False):
-            if source is None or source[0] != row.source:
-                out += [(source[0], running.hexdigest())] if source else []
-                source, running = (row.source,), hashlib.sha256()
-            running.update(row.bytes)
-        yield pd.DataFrame(out, columns=["source", "sha256"])
-    if source:
-        yield pd.DataFrame([(source[0], running.hexdigest())], columns=["source", "sha256"])
-
-
 def source_digests(lines: DataFrame, source: str = "source") -> DataFrame:
-    """(source, sha256) of the whole files behind file_lines(): each file's lines stream in order through one task, which holds a batch of them."""
+    """(source, sha256) of the whole files behind file_lines(): lines go on where those before them ended, as in chained_digests()."""
     own = F.col("raw").cast("binary")
     whole = F.when(F.col("byte_length") > F.octet_length(own), F.concat(own, F.unhex(F.lit("0A")))).otherwise(own)
-    rows = lines.select(F.col(source).alias("source"), "byte_offset", whole.alias("bytes")).repartition("source").sortWithinPartitions("source", "byte_offset")
-    return rows.mapInPandas(_digested, f"source {dict(rows.dtypes)['source']}, sha256 string").withColumnRenamed("source", source)
+    return chained_digests(lines.select(F.col(source).alias("whole"), F.col("byte_offset").alias("at"), whole.alias("bytes"))).select(F.col("whole").alias(source), "sha256")
 
 
 def source_summary(inventory: DataFrame, declared: DataFrame, source: str = "source") -> DataFrame:
@@ -162,14 +153,73 @@ def listed_files(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([(p,) for p in found], "path string")
 
 
-def tree_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path below root, sha256, size) of all files of a folder. Spark's readers pass over empty files: what is listed and not read is one."""
+def below(root: str, path: str | Column) -> Column:
+    """A path below root; whether and how either names its file system does not matter."""
+    return F.substring_index(path, re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "", root).rstrip("/") + "/", -1)
+
+
+def decoded(path: str) -> Column:
+    """A name as it is: in lists of files it is escaped as in an address."""
+    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of splits, in their order, as pieces: (file, size, block, inside, bytes), each line with a line feed; inside is the piece's place in its split."""
+    key, inside, held, n = None, 0, [], 0
+    for batch in batches:
+        out = []
+        for *own, value in batch.itertuples(index=False):
+            if own != key or n >= PIECE:
+                out += [(*key, inside, b"".join(held))] if held else []
+                key, inside, held, n = own, inside + n if own == key else 0, [], 0
+            held += (value, b"\n")
+            n += len(value) + 1
+        yield pd.DataFrame(out, columns=["file", "size", "block", "inside", "bytes"])
+    if held:
+        yield pd.DataFrame([(*key, inside, b"".join(held))], columns=["file", "size", "block", "inside", "bytes"])
+
+
+def _long_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path below root, at, bytes) of files of more than WHOLE bytes: they are read by splits and stored as pieces, so no task reads more than its splits. A line must fit one row."""
+    text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root).where(F.col("_metadata.file_size") > WHOLE)
+    rows = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+    packed = stored(rows.mapInPandas(_packed, "file string, size long, block long, inside long, bytes binary").withColumn("length", F.octet_length("bytes").cast("long")))
+    blocks = packed.groupBy(F.col("file").alias("_f"), F.col("block").alias("_k")).agg(F.sum("length").alias("_b"))
+    earlier = Window.partitionBy("_f").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_f", "_k", F.coalesce(F.sum("_b").over(earlier), F.lit(0)).alias("_b0"))
+    at = (F.col("_b0") + F.col("inside")).cast("long")
+    # behind a last line without a line feed one was put
+    own = F.substring("bytes", F.lit(1), F.least(F.col("length"), F.col("size") - at).cast("int"))
+    met = packed.join(F.broadcast(starts), (F.col("file") == F.col("_f")) & (F.col("block") == F.col("_k")))
+    return met.select(below(root, decoded("file")).alias("path"), at.alias("at"), own.alias("bytes"))
+
+
+def tree_files(spark: SparkSession, root: str, whole: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(path below root, sha256, size) of all files of a folder. Spark's readers pass over empty files: what is listed and not read is one.
+
+    With `whole`, files to whose paths it gives the same value are the parts of one, in order of paths, and path is that
+    value. However long a file is, a task reads a split or a segment of it: see chained_digests().
+    """
     read = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(root)
-    below = lambda c: F.substring_index(c, root.rstrip("/") + "/", -1).alias("path")
-    full = read.select(below(F.col("path")), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
-    # names in lists are escaped as in an address
-    listed = listed_files(spark, root).select(below(F.try_url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))))
-    empty = listed.join(read.select(below(F.col("path"))), "path", "left_anti").select("path", F.sha2(F.lit(b""), 256).alias("sha256"), F.lit(0).cast("long").alias("size"))
+    small = read.where(F.col("length") <= WHOLE)
+    long = None if read.where(F.col("length") > WHOLE).select("length").isEmpty() else _long_files(spark, root)
+    names = read.select(below(root, "path").alias("path"), F.col("length").alias("size"))
+    listed = listed_files(spark, root).select(below(root, decoded("path")).alias("path"))
+    if whole is None:
+        full = small.select(below(root, "path").alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+        if long is not None:
+            full = full.union(chained_digests(long.withColumnRenamed("path", "whole")).withColumnRenamed("whole", "path"))
+    else:
+        slices = F.transform(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / PIECE).cast("int")), lambda k: F.struct((k.cast("long") * PIECE).alias("at"), F.substring("content", k * PIECE + 1, F.lit(PIECE)).alias("bytes")))
+        pieces = small.select(below(root, "path").alias("path"), F.explode(slices).alias("s")).select("path", "s.at", "s.bytes")
+        pieces = pieces if long is None else pieces.union(long)
+        before = Window.partitionBy("whole").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+        parts = names.select(F.col("path").alias("_p"), whole(F.col("path")).alias("whole"), "size", "path").withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0))).select("_p", "whole", "start")
+        # the driver lists the files, so the list fits one task, and the bytes stay where they are read
+        placed = pieces.join(F.broadcast(parts), F.col("path") == F.col("_p")).select("whole", (F.col("start") + F.col("at")).alias("at"), "bytes")
+        full = chained_digests(placed).withColumnRenamed("whole", "path")
+        names, listed = (t.select(whole(F.col("path")).alias("path")).distinct() for t in (names, listed))
+    empty = listed.join(names.select("path"), "path", "left_anti").select("path", F.sha2(F.lit(b""), 256).alias("sha256"), F.lit(0).cast("long").alias("size"))
     return full.union(empty)
 
 

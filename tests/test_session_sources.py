@@ -62,3 +62,46 @@ def test_trees_hold_empty_files(spark, tmp_path):
         (tmp_path / name).write_bytes(raw)
     found = session_files.tree_files(spark, str(tmp_path))
     assert {r.path: (r.sha256, r["size"]) for r in found.collect()} == {n: (hashlib.sha256(x).hexdigest(), len(x)) for n, x in files.items()}
+
+
+def test_a_digest_goes_on_in_another_process():
+    from sessionlake.sources.digests import Sha256
+
+    data, state, got = bytes(range(256)) * 3, None, []
+    for k in range(0, len(data), 77):
+        running = Sha256(state)
+        running.update(data[k : k + 77])
+        state = running.state
+        got.append(running.hexdigest())
+    assert got == [hashlib.sha256(data[: k + 77]).hexdigest() for k in range(0, len(data), 77)]
+
+
+@pytest.mark.parametrize("segment", [50, 1 << 20])
+def test_a_long_file_is_digested_in_turns(spark, tmp_path, monkeypatch, segment):
+    from sessionlake.sources import digests
+
+    monkeypatch.setattr(digests, "SEGMENT", segment)
+    monkeypatch.setattr(session_files, "WHOLE", 40)
+    files = {"t/a": b"x" * 39 + b"\n", "t/b": b"", "t/c": b"".join(b"%d\n" % k for k in range(60)) + b"\xff", "t/d": b"\n\n", "u+/a b": b"\n" * 41, "u+/c": b"z" * 41, "v/é": b"", "w": b"\r\n" * 30}
+    for name, raw in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(raw)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        each = {r.path: (r.sha256, r["size"]) for r in session_files.tree_files(spark, str(tmp_path)).collect()}
+        joined = {r.path: (r.sha256, r["size"]) for r in session_files.tree_files(spark, str(tmp_path), lambda path: F.substring_index(path, "/", 1)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    told = lambda x: (hashlib.sha256(x).hexdigest(), len(x))
+    assert each == {n: told(x) for n, x in files.items()}
+    tops = {n.split("/")[0] for n in files}
+    assert joined == {t: told(b"".join(files[n] for n in sorted(files) if n.split("/")[0] == t)) for t in tops}
+
+
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_a_root_may_name_its_file_system(spark, tmp_path, prefix):
+    (tmp_path / "d e").mkdir()
+    (tmp_path / "d e" / "x").write_bytes(b"1")
+    (tmp_path / "y").write_bytes(b"")
+    found = session_files.tree_files(spark, f"{prefix}{tmp_path}")
+    assert {r.path: r["size"] for r in found.collect()} == {"d e/x": 1, "y": 0}
