@@ -1,4 +1,4 @@
-"""Trials as folders: each kind of evidence file is found by its place, checked, and one row a trial holds them all.
+"""Trials as folders, or many of them in bundles: each kind of evidence file is found by its place, checked, and one row a trial holds them all.
 
 Layouts belong to the harness that ran the trials, so places are patterns that the caller gives. A file is a row until
 its kind is known; a trial's row holds the texts of its JSON files and, of logs, only what is counted in them.
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlake.functions.values import json_value
-from sessionlake.sources.session_files import listed_files
+from sessionlake.sources.session_files import below, decoded, listed_files
 
 # Why a model stopped that was cut off, and that it had more to say.
 CUT_OFF, UNFINISHED = ("max_tokens", "length", "model_context_window_exceeded"), ("pause_turn", "tool_use")
@@ -45,21 +45,35 @@ def _string(v: Column, path: str) -> Column:
 
 
 def evidence_files(spark: SparkSession, folder: str, layout: Layout) -> DataFrame:
-    """(trial, kind, sha256, readable, records, value) of all files of trials <folder>/<trial>/... that the layout knows.
+    """evidence() of the files of trials <folder>/<trial>/...; Spark's readers pass over empty files: what is listed and not read is one.
+
+    Each file is listed and opened for itself, which costs more than what is in it: many trials are better kept in bundles.
+    """
+    read = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(folder).select(below(folder, "path").alias("file"), "content")
+    listed = listed_files(spark, folder).select(below(folder, decoded("path")).alias("file"))
+    return evidence(listed.join(read, "file", "left").withColumn("content", F.coalesce("content", F.lit(b""))), layout)
+
+
+def bundled(files: DataFrame, folder: str) -> None:
+    """Writes files (file: <trial>/<path>, content) as bundles, Parquet files that hold many trials each."""
+    files.select("file", "content").write.parquet(folder)
+
+
+def bundled_evidence(spark: SparkSession, folder: str, layout: Layout) -> DataFrame:
+    """evidence() of the trials in a folder of bundles."""
+    return evidence(spark.read.schema("file string, content binary").parquet(folder), layout)
+
+
+def evidence(files: DataFrame, layout: Layout) -> DataFrame:
+    """(trial, kind, sha256, readable, records, value) of all files (file: <trial>/<path>, content) that the layout knows.
 
     readable tells whether an object file holds one JSON object, or each line of a log that isn't blank does; records
     counts these lines. value is an object's text. An empty file is unreadable as an object and a log of no records. Of
     several files of a kind and trial the first by path counts.
     """
-    root = folder.rstrip("/") + "/"
-    read = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(folder).select("path", "content")
-    decoded = lambda c: F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    below = lambda c: F.substring_index(c, root, -1).alias("file")
-    listed = listed_files(spark, folder).select(below(decoded(F.col("path"))))
-    have = listed.join(read.select(below(F.col("path")), "content"), "file", "left").withColumn("content", F.coalesce("content", F.lit(b"")))
     inside = F.regexp_replace("file", "^[^/]+/", "")
     kind = F.coalesce(*(F.when(inside.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in {**layout.objects, **layout.logs}.items()))
-    known = have.withColumn("kind", kind).where("kind is not null and file like '%/%'").select(F.substring_index("file", "/", 1).alias("trial"), "kind", "file", "content")
+    known = files.withColumn("kind", kind).where("kind is not null and file like '%/%'").select(F.substring_index("file", "/", 1).alias("trial"), "kind", "file", "content")
     one = known.groupBy("trial", "kind").agg(F.min_by("content", "file").alias("content"))
     text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
     lines = F.filter(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"\s", " ")) != "")

@@ -91,3 +91,20 @@ def test_each_fault_has_its_code(spark, tmp_path):
     told = {r.trial: r.codes for r in trials.trial_report(found, LAYOUT, tasks).collect()}
     assert told["sound"] == [] and told["gone"] == ["TRIAL_MISSING"] and told["cut"] == ["FINAL_RESPONSE_TRUNCATED", "TASK_UNKNOWN"]
     assert told["schema"] == ["TRAJECTORY_SCHEMA_INVALID", "TASK_INSTRUCTION_MISMATCH", "INITIAL_WORKSPACE_MISMATCH"]
+
+
+def test_bundles_hold_what_folders_hold(spark, tmp_path):
+    rows = [(f"{name}/{PATHS[kind]}", raw(kind, value)) for name, files, _ in cases() for kind, value in files.items()] + [("stray.json", b"{}"), ("sound/agent/other.log", b"")]
+    trials.bundled(spark.createDataFrame(rows, "file string, content binary").coalesce(1), f"{tmp_path}/bundles")
+    found = trials.trials(trials.bundled_evidence(spark, f"{tmp_path}/bundles", LAYOUT), LAYOUT)
+    got = {r.trial: (r.codes, len(r.receipt)) for r in trials.trial_report(found, LAYOUT).collect()}
+    assert got == {name: (codes, len(files)) for name, files, codes in cases()}
+
+
+def test_trials_share_files(spark):
+    from sessionlake.plans import QUERIES
+
+    data = "/root/testdata/sf0.001"
+    report = QUERIES["trial_reports"](spark, data)
+    assert len(report.inputFiles()) < spark.read.parquet(f"{data}/supplier.parquet").count()
+    assert report.count() == spark.read.parquet(f"{data}/supplier.parquet").count()
