@@ -111,6 +111,10 @@ def missing_includes(files: DataFrame, group: str = "task_id", path: str = "path
 SUPPORT_FILES = ["readme.md", "license", "makefile", "requirements.txt", "package.json", "pyproject.toml", "setup.py", "dockerfile", ".gitignore"]
 
 
+def _marked(rows: DataFrame, group: str, path: str, bit: int) -> DataFrame:
+    return rows.select(group, path, F.lit(bit).alias("_mark"))
+
+
 def stub_errors(candidates: DataFrame, named: DataFrame, observed: DataFrame, group: str = "task_id", path: str = "path", content: str = "content", stub: str = "is_stub") -> DataFrame:
     """(group, path, code BINDING_PATH_STUB_ONLY) of candidate files without a body of their own (null, blank or `stub`) whose path is required, or whose
     path or name was listed (named: group, path), and whose body nobody observed. Logs and support files may be empty."""
@@ -118,9 +122,12 @@ def stub_errors(candidates: DataFrame, named: DataFrame, observed: DataFrame, gr
     empty = candidates.where(F.coalesce(stripped(F.col(content)), F.lit("")).eqNullSafe("") | F.coalesce(stub, F.lit(False)))
     real = empty.where(~F.lower(name).isin(SUPPORT_FILES) & ~F.endswith(F.lower(name), F.lit(".lock")) & ~F.endswith(F.lower(name), F.lit(".log")))
     either = real.select(group, path, F.explode(F.array_distinct(F.array(F.col(path), name))).alias("_as"))
-    wanted = either.join(named.select(group, F.col(path).alias("_as")).distinct(), [group, "_as"], "left_semi").select(group, path).distinct()
-    seen = either.join(observed.select(group, F.col(path).alias("_as")).distinct(), [group, "_as"], "left_semi").select(group, path)
-    return wanted.join(seen, [group, path], "left_anti").select(group, path, F.lit("BINDING_PATH_STUB_ONLY").alias("code"))
+    # names beside what they may be, sorted once: no join, so none that broadcasts lists by their compressed size
+    lists = _marked(named, group, path, 1).union(_marked(observed, group, path, 2)).select(group, F.col(path).alias("_as"), F.lit(None).cast("string").alias(path), "_mark")
+    told = either.select(group, "_as", path, F.lit(0).alias("_mark")).union(lists.dropna(subset=[group, "_as"]))
+    marks = told.withColumn("_mark", F.bit_or("_mark").over(Window.partitionBy(group, "_as"))).where(F.col(path).isNotNull())
+    found = marks.where("_mark > 0").groupBy(group, path).agg(F.bit_or("_mark").alias("_mark"))
+    return found.where("_mark = 1").select(group, path, F.lit("BINDING_PATH_STUB_ONLY").alias("code"))
 
 
 def completion_errors(candidates: DataFrame, required: DataFrame, observed: DataFrame, changes: DataFrame, group: str = "task_id", path: str = "path") -> DataFrame:
@@ -128,8 +135,11 @@ def completion_errors(candidates: DataFrame, required: DataFrame, observed: Data
     unsafe = candidates.where(F.startswith(path, F.lit("/")) | F.array_contains(F.split(path, "/", -1), "..")).select(group, path, F.lit("PATH_UNSAFE").alias("code"))
     stubs = stub_errors(candidates, required, observed, group, path)
     leaks = leaked_solutions(candidates, changes, group, path, "content").select(group, path, F.lit("SOLUTION_LEAKAGE").alias("code"))
-    there = candidates.select(group, path).union(observed.select(group, path)).distinct()
-    missing = required.select(group, path).distinct().join(there, [group, path], "left_anti").select(group, path, F.lit("BINDING_PATH_MISSING").alias("code"))
+    # a null is no file that is there
+    there = _marked(candidates, group, path, 2).union(_marked(observed, group, path, 2)).dropna(subset=[group, path])
+    marks = _marked(required, group, path, 1).union(there).repartition(group, path)
+    first = F.row_number().over(Window.partitionBy(group, path).orderBy(F.desc("_mark")))
+    missing = marks.withColumn("_first", first).where("_first = 1 and _mark = 1").select(group, path, F.lit("BINDING_PATH_MISSING").alias("code"))
     return reduce(DataFrame.union, (stubs, leaks, missing), unsafe)
 
 

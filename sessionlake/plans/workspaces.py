@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sessionlake.operators import workspaces
 from sessionlake.plans.artifacts import _table
-from sessionlake.sources.storage import shared_folder
+from sessionlake.sources.storage import shared_folder, stored
 
 
 #: Suites of a run.
@@ -57,7 +57,9 @@ def missing_includes(spark, sf_dir):
 def completion_errors(spark, sf_dir):
     path = "CASE o_orderkey % 10 WHEN 0 THEN 'readme.md' WHEN 1 THEN '../x' WHEN 2 THEN concat('d/', o_orderpriority) ELSE concat('f', o_orderkey % 6) END"
     content = "CASE o_orderkey % 4 WHEN 0 THEN ' ' WHEN 1 THEN concat('def value_one(): return ', o_orderstatus, ' alpha beta gamma') WHEN 2 THEN NULL ELSE concat('body ', o_orderkey) END"
-    files = _table(spark, sf_dir, "orders", "o_custkey AS task_id", f"{path} AS path", f"{content} AS content", "o_orderkey").groupBy("task_id", "path").agg(F.min_by("content", "o_orderkey").alias("content")).withColumn("is_stub", F.lit(None).cast("boolean"))
+    # dealt out before they are sorted, so a task that reads orders holds none, and written once, as the operator reads them four times
+    rows = _table(spark, sf_dir, "orders", "o_custkey AS task_id", f"{path} AS path", f"{content} AS content", "o_orderkey").repartition("task_id", "path")
+    files = stored(rows.groupBy("task_id", "path").agg(F.min_by("content", "o_orderkey").alias("content"))).withColumn("is_stub", F.lit(None).cast("boolean"))
     required = _table(spark, sf_dir, "customer", "c_custkey AS task_id", "explode(array('f1', 'f3', '2-HIGH', 'readme.md')) AS path")
     observed = _table(spark, sf_dir, "customer", "c_custkey AS task_id", "concat('f', c_custkey % 6) AS path")
     changes = _table(spark, sf_dir, "customer", "c_custkey AS task_id", "'value_one alpha beta gamma delta_x' AS final_content").where("task_id % 3 = 0")

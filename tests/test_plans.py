@@ -165,3 +165,22 @@ def test_suites_share_result_files(spark, monkeypatch):
     assert len(QUERIES["test_results"](spark, DATA).inputFiles()) < suppliers
     monkeypatch.setattr(workspaces, "SUITES", 1)
     assert len(QUERIES["test_results"](spark, DATA).inputFiles()) == suppliers
+
+
+def test_completed_workspaces_broadcast_no_lists(spark):
+    """What is small compressed may be large in memory: lists are told apart in a sort. Nulls are no files."""
+    from sessionlake.operators import workspaces
+
+    rows = lambda *r: spark.createDataFrame(list(r), "task_id long, path string")
+    bodies = [(1, "a.py", " "), (1, "d/b.py", None), (1, "d/c.py", None), (1, "/x", "body"), (1, None, None), (None, "a.py", None), (2, "s.py", "ab cde fgh alpha beta gamma"), (2, "t.py", "alpha x"), (3, "u.py", "say q z")]
+    files = spark.createDataFrame([(*b, None) for b in bodies], "task_id long, path string, content string, is_stub boolean")
+    required = rows((1, "a.py"), (1, "b.py"), (1, "c.py"), (1, "c.py"), (1, None), (None, "a.py"), (4, "w"), (4, "w"))
+    observed = rows((1, "d/c.py"), (4, "v"), (None, "b.py"), (1, None))
+    changes = spark.createDataFrame([(2, "cde fgh alpha beta gamma"), (3, "q z"), (None, "cde fgh alpha beta gamma")], "task_id long, final_content string")
+    found = workspaces.completion_errors(files, required, observed, changes)
+    stub, lost = "BINDING_PATH_STUB_ONLY", "BINDING_PATH_MISSING"
+    want = [(1, "/x", "PATH_UNSAFE"), (1, "a.py", stub), (1, "d/b.py", stub), (2, "s.py", "SOLUTION_LEAKAGE"), (3, "u.py", "SOLUTION_LEAKAGE"), (1, "b.py", lost), (1, "c.py", lost), (1, None, lost), (None, "a.py", lost), (4, "w", lost)]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, want))
+    stubs = workspaces.stub_errors(files, required, observed)
+    assert sorted(map(tuple, stubs.collect())) == [w for w in want if w[2] == stub]
+    assert "Broadcast" not in stubs._jdf.queryExecution().executedPlan().toString()
