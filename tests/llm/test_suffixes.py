@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sessionlake.llm import suffixes
+from sessionlake.llm import queries, suffixes
 
 
 def brute(texts, length):
@@ -91,3 +91,19 @@ def test_passages_of_crowds_are_sorted_in_groups(spark):
     got = suffixes.drop_repeated_passages(t, length=100).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept")).orderBy("doc_id").collect()
     want = brute(texts, 100)
     assert [tuple(r)[1:] for r in got] == want and sum(n > 0 for _, n, *_ in want) > 1200
+
+
+def test_the_query_shows_the_text_that_stays(spark, tmp_path):
+    rng = random.Random(11)
+    text = lambda n, of="abcdefgh é": "".join(rng.choice(of) for _ in range(n))
+    passage, odd = text(450), text(300, "é")
+    # of the last two's second characters the last byte repeats, the first doesn't
+    texts = [text(80) + passage + text(80), passage + text(30), text(500), None, "", "x" * 450, "x" * 450, "a\u0169" + odd + "b", "a\u0129" + odd + "c"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op8_suffix_array_dedup(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == brute(texts, 400)
+    for r, t in zip(got, texts, strict=True):
+        raw = (t or "").encode()
+        kept = b"".join(raw[a : x.a] for a, x in zip([0, *(x.b for x in r.removed)], r.removed, strict=False)) + raw[r.removed[-1].b if r.removed else 0 :]
+        assert r.kept_text == kept.decode(errors="replace") and r.kept_bytes == len(kept)
+    assert got[2].kept_text == texts[2] and passage not in got[0].kept_text and [r.kept_text for r in got[3:]] == ["", "", "", "", "a\ufffdb", "a\ufffdc"]
