@@ -61,32 +61,37 @@ def workspace_profiles(files: DataFrame, workspace: str = "workspace_id", path:
 
 
 #: Members of a kind that are paired at once.
-BLOCK = 2048
+BLOCK = 1024
 
 
-def gap_pairs(profiles: DataFrame, workspace: str = "workspace_id", capabilities: str = "capabilities", least: int = 2) -> DataFrame:
+def gap_pairs(profiles: DataFrame, workspace: str = "workspace_id", capabilities: str = "capabilities", least: int = 2, separator: str | None = None) -> DataFrame:
     """(reference, target, gap): ordered pairs of workspaces where the reference has `least` capabilities or more that the target lacks.
 
     Workspaces are few kinds: they are paired by their sets of markers, at most 2 to the number of MARKERS. A kind's members
     are dealt into blocks of about BLOCK, and pairs of blocks to all tasks: however common a kind is, no task holds more
-    of it than two blocks at once. All pairs come out, so rows grow with the square of the workspaces.
+    of it than two blocks at once. All pairs come out, so rows grow with the square of the workspaces. With a separator gaps
+    are texts, joined once for two kinds: what is computed of the array after is computed for each pair.
     """
     if least < 1:
         raise ValueError("least must be positive")
     kind = profiles.select(F.col(workspace).alias("id"), F.array_join(F.array_sort(F.array_intersect(F.coalesce(capabilities, F.array().cast("array<string>")), F.array(*map(F.lit, MARKERS)))), ",").alias("kind"))
-    kinds = kind.select("kind").distinct()
-    marked = kinds.select(F.col("kind").alias("a"), F.explode(F.split("kind", ",")).alias("marker")).where("marker <> ''")
+    blocks = kind.groupBy("kind").agg(F.ceil(F.count("*") / BLOCK).alias("_n"))
+    marked = blocks.select(F.col("kind").alias("a"), F.explode(F.split("kind", ",")).alias("marker")).where("marker <> ''")
     # of each marker, the kinds that lack it: both sides are bounded by the number of marker sets
-    lacks = kinds.select(F.col("kind").alias("b"), F.explode(F.array_except(F.array(*map(F.lit, MARKERS)), F.split("kind", ","))).alias("marker"))
+    lacks = blocks.select(F.col("kind").alias("b"), F.explode(F.array_except(F.array(*map(F.lit, MARKERS)), F.split("kind", ","))).alias("marker"))
     gaps = marked.join(lacks, "marker").groupBy("a", "b").agg(F.array_sort(F.collect_set("marker")).alias("gap")).where(F.size("gap") >= least)
-    blocks = F.broadcast(kind.groupBy("kind").agg(F.ceil(F.count("*") / BLOCK).alias("_n")))
-    dealt = kind.join(blocks, "kind").groupBy("kind", F.pmod(F.xxhash64("id"), "_n").alias("block")).agg(F.collect_list("id").alias("ids"))
+    if separator is not None:
+        gaps = gaps.withColumn("gap", F.array_join("gap", separator))
+    dealt = kind.join(F.broadcast(blocks), "kind").groupBy("kind", F.pmod(F.xxhash64("id"), "_n").alias("block")).agg(F.collect_list("id").alias("ids"))
     side = lambda k, ids: dealt.select(F.col("kind").alias(k), F.col("block").alias(f"_{k}"), F.col("ids").alias(ids))
+    numbers = lambda k: F.broadcast(blocks.select(F.col("kind").alias(k), F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias(f"_{k}")))
+    # blocks are joined by kind and number, so a common kind isn't one task's
+    met = gaps.join(numbers("a"), "a").join(side("a", "_references"), ["a", "_a"]).join(numbers("b"), "b").join(side("b", "_targets"), ["b", "_b"])
     # a number of its own keeps few bytes, of which many rows are made, from being put into few tasks
     tasks = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = gaps.join(side("a", "_references"), "a").join(side("b", "_targets"), "b").repartition(tasks, "a", "_a", "b", "_b")
-    each = met.select("gap", "_targets", F.explode("_references").alias("reference")).select("reference", F.explode("_targets").alias("target"), "gap")
-    return each.where("reference <> target")
+    each = met.repartition(tasks, "a", "_a", "b", "_b").select("gap", "_targets", F.explode("_references").alias("reference"))
+    # generated code holds all rows that come of one row before the first goes on: coalesce ends it, so that this is a block, not two multiplied
+    return each.coalesce(tasks).select("reference", F.explode("_targets").alias("target"), "gap").where("reference <> target")
 
 
 def secret_findings(files: DataFrame, path: str = "path", text: str = "text", detectors: list[tuple[str, str]] | None = None) -> DataFrame:

@@ -158,6 +158,19 @@ def test_pairs_of_a_common_kind_are_dealt_to_tasks(spark, monkeypatch):
     assert len({r.task for r in got}) > 4
 
 
+def test_pairs_are_made_as_they_are_read(spark):
+    """The first pair is given out before more than a block of one reference's is made; gaps are joined once for two kinds."""
+    rows = [(k, ["cli", "api"] if k % 2 else ["export"]) for k in range(600)]
+    profiles = spark.createDataFrame(rows, "workspace_id long, capabilities array<string>")
+    numbered = texts.gap_pairs(profiles, least=2).withColumn("n", F.monotonically_increasing_id() % (1 << 33))
+    first = numbered.select("reference", "target", F.when(F.col("n") > texts.BLOCK, F.raise_error(F.lit("pairs are held"))).alias("held"))
+    assert first.take(1)[0].reference % 2 == 1
+    got = texts.gap_pairs(profiles, least=2, separator=",")
+    assert got.dtypes[-1] == ("gap", "string") and {tuple(r) for r in got.groupBy("gap").count().collect()} == {("api,cli", 90000)}
+    plan = QUERIES["gap_pairs"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join" not in plan[: plan.index("explode(")]
+
+
 def test_suites_share_result_files(spark, monkeypatch):
     from sessionlake.plans import workspaces
 
